@@ -385,3 +385,499 @@ def q_template_url(spark, sf_dir):
         fill_size_template(template, "285x380").alias("box_art_url"),
         not_found(F.when(F.col("p_size") > 25, F.col("p_type"))).alias("link"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Warehouse
+# ---------------------------------------------------------------------------
+
+from .operators.dims import attach_key, dimension  # noqa: E402
+from .plans import landing, warehouse  # noqa: E402
+
+
+def _sk(platform: str, expr: str) -> str:
+    return f"md5('{platform}|' || {expr})"
+
+
+def _rk(platform: str, cols) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols)
+    return f"md5(concat_ws('|', '{platform}', {parts}))"
+
+
+def _dk(col: str) -> str:
+    return (f"CAST(strftime(CAST({col} AS TIMESTAMP), '%Y%m%d') AS INTEGER) AS ingested_date_sk, "
+            f"strftime(CAST({col} AS TIMESTAMP), '%H%M') AS ingested_time_sk")
+
+
+def _lake(spark, sf_dir, topic: str) -> DataFrame:
+    """Stand-in records as the lake holds them (JSON lines, 64-bit ints)."""
+    if topic == "reddit_data":
+        df = standins.reddit_posts(_t(spark, sf_dir, "events"))
+    elif topic == "twitch_streams":
+        df = standins.twitch_streams(_t(spark, sf_dir, "events"))
+    elif topic == "youtube_data":
+        df = standins.youtube_videos(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part"))
+    else:
+        chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem"))
+        df = landing.chart_records(chart)
+    return parse_records(to_json_value(df), schemas.lake_schema(topic))
+
+
+TIKTOK_SQL = """
+SELECT """ + _strip_sql("rank_text") + """ AS rank, sound_name,
+       """ + _last_tok_sql("ugc_text") + """ AS ugc_count,
+       """ + _first_tok_sql("growth_text") + """ AS growth,
+       author_country, 'https://charts.example.org' || sound_href AS tokchart_url,
+       coalesce(direct_link, 'Not Found') AS tiktok_direct_url, fetch_timestamp, ingested_at
+FROM (""" + CHART_SQL + """) c"""
+
+_REDDIT_T = """
+WITH r AS (""" + REDDIT_SQL + """),
+t AS (SELECT """ + _sk("Reddit", "lower(trim(subreddit))") + """ AS subreddit_sk,
+             """ + _rk("Reddit", ["url", "title", "post_timestamp", "ingested_at"]) + """ AS post_sk,
+             '550e8400-e29b-41d4-a716-446655440000' AS platform_sk, """ + _dk("ingested_at") + """,
+             subreddit AS subreddit_name, title, url, post_timestamp,
+             CAST(score AS BIGINT) AS score, CAST(num_comments AS BIGINT) AS num_comments, ingested_at
+      FROM r)
+"""
+
+
+def _star(fn, topic):
+    def run(spark, sf_dir, table):
+        return fn(_lake(spark, sf_dir, topic))[table]
+    return run
+
+
+_reddit = _star(warehouse.reddit_star, "reddit_data")
+_tiktok = _star(warehouse.tiktok_star, "tiktok_data")
+_youtube = _star(warehouse.youtube_star, "youtube_data")
+_twitch = _star(warehouse.twitch_star, "twitch_streams")
+
+
+@register("fact_post", _REDDIT_T + """
+SELECT post_sk, subreddit_sk, platform_sk, ingested_date_sk, ingested_time_sk, score, num_comments, ingested_at FROM t""")
+def q_fact_post(spark, sf_dir):
+    return _reddit(spark, sf_dir, "Fact_Redit_Activity")
+
+
+@register("dim_subreddit", _REDDIT_T + """
+SELECT subreddit_sk, max(subreddit_name) AS subreddit_name FROM t GROUP BY subreddit_sk""")
+def q_dim_subreddit(spark, sf_dir):
+    return _reddit(spark, sf_dir, "Dim_Subreddit")
+
+
+@register("dim_post", _REDDIT_T + """
+SELECT DISTINCT post_sk, title, url, post_timestamp FROM t""")
+def q_dim_post(spark, sf_dir):
+    return _reddit(spark, sf_dir, "Dim_Post")
+
+
+_TIKTOK_T = """
+WITH r AS (""" + TIKTOK_SQL + """),
+t AS (SELECT """ + _sk("TikTok", "sound_name") + """ AS sound_sk, """ + _sk("TikTok", "author_country") + """ AS country_sk,
+             '6ba7b810-9dad-11d1-80b4-00c04fd430c8' AS platform_sk, """ + _dk("ingested_at") + """,
+             sound_name, author_country AS country_code_iso, rank, ugc_count, growth, fetch_timestamp, ingested_at,
+             """ + _rk("TikTok", ["sound_name", "author_country", "rank", "ugc_count", "growth",
+                                  "fetch_timestamp", "ingested_at"]) + """ AS performance_sk
+      FROM r)
+"""
+
+
+@register("star_two_dims", _TIKTOK_T + """
+SELECT performance_sk, sound_sk, country_sk, platform_sk, ingested_date_sk, ingested_time_sk,
+       rank, ugc_count, growth, fetch_timestamp, ingested_at FROM t""")
+def q_star_two_dims(spark, sf_dir):
+    return _tiktok(spark, sf_dir, "Fact_Tiktok_Performance")
+
+
+@register("dim_sound", _TIKTOK_T + "SELECT sound_sk, max(sound_name) AS sound_name FROM t GROUP BY sound_sk")
+def q_dim_sound(spark, sf_dir):
+    return _tiktok(spark, sf_dir, "Dim_Sound")
+
+
+@register("dim_country", _TIKTOK_T + """
+SELECT country_sk, max(country_code_iso) AS country_code_iso FROM t GROUP BY country_sk""")
+def q_dim_country(spark, sf_dir):
+    return _tiktok(spark, sf_dir, "Dim_Country")
+
+
+_YOUTUBE_T = """
+WITH r AS (""" + YOUTUBE_SQL + """),
+t AS (SELECT """ + _sk("YouTube", "video_id") + """ AS video_sk, """ + _sk("YouTube", "channel") + """ AS channel_sk,
+             """ + _sk("YouTube", "category") + """ AS category_sk,
+             '7d444840-9dc0-11d1-b245-5ffdce74fad2' AS platform_sk, """ + _dk("ingested_at") + """,
+             video_id, title AS video_title, video_url, published_at, channel AS channel_name,
+             category AS category_name, views, likes, ingestion_timestamp, ingested_at,
+             """ + _rk("YouTube", ["video_id", "channel", "category", "views", "likes",
+                                   "ingestion_timestamp", "ingested_at"]) + """ AS performance_sk
+      FROM r)
+"""
+
+
+@register("star_three_dims", _YOUTUBE_T + """
+SELECT performance_sk, video_sk, channel_sk, category_sk, platform_sk, ingested_date_sk, ingested_time_sk,
+       views, likes, ingestion_timestamp, ingested_at FROM t""")
+def q_star_three_dims(spark, sf_dir):
+    return _youtube(spark, sf_dir, "Fact_Youtube_Performance")
+
+
+@register("dim_video", _YOUTUBE_T + """,
+a AS (SELECT video_sk, max(struct_pack(i := ingested_at, v := video_id, u := video_url, t := video_title,
+                                       p := published_at)) AS m FROM t GROUP BY video_sk)
+SELECT video_sk, m.v AS video_id_nk, m.u AS video_url, m.t AS video_title, m.p AS published_at FROM a""")
+def q_dim_video(spark, sf_dir):
+    return _youtube(spark, sf_dir, "Dim_Video")
+
+
+@register("dim_channel", _YOUTUBE_T + """
+SELECT channel_sk, max(channel_name) AS channel_name_nk FROM t GROUP BY channel_sk""")
+def q_dim_channel(spark, sf_dir):
+    return _youtube(spark, sf_dir, "Dim_Channel")
+
+
+@register("dim_category", _YOUTUBE_T + """
+SELECT category_sk, max(category_name) AS category_name_nk FROM t GROUP BY category_sk""")
+def q_dim_category(spark, sf_dir):
+    return _youtube(spark, sf_dir, "Dim_Category")
+
+
+_TWITCH_T = """
+WITH r AS (""" + TWITCH_SQL + """),
+t AS (SELECT """ + _sk("Twitch", "(user_name || fetched_at)") + """ AS stream_sk,
+             """ + _sk("Twitch", "game_name") + """ AS game_sk, """ + _sk("Twitch", "user_name") + """ AS user_sk,
+             '2c5ea4c0-4067-11e9-8bad-9b1deb4d9857' AS platform_sk, """ + _dk("ingested_at") + """,
+             user_name, game_name, title AS stream_title, CAST(viewer_count AS BIGINT) AS viewer_count,
+             thumbnail_url, type, fetched_at AS fetched_timestamp, ingested_at,
+             """ + _rk("Twitch", ["user_name", "game_name", "title", "viewer_count", "fetched_at",
+                                  "ingested_at"]) + """ AS performance_sk
+      FROM r)
+"""
+
+
+@register("star_twitch_fact", _TWITCH_T + """
+SELECT performance_sk, stream_sk, user_sk, game_sk, platform_sk, ingested_date_sk, ingested_time_sk,
+       viewer_count, fetched_timestamp, ingested_at FROM t""")
+def q_star_twitch_fact(spark, sf_dir):
+    return _twitch(spark, sf_dir, "Fact_Twitch_Performance")
+
+
+@register("dim_game", _TWITCH_T + "SELECT game_sk, max(game_name) AS game_name_nk FROM t GROUP BY game_sk")
+def q_dim_game(spark, sf_dir):
+    return _twitch(spark, sf_dir, "Dim_Game")
+
+
+@register("composite_key_dim", _TWITCH_T + """,
+a AS (SELECT stream_sk, max(struct_pack(i := ingested_at, s := stream_title, t := thumbnail_url, y := type,
+                                        u := user_name)) AS m FROM t GROUP BY stream_sk)
+SELECT stream_sk, m.s AS stream_title, m.t AS thumbnail_url, m.y AS type, m.u AS user_name FROM a""")
+def q_composite_key_dim(spark, sf_dir):
+    return _twitch(spark, sf_dir, "Dim_Stream")
+
+
+@register("uuid_star")
+def q_uuid_star(spark, sf_dir):
+    """F6 random keys (rows only): the twitch fact with keys frozen once."""
+    return warehouse.twitch_star(_lake(spark, sf_dir, "twitch_streams"), mode="uuid")["Fact_Twitch_Performance"]
+
+
+@register("uuid_key_integrity", """SELECT CAST(count(*) AS BIGINT) AS fact_rows, CAST(count(*) AS BIGINT) AS matched_rows FROM events""")
+def q_uuid_key_integrity(spark, sf_dir):
+    """Every fact row's random game/stream key is found exactly once in its dimension."""
+    tables = warehouse.twitch_star(_lake(spark, sf_dir, "twitch_streams"), mode="uuid")
+    fact = tables["Fact_Twitch_Performance"]
+    g = tables["Dim_Game"].groupBy("game_sk").agg(F.count(F.lit(1)).alias("gn"))
+    s = tables["Dim_Stream"].groupBy("stream_sk").agg(F.count(F.lit(1)).alias("sn"))
+    j = fact.join(g, "game_sk", "left").join(s, "stream_sk", "left")
+    return j.agg(F.count(F.lit(1)).alias("fact_rows"),
+                 F.count(F.when((F.col("gn") == 1) & (F.col("sn") == 1), 1)).alias("matched_rows"))
+
+
+@register("norm_key_dim", """
+WITH p AS (SELECT CASE p_size % 3 WHEN 0 THEN '  ' || p_brand || ' ' WHEN 1 THEN upper(p_brand)
+                  ELSE p_brand END AS brand_raw FROM part)
+SELECT """ + _sk("YouTube", "lower(trim(brand_raw))") + """ AS category_sk,
+       lower(trim(brand_raw)) AS category_key, max(brand_raw) AS category_name
+FROM p GROUP BY 1, 2""")
+def q_norm_key_dim(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    raw = (F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("  "), "p_brand", F.lit(" ")))
+           .when(F.col("p_size") % 3 == 1, F.upper("p_brand")).otherwise(F.col("p_brand")))
+    keyed = attach_key(p.select(raw.alias("brand_raw")), "YouTube", "category_sk", "brand_raw", normalize=True)
+    keyed = keyed.withColumn("category_key", F.lower(F.trim("brand_raw")))
+    return dimension(keyed, "category_sk", {"category_key": "category_key", "category_name": "brand_raw"})
+
+
+@register("platform_fact_rows", """
+SELECT platform_name, CAST(n AS BIGINT) AS fact_rows FROM (
+  SELECT 'Reddit' AS platform_name, count(*) AS n FROM events
+  UNION ALL SELECT 'Twitch', count(*) FROM events
+  UNION ALL SELECT 'YouTube', count(*) FROM lineitem
+  UNION ALL SELECT 'TikTok', count(*) FROM lineitem) x""")
+def q_platform_fact_rows(spark, sf_dir):
+    """C7 + S7: fact rows of the four stars counted per platform name."""
+    from .sources.constants import platform_dim
+    facts = None
+    for topic, fn in warehouse.STARS.items():
+        t = fn(_lake(spark, sf_dir, topic))
+        fact = [v for k, v in t.items() if k.startswith("Fact_")][0].select("platform_sk")
+        facts = fact if facts is None else facts.unionByName(fact)
+    counts = facts.groupBy("platform_sk").agg(F.count(F.lit(1)).alias("fact_rows"))
+    return (F.broadcast(platform_dim(spark)).join(counts, "platform_sk")
+            .select("platform_name", "fact_rows"))
+
+
+# ---------------------------------------------------------------------------
+# Lookups with defaults
+# ---------------------------------------------------------------------------
+
+from .operators.lookups import lookup_with_default  # noqa: E402
+
+
+@register("lookup_default", """
+SELECT c_custkey, c_nationkey, coalesce(n.n_name, 'Other') AS nation_name
+FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON c_nationkey = n.n_nationkey""")
+def q_lookup_default(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    # an incomplete lookup: nations of region 0 are missing from it
+    lk = _t(spark, sf_dir, "nation").where(F.col("n_regionkey") != 0)
+    return lookup_with_default(c, lk, "c_nationkey", "n_nationkey", {"n_name": ("nation_name", "Other")})
+
+
+@register("lookup_multi_default", """
+SELECT s_suppkey, s_nationkey, coalesce(n.n_name, 'Unknown') AS game_name,
+       replace(coalesce(n.art, ''), '{width}x{height}', '285x380') AS box_art_url
+FROM supplier LEFT JOIN (SELECT n_nationkey, n_name,
+                                'https://static.example.org/boxart/' || n_name || '-{width}x{height}.jpg' AS art
+                         FROM nation WHERE n_regionkey <> 0) n ON s_nationkey = n.n_nationkey""")
+def q_lookup_multi_default(spark, sf_dir):
+    s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    lk = (_t(spark, sf_dir, "nation").where(F.col("n_regionkey") != 0)
+          .select("n_nationkey", "n_name",
+                  F.concat(F.lit("https://static.example.org/boxart/"), "n_name",
+                           F.lit("-{width}x{height}.jpg")).alias("art")))
+    out = lookup_with_default(s, lk, "s_nationkey", "n_nationkey",
+                              {"n_name": ("game_name", "Unknown"), "art": ("box_art_url", "")})
+    return out.withColumn("box_art_url", fill_size_template("box_art_url", "285x380"))
+
+
+# ---------------------------------------------------------------------------
+# Parsing, publishing and quarantine
+# ---------------------------------------------------------------------------
+
+@register("json_roundtrip", """
+SELECT user_name, game_name, title, viewer_count, thumbnail_url, fetched_at FROM (""" + TWITCH_SQL + """) s""")
+def q_json_roundtrip(spark, sf_dir):
+    streams = standins.twitch_streams(_t(spark, sf_dir, "events"))
+    as_bytes = to_json_value(streams).select(F.col("value").cast("binary").alias("value"))
+    return parse_records(as_bytes, schemas.TWITCH_STREAMS)
+
+
+def _mixed_topic(spark, sf_dir) -> DataFrame:
+    """Good reddit records plus, per part row, an overflowing score, a record
+    without its key and a line of garbage."""
+    good = to_json_value(standins.reddit_posts(_t(spark, sf_dir, "events")))
+    p = _t(spark, sf_dir, "part")
+    overflow = p.select(F.to_json(F.struct(F.col("p_brand").alias("subreddit"),
+                                           (F.col("p_partkey") * 10000000).alias("score"))).alias("value"))
+    keyless = p.select(F.to_json(F.struct(F.col("p_name").alias("title"))).alias("value"))
+    garbage = p.select(F.concat(F.lit("garbage "), F.col("p_name")).alias("value"))
+    return good.unionByName(overflow).unionByName(keyless).unionByName(garbage)
+
+
+@register("parsed_good_counts", """
+WITH g AS (SELECT subreddit, score FROM (""" + REDDIT_SQL + """) r
+           UNION ALL
+           SELECT p_brand, CASE WHEN p_partkey * 10000000 <= 2147483647 THEN CAST(p_partkey * 10000000 AS INTEGER) END
+           FROM part)
+SELECT subreddit, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(score) AS BIGINT) AS n_scores,
+       CAST(sum(score) AS BIGINT) AS total_score FROM g GROUP BY subreddit""")
+def q_parsed_good_counts(spark, sf_dir):
+    from .sources.topics import parse_topic
+    good, _bad = parse_topic(_mixed_topic(spark, sf_dir), schemas.REDDIT, "subreddit")
+    return good.groupBy("subreddit").agg(F.count(F.lit(1)).alias("n_rows"),
+                                         F.count("score").alias("n_scores"),
+                                         F.sum("score").alias("total_score"))
+
+
+@register("bad_json_quarantine", """
+SELECT json_object('title', p_name)::VARCHAR AS raw_value FROM part
+UNION ALL SELECT 'garbage ' || p_name FROM part""")
+def q_bad_json_quarantine(spark, sf_dir):
+    from .sources.topics import parse_topic
+    _good, bad = parse_topic(_mixed_topic(spark, sf_dir), schemas.REDDIT, "subreddit")
+    return bad
+
+
+# ---------------------------------------------------------------------------
+# Landing jobs (C12, C13; P8-P11, S8, S9, F8, F11, F19)
+# ---------------------------------------------------------------------------
+
+def _reddit_replies(spark, sf_dir) -> DataFrame:
+    """Landed listing replies: events paged 50 per reply (bounded groups)."""
+    ev = _t(spark, sf_dir, "events")
+    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    item = F.struct(F.struct(
+        F.col("event_type").alias("subreddit"), F.round(F.col("value") * 100).cast("bigint").alias("score"),
+        F.col("user_id").alias("num_comments"), F.col("props").alias("title"),
+        F.concat(F.lit("https://example.org/r/"), F.col("event_id").cast("string")).alias("url"),
+        secs.cast("double").alias("created_utc")).alias("data"))
+    pages = (ev.groupBy(F.floor(F.col("event_id") / 50).alias("page"))
+               .agg(F.collect_list(item).alias("children"), F.max("ts").alias("last_ts")))
+    return pages.select(
+        F.lit("reddit").alias("source"), F.lit(200).alias("status"),
+        F.concat(F.date_format("last_ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("fetched_at"),
+        F.to_json(F.struct(F.struct(F.col("children").alias("children")).alias("data"))).alias("body"))
+
+
+@register("explode_replies", """
+SELECT event_type AS subreddit, CAST(round(value * 100) AS BIGINT) AS score, user_id AS num_comments,
+       props AS title, 'https://example.org/r/' || CAST(event_id AS VARCHAR) AS url,
+       strftime(make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS post_timestamp,
+       strftime(max(ts) OVER (PARTITION BY floor(event_id / 50)), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ingestion_timestamp
+FROM events""")
+def q_explode_replies(spark, sf_dir):
+    return landing.reddit_records(_reddit_replies(spark, sf_dir))
+
+
+def _youtube_inputs(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
+    rows = li.join(p, li.l_partkey == p.p_partkey, "left")
+    vid = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
+                   F.lit("-"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))
+    views = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
+    item = F.struct(
+        vid.alias("id"),
+        F.struct(F.concat(F.lit("video "), vid).alias("title"),
+                 F.concat(F.lit("channel_"), F.col("l_suppkey").cast("string")).alias("channelTitle"),
+                 F.col("p_size").cast("string").alias("categoryId"),
+                 F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("publishedAt")
+                 ).alias("snippet"),
+        F.struct(F.when(F.col("l_linenumber") != 3, views).alias("viewCount"),
+                 F.col("l_quantity").cast("bigint").cast("string").alias("likeCount")).alias("statistics"))
+    pages = (rows.groupBy(F.col("l_orderkey").alias("page"))
+                 .agg(F.collect_list(item).alias("items"), F.max("l_shipdate").alias("last")))
+    replies = pages.select(F.lit("youtube").alias("source"), F.lit(200).alias("status"),
+                           F.date_format("last", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetched_at"),
+                           F.to_json(F.struct("items")).alias("body"))
+    # category lookup derived from part; sizes above 40 are missing from it
+    cats = (_t(spark, sf_dir, "part").where(F.col("p_size") <= 40)
+            .select(F.col("p_size").cast("string").alias("id"), F.col("p_type").alias("name")))
+    return replies, cats
+
+
+@register("youtube_replies", """
+WITH x AS (SELECT l.*, p.p_size, p.p_type FROM lineitem l LEFT JOIN part p ON l_partkey = p_partkey),
+c AS (SELECT CAST(p_size AS VARCHAR) AS id, max(p_type) AS name FROM part WHERE p_size <= 40 GROUP BY 1)
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+         || '-' || CAST(l_suppkey AS VARCHAR) AS video_id,
+       'video ' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+         || '-' || CAST(l_suppkey AS VARCHAR) AS title,
+       'channel_' || CAST(l_suppkey AS VARCHAR) AS channel,
+       CASE WHEN l_linenumber = 3 THEN 0 ELSE CAST(round(l_extendedprice * 100) AS BIGINT) END AS views,
+       CAST(l_quantity AS BIGINT) AS likes,
+       coalesce(c.name, 'Other') AS category,
+       strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || 'Z' AS published_at,
+       'https://www.youtube.com/watch?v=' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+         || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS video_url,
+       strftime(max(l_shipdate) OVER (PARTITION BY l_orderkey), '%Y-%m-%dT%H:%M:%S.%f') AS ingestion_timestamp
+FROM x LEFT JOIN c ON CAST(x.p_size AS VARCHAR) = c.id""")
+def q_youtube_replies(spark, sf_dir):
+    replies, cats = _youtube_inputs(spark, sf_dir)
+    return landing.youtube_records(replies, cats)
+
+
+def _twitch_inputs(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    game_id = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type"))
+    item = F.struct(
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_name"),
+        game_id.alias("game_id"), F.col("event_type").alias("game_name"), F.col("props").alias("title"),
+        F.round(F.col("value") * 100).cast("bigint").alias("viewer_count"),
+        F.concat(F.lit("https://static.example.org/previews/live_user_"), F.col("user_id").cast("string"),
+                 F.lit("-{width}x{height}.jpg")).alias("thumbnail_url"))
+    pages = (ev.groupBy(F.floor(F.col("event_id") / 100).alias("page"))
+               .agg(F.collect_list(item).alias("data"), F.max("ts").alias("last")))
+    replies = pages.select(F.lit("twitch").alias("source"), F.lit(200).alias("status"),
+                           F.date_format("last", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetched_at"),
+                           F.to_json(F.struct("data")).alias("body"))
+    # game lookup derived from the events; 'purchase' is missing from it
+    games = (ev.select("event_type").distinct().where(F.col("event_type") != "purchase")
+             .select(F.col("event_type").alias("id"), F.upper("event_type").alias("name"),
+                     F.concat(F.lit("https://static.example.org/boxart/"), F.col("event_type"),
+                              F.lit("-{width}x{height}.jpg")).alias("box_art_url")))
+    return replies, games
+
+
+_TWITCH_REPLY_ROWS = """
+SELECT 'user_' || CAST(user_id AS VARCHAR) AS user_name,
+       CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS game_id, event_type AS game_name,
+       props AS title, CAST(round(value * 100) AS BIGINT) AS viewer_count,
+       'https://static.example.org/previews/live_user_' || CAST(user_id AS VARCHAR) || '-320x180.jpg' AS thumbnail_url,
+       strftime(max(ts) OVER (PARTITION BY floor(event_id / 100)), '%Y-%m-%dT%H:%M:%S.%f') AS fetched_at
+FROM events"""
+
+
+@register("twitch_stream_replies", """
+SELECT user_name, game_name, title, viewer_count, thumbnail_url, fetched_at, 'stream' AS type
+FROM (""" + _TWITCH_REPLY_ROWS + """) s""")
+def q_twitch_stream_replies(spark, sf_dir):
+    replies, games = _twitch_inputs(spark, sf_dir)
+    return landing.twitch_records(replies, games)[0]
+
+
+@register("twitch_game_replies", """
+WITH s AS (""" + _TWITCH_REPLY_ROWS + """),
+g AS (SELECT fetched_at, game_id, CAST(sum(viewer_count) AS BIGINT) AS total_viewers FROM s GROUP BY 1, 2),
+lk AS (SELECT DISTINCT event_type AS id, upper(event_type) AS name,
+              'https://static.example.org/boxart/' || event_type || '-{width}x{height}.jpg' AS art
+       FROM events WHERE event_type <> 'purchase')
+SELECT coalesce(lk.name, 'Unknown') AS game_name,
+       replace(coalesce(lk.art, ''), '{width}x{height}', '285x380') AS box_art_url,
+       total_viewers, fetched_at, 'game' AS type
+FROM g LEFT JOIN lk ON g.game_id = lk.id AND g.game_id <> ''""")
+def q_twitch_game_replies(spark, sf_dir):
+    replies, games = _twitch_inputs(spark, sf_dir)
+    return landing.twitch_records(replies, games)[1]
+
+
+@register("page_links", """
+WITH a AS (SELECT page_id, url,
+                  regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*)"[^>]*>.*?</a>', 1) AS hrefs,
+                  regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"[^"]*"[^>]*>(.*?)</a>', 1) AS inners
+           FROM pages),
+u AS (SELECT page_id, url, hrefs, inners, unnest(generate_series(1, len(hrefs))) AS i FROM a),
+e AS (SELECT page_id, url, i - 1 AS pos, hrefs[i] AS href, inners[i] AS inner_html FROM u)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
+       """ + _strip_sql("regexp_replace(inner_html, '<[^>]*>', '', 'g')") + """ AS text,
+       CASE WHEN href ~ '^[A-Za-z][A-Za-z0-9+.-]*:.*' THEN href
+            WHEN href LIKE '//%' THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
+            WHEN href LIKE '/%' THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
+            ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1) || href END AS abs_url
+FROM e""")
+def q_page_links(spark, sf_dir):
+    return landing.page_links(_t(spark, sf_dir, "pages"))
+
+
+@register("page_first_link", """
+SELECT page_id,
+       coalesce(nullif(regexp_extract(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*(?:/[A-Z])[^"]*)"', 1), ''),
+                nullif(regexp_extract(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*)"[^>]*>the</a>', 1), ''),
+                'Not Found') AS link,
+       coalesce(nullif(regexp_extract(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*(?:tiktok\\.com/music/)[^"]*)"', 1), ''),
+                nullif(regexp_extract(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*)"[^>]*>View on TikTok</a>', 1), ''),
+                'Not Found') AS music_link
+FROM pages""")
+def q_page_first_link(spark, sf_dir):
+    pg = _t(spark, sf_dir, "pages")
+    return pg.select("page_id",
+                     not_found(landing.first_link(F.col("html"), "/[A-Z]", "the")).alias("link"),
+                     not_found(landing.first_link(F.col("html"))).alias("music_link"))
+
+
+@register("chart_table_rows", """
+SELECT CAST(0 AS BIGINT) AS page_id WHERE false""")
+def q_chart_table_rows(spark, sf_dir):
+    """S8 over the pages table (which holds no chart table: zero rows)."""
+    rows = landing.html_table_rows(_t(spark, sf_dir, "pages"))
+    return rows.select("page_id")

@@ -58,7 +58,9 @@ def dimension(df: DataFrame, sk: str, attrs: dict, order=None) -> DataFrame:
     default all attributes in order, so the row is fixed, not arbitrary.
     """
     cols = [F.col(sk)] + [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in attrs.items()]
-    rows = df.select(*cols)
+    # distinct first: a hash aggregate, combined map-side, shrinks the batch
+    # to its distinct (key, attributes) pairs before the per-key choice
+    rows = df.select(*cols).distinct()
     return one_row_per_key(rows, sk, order=order)
 
 

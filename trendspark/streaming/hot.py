@@ -48,9 +48,11 @@ def _writer(store: ServingStore, compose, views, quarantine: str | None, clock=N
 def _tagged(raw: DataFrame, schema, key) -> DataFrame:
     from pyspark.sql import functions as F
     from ..functions.records import from_json_text
+    # Generate barrier: the per-batch filters on _good do not re-run the parse
     parsed = raw.select(F.col("value").cast("string").alias("raw_value"),
-                        from_json_text("value", schema).alias("data"))
-    return parsed.select("raw_value", F.col(f"data.{key}").isNotNull().alias("_good"), "data.*")
+                        F.inline(F.array(from_json_text("value", schema))))
+    return parsed.select("raw_value", F.col(key).isNotNull().alias("_good"),
+                         *[f.name for f in schema.fields])
 
 
 def start_view_query(raw: DataFrame, topic: str, store: ServingStore, checkpoint: str,

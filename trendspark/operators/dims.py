@@ -50,17 +50,20 @@ def attach_keys(df: DataFrame, platform: str, specs: list, mode: str = "md5") ->
     return df
 
 
-def dimension(df: DataFrame, sk: str, attrs: dict, order=None) -> DataFrame:
+def dimension(df: DataFrame, sk: str, attrs: dict, order=None, unique: bool = False) -> DataFrame:
     """Dimension rows of one batch: one row per key.
 
-    ``attrs`` maps output name -> column name/Column. When several rows
-    share a key, ``order`` (output names) picks the row (largest wins),
-    default all attributes in order, so the row is fixed, not arbitrary.
+    ``attrs`` maps output name -> column name/Column. With ``unique`` the
+    attributes are a function of the key (the key hashes them), so the
+    rows are the distinct pairs: a hash aggregate, combined map-side.
+    Otherwise several rows may share a key and ``order`` (output names)
+    picks the row (largest wins), default all attributes in order, so the
+    row is fixed, not arbitrary.
     """
     cols = [F.col(sk)] + [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in attrs.items()]
-    # distinct first: a hash aggregate, combined map-side, shrinks the batch
-    # to its distinct (key, attributes) pairs before the per-key choice
-    rows = df.select(*cols).distinct()
+    rows = df.select(*cols)
+    if unique:
+        return rows.distinct()
     return one_row_per_key(rows, sk, order=order)
 
 

@@ -64,7 +64,7 @@ def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None) -> dict[str,
     return {
         "Dim_Subreddit": dimension(t, "subreddit_sk", {"subreddit_name": "subreddit_name"}),
         "Dim_Post": dimension(t, "post_sk", {"title": "post_title", "url": "post_url",
-                                             "post_timestamp": "post_timestamp"}),
+                                             "post_timestamp": "post_timestamp"}, unique=True),
         "Fact_Redit_Activity": t.select("post_sk", "subreddit_sk", "platform_sk", "ingested_date_sk",
                                         "ingested_time_sk", "score", "num_comments", "ingested_at"),
     }
@@ -85,8 +85,8 @@ def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> dict[str,
         "sound_name", "country_code_iso", "rank", "ugc_count", "growth", "fetch_timestamp", "ingested_at"]))
     t = _freeze(t, mode, prepare)
     return {
-        "Dim_Sound": dimension(t, "sound_sk", {"sound_name": "sound_name"}),
-        "Dim_Country": dimension(t, "country_sk", {"country_code_iso": "country_code_iso"}),
+        "Dim_Sound": dimension(t, "sound_sk", {"sound_name": "sound_name"}, unique=True),
+        "Dim_Country": dimension(t, "country_sk", {"country_code_iso": "country_code_iso"}, unique=True),
         "Fact_Tiktok_Performance": t.select(
             "performance_sk", "sound_sk", "country_sk", "platform_sk", "ingested_date_sk",
             "ingested_time_sk", "rank", "ugc_count", "growth", "fetch_timestamp", "ingested_at"),
@@ -114,8 +114,8 @@ def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None) -> dict[str
         "Dim_Video": dimension(t, "video_sk", {
             "ingested_at": "ingested_at", "video_id_nk": "video_id", "video_url": "video_url",
             "video_title": "video_title", "published_at": "published_at"}).drop("ingested_at"),
-        "Dim_Channel": dimension(t, "channel_sk", {"channel_name_nk": "channel_name"}),
-        "Dim_Category": dimension(t, "category_sk", {"category_name_nk": "category_name"}),
+        "Dim_Channel": dimension(t, "channel_sk", {"channel_name_nk": "channel_name"}, unique=True),
+        "Dim_Category": dimension(t, "category_sk", {"category_name_nk": "category_name"}, unique=True),
         "Fact_Youtube_Performance": t.select(
             "performance_sk", "video_sk", "channel_sk", "category_sk", "platform_sk",
             "ingested_date_sk", "ingested_time_sk", "views", "likes", "ingestion_timestamp",
@@ -142,7 +142,7 @@ def twitch_star(streams: DataFrame, mode: str = "md5", prepare=None) -> dict[str
         "user_name", "game_name", "stream_title", "viewer_count", "fetched_timestamp", "ingested_at"]))
     t = _freeze(t, mode, prepare)
     return {
-        "Dim_Game": dimension(t, "game_sk", {"game_name_nk": "game_name"}),
+        "Dim_Game": dimension(t, "game_sk", {"game_name_nk": "game_name"}, unique=True),
         "Dim_Stream": dimension(t, "stream_sk", {
             "ingested_at": "ingested_at", "stream_title": "stream_title",
             "thumbnail_url": "thumbnail_url", "type": "type", "user_name": "user_name"}).drop("ingested_at"),

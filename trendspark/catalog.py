@@ -881,3 +881,172 @@ def q_chart_table_rows(spark, sf_dir):
     """S8 over the pages table (which holds no chart table: zero rows)."""
     rows = landing.html_table_rows(_t(spark, sf_dir, "pages"))
     return rows.select("page_id")
+
+
+# ---------------------------------------------------------------------------
+# Serving folds over batches (K4-K7) and top-N at the source
+# ---------------------------------------------------------------------------
+
+from .operators.ranking import best_row_per_key, top_n  # noqa: E402
+from .sinks import serving  # noqa: E402
+
+
+def _daily_top_streams(spark, sf_dir) -> DataFrame:
+    """Twitch streams cut into daily batches; per batch the top snapshot per user."""
+    s = standins.twitch_streams(_t(spark, sf_dir, "events"))
+    s = s.withColumn("batch_id", F.date_format(F.col("fetched_at").cast("timestamp_ntz"), "yyyyMMdd").cast("long"))
+    top = best_row_per_key(s, ["batch_id", "user_name"], ["viewer_count"],
+                           ["game_name", "title", "thumbnail_url"], alias="_top")
+    return top.withColumn("json_value", F.to_json(F.struct(
+        F.col("game_name").alias("game"), "title", F.col("thumbnail_url").alias("thumb"),
+        F.col("viewer_count").alias("views"))))
+
+
+_DAILY_TOP_SQL = """
+WITH s AS (""" + TWITCH_SQL + """),
+d AS (SELECT CAST(strftime(CAST(fetched_at AS TIMESTAMP), '%Y%m%d') AS BIGINT) AS batch_id, user_name,
+             max(struct_pack(v := viewer_count, g := game_name, t := title, th := thumbnail_url)) AS m
+      FROM s GROUP BY 1, 2),
+r AS (SELECT batch_id, user_name, m.v AS viewer_count,
+             json_object('game', m.g, 'title', m.t, 'thumb', m.th, 'views', m.v)::VARCHAR AS json_value FROM d)
+"""
+
+
+@register("serving_upsert", _DAILY_TOP_SQL + """,
+f AS (SELECT user_name, max(struct_pack(b := batch_id, s := CAST(viewer_count AS DOUBLE), j := json_value)) AS m
+      FROM r GROUP BY user_name)
+SELECT 'twitch_streamers_details' AS view, user_name AS member, m.s AS score, m.j AS json_value,
+       m.b AS batch_id FROM f""")
+def q_serving_upsert(spark, sf_dir):
+    """K4/K5: the details view after upserting 30 daily batches in order."""
+    rows = _daily_top_streams(spark, sf_dir)
+    return serving.upsert_all(rows.select(
+        F.lit("twitch_streamers_details").alias("view"), F.col("user_name").alias("member"),
+        F.col("viewer_count").cast("double").alias("score"), "json_value", "batch_id"))
+
+
+@register("serving_replace", _DAILY_TOP_SQL + """
+SELECT 'twitch_streamers_rank' AS view, user_name AS member, CAST(viewer_count AS DOUBLE) AS score,
+       CAST(NULL AS VARCHAR) AS json_value, batch_id
+FROM r WHERE batch_id = (SELECT max(batch_id) FROM r)""")
+def q_serving_replace(spark, sf_dir):
+    """K6: the rank view after delete-then-fill per daily batch: the last day."""
+    rows = _daily_top_streams(spark, sf_dir)
+    return serving.replace_all(rows.select(
+        F.lit("twitch_streamers_rank").alias("view"), F.col("user_name").alias("member"),
+        F.col("viewer_count").cast("double").alias("score"),
+        F.lit(None).cast("string").alias("json_value"), "batch_id"))
+
+
+@register("serving_ttl", """
+WITH s AS (""" + TWITCH_SQL + """),
+b AS (SELECT 'user:' || user_name AS view, game_name AS member, CAST(fetched_at AS TIMESTAMP) AS batch_time,
+             max(viewer_count) AS v FROM s GROUP BY 1, 2, 3),
+u AS (SELECT view, member, max(struct_pack(t := batch_time, v := v)) AS m FROM b GROUP BY 1, 2),
+l AS (SELECT view, max(batch_time) AS last_time FROM b GROUP BY 1),
+n AS (SELECT date_trunc('hour', max(ts)) + INTERVAL 1 HOUR AS now FROM events)
+SELECT u.view, member, CAST(m.v AS DOUBLE) AS score
+FROM u JOIN l USING (view) CROSS JOIN n WHERE n.now < l.last_time + INTERVAL 24 HOUR""")
+def q_serving_ttl(spark, sf_dir):
+    """K7: per-user views upserted per hourly poll, read one hour after the
+    last poll; a view whose last batch is more than 24 h old has expired."""
+    s = standins.twitch_streams(_t(spark, sf_dir, "events"))
+    b = (s.groupBy(F.concat(F.lit("user:"), "user_name").alias("view"), F.col("game_name").alias("member"),
+                   F.col("fetched_at").cast("timestamp_ntz").alias("batch_time"))
+          .agg(F.max("viewer_count").alias("v")))
+    latest = b.groupBy("view", "member").agg(F.max(F.struct("batch_time", "v")).alias("m"))
+    now = _t(spark, sf_dir, "events").agg(
+        (F.date_trunc("hour", F.max("ts")) + F.expr("INTERVAL 1 HOUR")).alias("now"))
+    alive = serving.visible_at(b, now, 86400)
+    return (latest.join(alive.select("view").distinct(), "view", "left_semi")
+                  .select("view", "member", F.col("m.v").cast("double").alias("score")))
+
+
+@register("source_top50", """
+SELECT subreddit, score, title, url FROM (""" + REDDIT_SQL + """) r
+ORDER BY score DESC, title DESC, url DESC LIMIT 50""")
+def q_source_top50(spark, sf_dir):
+    """The 50 highest-scored posts (a top-k: each task keeps its own 50)."""
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events"))
+    return top_n(posts.select("subreddit", "score", "title", "url"), ["score", "title", "url"], 50)
+
+
+# ---------------------------------------------------------------------------
+# End-to-end streaming runs (T2, T4, T5, T7, C1, C6, C8; S5, K9-K11)
+# ---------------------------------------------------------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from .session import scratch_path  # noqa: E402
+
+
+def _run_dir(spark, kind: str) -> str:
+    return scratch_path(spark, "trendspark-runs", f"{kind}-{_uuid.uuid4().hex[:12]}")
+
+
+@register("stream_update_best", ORACLES["reddit_details_view"])
+def q_stream_update_best(spark, sf_dir):
+    """C1 as a stream: published records in three files, one per micro-batch,
+    through the stateful update-mode aggregate into the details view."""
+    from .sinks.serving import ServingStore
+    from .sources.topics import text_stream
+    from .streaming.hot import start_reddit_best
+    base = _run_dir(spark, "stream-best")
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
+    to_json_value(posts).repartition(3).write.text(f"{base}/in")
+    store = ServingStore(spark, f"{base}/views")
+    raw = text_stream(spark, f"{base}/in", max_files_per_trigger=1)
+    q = start_reddit_best(raw, store, f"{base}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return store.read("reddit_subreddits_details").select(
+        F.lit("reddit_subreddits_details").alias("view"), "member", "score", "json_value")
+
+
+def _archive(spark, sf_dir) -> str:
+    """Publish reddit records (four files) and archive them in two
+    micro-batches, routed by their own post time."""
+    from .sources.topics import text_stream
+    from .streaming import archive
+    base = _run_dir(spark, "chain")
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
+    to_json_value(posts).repartition(4).write.text(f"{base}/in")
+    raw = text_stream(spark, f"{base}/in", topic="reddit_data", max_files_per_trigger=2)
+    route = F.to_timestamp_ntz(F.get_json_object(F.col("value").cast("string"), "$.post_timestamp"))
+    q = archive.start_archive(raw, f"{base}/lake", "reddit_data", f"{base}/ck_archive",
+                              route_ts=route, trigger={"availableNow": True})
+    q.awaitTermination()
+    return base
+
+
+def _archive_chain(spark, sf_dir) -> str:
+    """The archive, then the warehouse loaded incrementally from the lake
+    (bounded micro-batches of lake files)."""
+    from .streaming import warehouse as wh
+    base = _archive(spark, sf_dir)
+    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=("reddit_data",),
+               max_files_per_trigger=64)
+    return base
+
+
+_REDDIT_LAKE_SQL = REDDIT_SQL.replace(
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at",
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000000' AS ingested_at")
+
+
+@register("lake_archive", """
+SELECT 'reddit_data' AS topic, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(day(ts) AS INTEGER) AS day, CAST(count(*) AS BIGINT) AS records
+FROM events GROUP BY 2, 3, 4""")
+def q_lake_archive(spark, sf_dir):
+    """Archived records per topic and day folder."""
+    base = _archive(spark, sf_dir)
+    lake = spark.read.option("basePath", f"{base}/lake").text(f"{base}/lake/topic=reddit_data")
+    return lake.groupBy("topic", "year", "month", "day").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("incremental_load", _REDDIT_T.replace(REDDIT_SQL, _REDDIT_LAKE_SQL) + """
+SELECT post_sk, subreddit_sk, platform_sk, ingested_date_sk, ingested_time_sk, score, num_comments, ingested_at FROM t""")
+def q_incremental_load(spark, sf_dir):
+    """C8 fed from the lake by availableNow batches: the loaded fact table."""
+    base = _archive_chain(spark, sf_dir)
+    return spark.read.parquet(f"{base}/wh/Fact_Redit_Activity").drop("batch_id")

@@ -60,12 +60,20 @@ def replace_all(rows: DataFrame) -> DataFrame:
                 .where(F.col("batch_id") == F.col("last_batch")).drop("last_batch"))
 
 
-def visible_at(rows: DataFrame, now_col, ttl_seconds: int, batch_time_col: str = "batch_time") -> DataFrame:
-    """K7 fold: a view's rows are visible while ``now < last batch time + ttl``."""
+def visible_at(rows: DataFrame, now, ttl_seconds: int, batch_time_col: str = "batch_time") -> DataFrame:
+    """K7 fold: a view's rows are visible while ``now < last batch time + ttl``.
+
+    ``now`` is a datetime, a Column, or a one-row one-column DataFrame
+    (used as a scalar subquery).
+    """
+    if isinstance(now, DataFrame):
+        now = now.scalar()
+    elif isinstance(now, dt.datetime):
+        now = F.lit(now).cast("timestamp_ntz")
     last = rows.groupBy("view").agg(F.max(batch_time_col).alias("_last"))
-    now = F.col(now_col) if isinstance(now_col, str) else now_col
     alive = last.where(now < F.col("_last") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
-    return rows.join(F.broadcast(alive.select("view")), "view")
+    # one row per view: bounded by the number of views
+    return rows.join(alive.select("view"), "view", "left_semi")
 
 
 # ---- the store -----------------------------------------------------------

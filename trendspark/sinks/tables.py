@@ -93,7 +93,9 @@ class WarehouseSink:
                 if name in keys:
                     existing = read_if_exists(self.spark, self.path(name))
                     if existing is not None:
-                        existing = existing.where(F.col("batch_id") != int(batch_id))
+                        # only the key column is read (column pruning)
+                        existing = (existing.where(F.col("batch_id") != int(batch_id))
+                                    .select(keys[name]))
                     df = new_dimension_rows(df, existing, keys[name])
                 counts[name] = write_batch_partition(df, self.path(name), batch_id)
         finally:

@@ -35,8 +35,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# tables of a fixed, tiny size (not scaled with the data): never spread
+FIXED_SIZE_TABLES = {"nation", "region"}
+
+
 def _t(spark, sf_dir, name):
-    return read_table(spark, sf_dir, name)
+    return read_table(spark, sf_dir, name, spread_small=name not in FIXED_SIZE_TABLES)
 
 
 # ---------------------------------------------------------------------------
@@ -957,7 +961,8 @@ def q_serving_ttl(spark, sf_dir):
     latest = b.groupBy("view", "member").agg(F.max(F.struct("batch_time", "v")).alias("m"))
     now = _t(spark, sf_dir, "events").agg(
         (F.date_trunc("hour", F.max("ts")) + F.expr("INTERVAL 1 HOUR")).alias("now"))
-    alive = serving.visible_at(b, now, 86400)
+    # a view's last batch time comes from its members' latest rows: no rescan
+    alive = serving.visible_at(latest.select("view", F.col("m.batch_time").alias("batch_time")), now, 86400)
     return (latest.join(alive.select("view").distinct(), "view", "left_semi")
                   .select("view", "member", F.col("m.v").cast("double").alias("score")))
 

@@ -47,6 +47,22 @@ def view_rows(df: DataFrame, view: str, member, score=None, json_value=None) ->
                      s.cast("double").alias("score"), j.cast("string").alias("json_value"))
 
 
+def views_from(df: DataFrame, specs) -> DataFrame:
+    """Several views' rows from one frame in a single pass.
+
+    ``specs`` are ``(view, member, score, json_value)`` tuples (names or
+    Columns, None for absent). Each input row becomes one row per view via
+    ``inline(array(...))``, so the frame is computed once instead of once
+    per view as a ``union`` of branches would.
+    """
+    def c(x):
+        return F.lit(None) if x is None else (F.col(x) if isinstance(x, str) else x)
+    rows = [F.struct(F.lit(v).alias("view"), c(m).cast("string").alias("member"),
+                     c(s).cast("double").alias("score"), c(j).cast("string").alias("json_value"))
+            for v, m, s, j in specs]
+    return df.select(F.inline(F.array(*rows)))
+
+
 # ---- C1: reddit best post per subreddit --------------------------------
 
 def reddit_best_posts(posts: DataFrame) -> DataFrame:
@@ -118,12 +134,22 @@ def youtube_top_videos(videos: DataFrame, scope=None) -> DataFrame:
         "title", "channel", "views", F.col("video_url").alias("url"), keep_nulls=True))
 
 
+def youtube_category_stats(videos: DataFrame) -> DataFrame:
+    """A3 + W1 in one aggregate: per category the summed views and the top
+    video (both views of a batch come from one pass and one shuffle)."""
+    src = videos.where(F.col("category").isNotNull())
+    agg = src.groupBy("category").agg(
+        F.sum("views").alias("total_views"),
+        best_struct(["views"], ["title", "channel", "video_url", "video_id"]).alias("_top"))
+    return agg.withColumn("json_value", pack_json(
+        F.col("_top.title").alias("title"), F.col("_top.channel").alias("channel"),
+        F.col("_top.views").alias("views"), F.col("_top.video_url").alias("url"), keep_nulls=True))
+
+
 def youtube_views(videos: DataFrame) -> DataFrame:
-    sums = view_rows(youtube_category_views(videos), "youtube_category_views",
-                     "category", score="total_views")
-    top = view_rows(youtube_top_videos(videos), "youtube_category_top_video",
-                    "category", json_value="json_value")
-    return sums.unionByName(top)
+    stats = youtube_category_stats(videos)
+    return views_from(stats, [("youtube_category_views", "category", "total_views", None),
+                              ("youtube_category_top_video", "category", None, "json_value")])
 
 
 # ---- C3 / C4: twitch streamer and game rankings ------------------------
@@ -139,8 +165,8 @@ def twitch_top_streams(streams: DataFrame) -> DataFrame:
 
 def twitch_streamer_views(streams: DataFrame) -> DataFrame:
     top = twitch_top_streams(streams)
-    return view_rows(top, "twitch_streamers_rank", "user_name", score="viewer_count").unionByName(
-        view_rows(top, "twitch_streamers_details", "user_name", json_value="json_value"))
+    return views_from(top, [("twitch_streamers_rank", "user_name", "viewer_count", None),
+                            ("twitch_streamers_details", "user_name", None, "json_value")])
 
 
 def twitch_top_games(games: DataFrame) -> DataFrame:
@@ -152,8 +178,8 @@ def twitch_top_games(games: DataFrame) -> DataFrame:
 
 def twitch_game_views(games: DataFrame) -> DataFrame:
     top = twitch_top_games(games)
-    return view_rows(top, "twitch_games_rank", "game_name", score="total_viewers").unionByName(
-        view_rows(top, "twitch_games_details", "game_name", json_value="json_value"))
+    return views_from(top, [("twitch_games_rank", "game_name", "total_viewers", None),
+                            ("twitch_games_details", "game_name", None, "json_value")])
 
 
 # ---- C5: tiktok sounds -------------------------------------------------

@@ -879,8 +879,18 @@ def q_page_first_link(spark, sf_dir):
                      not_found(landing.first_link(F.col("html"))).alias("music_link"))
 
 
-@register("chart_table_rows", """
-SELECT CAST(0 AS BIGINT) AS page_id WHERE false""")
+_TABLE_ROWS_SQL = """
+WITH t AS (SELECT page_id, regexp_extract(regexp_extract(html, '(?is)<table\\b[^>]*>(.*?)</table>', 1),
+                                          '(?is)<tbody\\b[^>]*>(.*?)</tbody>', 1) AS body FROM {src}),
+r AS (SELECT page_id, unnest(regexp_extract_all(body, '(?is)<tr\\b[^>]*>(.*?)</tr>', 1)) AS tr FROM t),
+c AS (SELECT page_id, regexp_extract_all(tr, '(?is)<td\\b[^>]*>(.*?)</td>', 1) AS cells FROM r)
+"""
+
+
+@register("chart_table_rows", _TABLE_ROWS_SQL.format(src="pages") + """
+SELECT page_id FROM c
+WHERE len(cells) >= 8
+  AND regexp_extract(cells[2], '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1) <> ''""")
 def q_chart_table_rows(spark, sf_dir):
     """S8 over the pages table (which holds no chart table: zero rows)."""
     rows = landing.html_table_rows(_t(spark, sf_dir, "pages"))
@@ -1055,3 +1065,37 @@ def q_incremental_load(spark, sf_dir):
     """C8 fed from the lake by availableNow batches: the loaded fact table."""
     base = _archive_chain(spark, sf_dir)
     return spark.read.parquet(f"{base}/wh/Fact_Redit_Activity").drop("batch_id")
+
+
+def _chart_pages(spark, sf_dir) -> DataFrame:
+    """Chart pages rendered from the lineitem chart rows: one page per order
+    (at most seven table rows, a bounded group), eight cells per row."""
+    chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem"), with_order=True)
+
+    def td(c):
+        return F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    link = F.concat(F.lit('<a href="'), F.col("sound_href"), F.lit('">'), F.col("sound_name"), F.lit("</a>"))
+    tr = F.concat(F.lit("<tr>"), td(F.col("rank_text")), td(link), td(F.col("ugc_text")),
+                  td(F.col("growth_text")), td(F.col("author_country")),
+                  td(F.lit("")), td(F.lit("")), td(F.lit("")), F.lit("</tr>"))
+    pages = (chart.groupBy(F.col("l_orderkey").alias("page_id"))
+                  .agg(F.array_join(F.collect_list(tr), "").alias("trs"),
+                       F.max("fetch_timestamp").alias("fetch_timestamp")))
+    html = F.concat(F.lit("<html><body><table><thead><tr><th>#</th></tr></thead><tbody>"),
+                    F.col("trs"), F.lit("</tbody></table></body></html>"))
+    return pages.select("page_id", "fetch_timestamp", html.alias("html"))
+
+
+@register("chart_page_records", """
+SELECT """ + _strip_sql("rank_text") + """ AS rank, sound_name,
+       """ + _last_tok_sql("ugc_text") + """ AS ugc_count,
+       """ + _first_tok_sql("growth_text") + """ AS growth,
+       author_country, 'https://charts.example.org' || sound_href AS tokchart_url,
+       'Not Found' AS tiktok_direct_url,
+       max(fetch_timestamp) OVER (PARTITION BY l_orderkey) AS fetch_timestamp
+FROM (""" + CHART_SQL.replace("SELECT CASE", "SELECT l_orderkey, CASE", 1) + """) c""")
+def q_chart_page_records(spark, sf_dir):
+    """C13 end to end: S8 table rows of the rendered pages -> tiktok records."""
+    rows = landing.html_table_rows(_chart_pages(spark, sf_dir))
+    chart = landing.chart_cells(rows, keep=("fetch_timestamp",))
+    return landing.chart_records(chart.withColumn("direct_link", F.lit(None).cast("string")))

@@ -150,15 +150,17 @@ def html_table_rows(pages: DataFrame, min_cells: int = 8) -> DataFrame:
     """Rows of the first ``<table>``'s ``<tbody>`` with at least
     ``min_cells`` cells and a link in the second cell.
 
-    Output: ``page_id, row_pos, cells`` (raw cell HTML) and ``sound_href``.
+    Output: the page columns but ``html``, ``row_pos``, ``cells`` (raw cell
+    HTML) and ``sound_href``.
     Regular expressions stand in for a DOM parser: nested tables inside a
     cell are not supported.
     """
     table = F.regexp_extract("html", r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
-    rows = pages.select("page_id", F.posexplode(
+    other = [c for c in pages.columns if c != "html"]
+    rows = pages.select(*other, F.posexplode(
         F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)).alias("row_pos", "tr"))
-    cells = rows.select("page_id", "row_pos",
+    cells = rows.select(*other, "row_pos",
                         F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1).alias("cells"))
     href = F.regexp_extract(F.col("cells")[1],
                             r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']""", 1)
@@ -167,10 +169,11 @@ def html_table_rows(pages: DataFrame, min_cells: int = 8) -> DataFrame:
                  .where(F.col("sound_href").isNotNull()))
 
 
-def chart_cells(rows: DataFrame) -> DataFrame:
-    """Cells -> raw chart columns (the shape of ``standins.tiktok_chart_rows``)."""
+def chart_cells(rows: DataFrame, keep=()) -> DataFrame:
+    """Cells -> raw chart columns (the shape of ``standins.tiktok_chart_rows``);
+    ``keep`` names page columns carried along (e.g. the fetch time)."""
     c = F.col("cells")
-    return rows.select(
+    return rows.select(*keep,
         cell_text(c[0]).alias("rank_text"),
         cell_text_pieces(c[1]).alias("sound_name"),
         cell_text(c[2]).alias("ugc_text"),

@@ -92,8 +92,11 @@ def youtube_videos(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def tiktok_chart_rows(lineitem: DataFrame) -> DataFrame:
-    """Raw chart cells as scraped: rank text, sound, ugc text, growth text..."""
+def tiktok_chart_rows(lineitem: DataFrame, with_order: bool = False) -> DataFrame:
+    """Raw chart cells as scraped: rank text, sound, ugc text, growth text...
+
+    ``with_order`` keeps ``l_orderkey`` (the chart page a row belongs to).
+    """
     ln = F.col("l_linenumber")
     s = lambda c: F.col(c).cast("string")
     rank_text = (F.when(ln == 6, F.concat(F.lit("# "), s("l_linenumber"), F.lit(" ")))
@@ -108,6 +111,7 @@ def tiktok_chart_rows(lineitem: DataFrame) -> DataFrame:
                                        F.round(F.col("l_discount") * 100).cast("int").cast("string"),
                                        F.lit(" %"))))
     return lineitem.select(
+        *(["l_orderkey"] if with_order else []),
         rank_text.alias("rank_text"),
         F.concat(F.lit("sound "), s("l_partkey")).alias("sound_name"),
         ugc_text.alias("ugc_text"),

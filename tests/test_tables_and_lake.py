@@ -76,3 +76,20 @@ def test_summary_snapshot_complete_mode(spark, tmp_path):
                                         str(tmp_path / "ck"), trigger={"availableNow": True})
     q.awaitTermination()
     assert rows(spark.read.parquet(out)) == rows(hot.reddit_summary(posts))
+
+
+def test_publish_then_parse_roundtrip(spark, tmp_path):
+    from trendspark.sinks.publish import publish, publish_stream
+    from trendspark.sources.topics import parse_topic
+    streams = standins.twitch_streams(read_table(spark, SF_SMALL, "events"))
+    publish(streams, "twitch_streams", path=str(tmp_path / "topics"))
+    raw = spark.read.text(str(tmp_path / "topics/topic=twitch_streams"))
+    good, bad = parse_topic(raw, schemas.TWITCH_STREAMS, "user_name")
+    assert bad.count() == 0
+    assert rows(good) == rows(streams.select(*schemas.TWITCH_STREAMS.fieldNames()))
+    # streaming publish of the parsed stream, checkpointed
+    q = publish_stream(text_stream(spark, str(tmp_path / "topics/topic=twitch_streams")), "copy",
+                       str(tmp_path / "ck"), path=str(tmp_path / "out"), cols=["value"],
+                       trigger={"availableNow": True})
+    q.awaitTermination()
+    assert spark.read.text(str(tmp_path / "out/topic=copy")).count() == streams.count()

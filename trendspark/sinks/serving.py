@@ -54,9 +54,11 @@ def upsert_all(rows: DataFrame) -> DataFrame:
 
 def replace_all(rows: DataFrame) -> DataFrame:
     """Fold of many batches of a replace view: the last batch of each view."""
-    # one row per view: bounded by the number of views, safe to broadcast
-    last = rows.groupBy("view").agg(F.max("batch_id").alias("last_batch"))
-    return (rows.join(F.broadcast(last), "view")
+    # one row per view; broadcast only after the size check (views may be
+    # per user), else a shuffle join
+    from ..operators.lookups import bounded_broadcast
+    last = bounded_broadcast(rows.groupBy("view").agg(F.max("batch_id").alias("last_batch")), 100_000)
+    return (rows.join(last, "view")
                 .where(F.col("batch_id") == F.col("last_batch")).drop("last_batch"))
 
 

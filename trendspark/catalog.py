@@ -1039,7 +1039,7 @@ def _archive_chain(spark, sf_dir) -> str:
     from .streaming import warehouse as wh
     base = _archive(spark, sf_dir)
     wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=("reddit_data",),
-               max_files_per_trigger=64)
+               max_files_per_trigger=128)
     return base
 
 

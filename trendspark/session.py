@@ -56,7 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required on a cluster")
         path = tempfile.mkdtemp(prefix="trendspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001  (core confs may be read-only at runtime)
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

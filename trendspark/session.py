@@ -51,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     bench) may fall back to a fresh temporary folder.
     """
     sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         if not sc.master.startswith("local"):
@@ -60,9 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # noqa: BLE001  (core confs may be read-only at runtime)
             pass
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

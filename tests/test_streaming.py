@@ -111,3 +111,45 @@ def test_archive_then_incremental_load(spark, tmp_path):
     lake_df = spark.read.schema(schemas.lake_schema("reddit_data")).json(f"{lake}/topic=reddit_data")
     batch = warehouse.reddit_star(lake_df)["Fact_Redit_Activity"]
     assert rows(batch, "post_sk", "subreddit_sk") == rows(fact, "post_sk", "subreddit_sk")
+
+
+def test_ttl_views_through_streams_and_await_any(spark, tmp_path):
+    """C2 + C5 as T1 queries in one session (T6), views expiring 24 h after
+    their last non-empty batch (K7) with an injected clock."""
+    li = read_table(spark, SF_SMALL, "lineitem")
+    part = read_table(spark, SF_SMALL, "part")
+    videos = standins.youtube_videos(li, part).drop("ingested_at")
+    early, late = videos.where("ingestion_timestamp < '1998'"), videos.where("ingestion_timestamp >= '1998'")
+    src = str(tmp_path / "yt")
+    to_json_value(early).coalesce(1).write.text(f"{src}/a")
+    to_json_value(late).coalesce(1).write.text(f"{src}/b")
+    from trendspark.plans.landing import chart_records
+    sounds = chart_records(standins.tiktok_chart_rows(li)).drop("ingested_at")
+    to_json_value(sounds).coalesce(1).write.text(str(tmp_path / "tt"))
+
+    store = ServingStore(spark, str(tmp_path / "views"))
+    clock_times = iter([dt.datetime(2025, 1, 1, 0), dt.datetime(2025, 1, 1, 10), dt.datetime(2025, 1, 1, 5)])
+    clock = lambda: next(clock_times)
+    q1 = hot_stream.start_view_query(text_stream(spark, f"{src}/*", max_files_per_trigger=1), "youtube_data",
+                                     store, str(tmp_path / "ck1"), trigger={"availableNow": True}, clock=clock)
+    q1.awaitTermination()
+    q2 = hot_stream.start_view_query(text_stream(spark, str(tmp_path / "tt")), "tiktok_data",
+                                     store, str(tmp_path / "ck2"), trigger={"availableNow": True}, clock=clock)
+    hot_stream.await_any(spark)
+    q2.awaitTermination()
+    spark.streams.resetTerminated()
+
+    # category sums: the last batch's sum per category it holds, older ones kept
+    early_sums = dict((r.category, r.total_views) for r in hot.youtube_category_views(early).collect())
+    late_sums = dict((r.category, r.total_views) for r in hot.youtube_category_views(late).collect())
+    want = {**early_sums, **late_sums}
+    got = {r.member: r.score for r in store.read("youtube_category_views").collect()}
+    assert got == {k: float(v) for k, v in want.items()}
+    # expiry: youtube views last written at 10:00, tiktok at 05:00
+    assert store.read("youtube_category_views", now=dt.datetime(2025, 1, 2, 9)).count() == len(want)
+    assert store.read("youtube_category_views", now=dt.datetime(2025, 1, 2, 11)).count() == 0
+    assert store.read("tiktok_trends_eg", now=dt.datetime(2025, 1, 2, 4)).count() == \
+        hot.tiktok_members(sounds).count()
+    assert store.read("tiktok_trends_eg", now=dt.datetime(2025, 1, 2, 6)).count() == 0
+    top = store.ranked("tiktok_trends_eg", n=3, ascending=True).collect()
+    assert [r.score for r in top] == [1.0, 1.0, 1.0]

@@ -16,7 +16,7 @@ def _rows(spark, view, items):
 
 
 def test_upsert_replace_and_replay(spark, tmp_path):
-    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL)
+    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL, keep_versions=None)
     t0 = dt.datetime(2025, 1, 1)
     b0 = _rows(spark, "u", [("a", 1, "x"), ("b", 2, "y")]).unionByName(_rows(spark, "r", [("a", 1, None), ("b", 2, None)]))
     store.write_batch(b0, 0, ["u", "r"], t0)
@@ -31,6 +31,15 @@ def test_upsert_replace_and_replay(spark, tmp_path):
     assert [r.member for r in store.ranked("u", n=2).collect()] == ["b", "c"]
     removed = store.vacuum(keep=1)
     assert len(removed) == 2 and store.versions("u") == 1
+    assert sorted((r.member, r.score, r.json_value) for r in store.read("u").collect()) == up
+
+
+def test_auto_vacuum_keeps_newest(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL, keep_versions=2)
+    for b in range(4):
+        store.write_batch(_rows(spark, "u", [(f"m{b}", b, None)]), b, ["u"], dt.datetime(2025, 1, 1))
+    assert [v for v, _ in store._version_dirs("u")] == [2, 3]
+    assert sorted(r.member for r in store.read("u").collect()) == ["m0", "m1", "m2", "m3"]
 
 
 def test_view_level_expiry(spark, tmp_path):

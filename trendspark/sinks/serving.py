@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.hot import TTL_SECONDS, VIEWS
-from .tables import read_if_exists
 
 VIEW_COLS = ["member", "score", "json_value"]
 
@@ -82,23 +81,38 @@ def visible_at(rows: DataFrame, now, ttl_seconds: int, batch_time_col: str = "ba
 
 class ServingStore:
     def __init__(self, spark: SparkSession, root: str, policies: dict | None = None,
-                 ttl: dict | None = None):
+                 ttl: dict | None = None, keep_versions: int | None = 3):
         self.spark = spark
         self.root = root.rstrip("/")
         self.policies = dict(VIEWS if policies is None else policies)
         self.ttl = dict(TTL_SECONDS if ttl is None else ttl)
+        self.keep_versions = keep_versions
 
     def _view_path(self, view: str) -> str:
         return f"{self.root}/view={view}"
 
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _version_dirs(self, view: str) -> list:
+        """Committed versions of a view, from the folder listing (metadata
+        only). A version folder appears by rename when its job commits."""
+        fs, p = self._fs(self._view_path(view))
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("version="):
+                out.append((int(name.split("=", 1)[1]), st.getPath()))
+        return sorted(out)
+
     def versions(self, view: str, below: int | None = None) -> int | None:
         """Latest committed version of ``view`` (below ``below`` when given)."""
-        df = read_if_exists(self.spark, self._view_path(view))
-        if df is None or "version" not in df.columns:
-            return None
-        if below is not None:
-            df = df.where(F.col("version") < int(below))
-        return df.agg(F.max("version")).first()[0]
+        vs = [v for v, _ in self._version_dirs(view) if below is None or v < int(below)]
+        return vs[-1] if vs else None
 
     def _version_df(self, view: str, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self._view_path(view)}/version={version}")
@@ -131,6 +145,8 @@ class ServingStore:
             return
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("view", "version").parquet(self.root))
+        if self.keep_versions:
+            self.vacuum(self.keep_versions, views)
 
     def read(self, view: str, now: dt.datetime | None = None) -> DataFrame:
         """Current rows of ``view``; a TTL view is empty once expired at ``now``."""
@@ -148,23 +164,20 @@ class ServingStore:
         from ..operators.ranking import ranked_read
         return ranked_read(self.read(view, now), n=n, ascending=ascending)
 
-    def vacuum(self, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` versions of every view."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(conf)
+    def vacuum(self, keep: int = 2, views=None) -> list[str]:
+        """Delete all but the newest ``keep`` versions of each view (all views
+        under the root by default). Readers resolve the newest version
+        first, so the older ones kept give in-flight reads time to finish."""
+        if views is None:
+            fs, root = self._fs(self.root)
+            if not fs.exists(root):
+                return []
+            views = [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(root)
+                     if st.isDirectory() and st.getPath().getName().startswith("view=")]
         removed = []
-        if not fs.exists(root):
-            return removed
-        for vdir in fs.listStatus(root):
-            name = vdir.getPath().getName()
-            if not name.startswith("view="):
-                continue
-            vers = sorted((int(s.getPath().getName().split("=", 1)[1]), s.getPath())
-                          for s in fs.listStatus(vdir.getPath())
-                          if s.getPath().getName().startswith("version="))
-            for _, path in vers[:-keep] if keep else vers:
-                fs.delete(path, True)
+        for view in views:
+            dirs = self._version_dirs(view)
+            for _, path in (dirs[:-keep] if keep else dirs):
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
                 removed.append(path.toString())
         return removed

@@ -60,3 +60,26 @@ def test_folds(spark):
     assert sorted((r.view, r.member, r.score) for r in upsert_all(rows).collect()) == \
         [("v", "a", 2.0), ("v", "b", 9.0), ("w", "x", 1.0)]
     assert sorted((r.view, r.member) for r in replace_all(rows).collect()) == [("v", "a"), ("w", "x")]
+
+
+def test_poll_scope_keeps_a_split_poll_whole(spark, tmp_path):
+    from trendspark.plans import hot
+    rows = [("u1", "g", "t", 5, "th", "P1"), ("u2", "g", "t", 7, "th", "P1"),
+            ("u3", "g", "t", 9, "th", "P1"), ("u1", "g", "t", 4, "th", "P2")]
+    df = spark.createDataFrame(rows, "user_name string, game_name string, title string, viewer_count int, "
+                                     "thumbnail_url string, fetched_at string")
+    b0, b1, b2 = df.where("user_name = 'u1' and fetched_at = 'P1'"), df.where("user_name <> 'u1' and fetched_at = 'P1'"), \
+        df.where("fetched_at = 'P2'")
+    t = dt.datetime(2025, 1, 1)
+    per_batch = ServingStore(spark, str(tmp_path / "a"))
+    per_poll = ServingStore(spark, str(tmp_path / "b"), policies=hot.POLL_POLICIES)
+    views = ["twitch_streamers_rank", "twitch_streamers_details"]
+    for i, b in enumerate([b0, b1]):
+        per_batch.write_batch(hot.twitch_streamer_views(b), i, views, t)
+        per_poll.write_batch(hot.twitch_streamer_views(b, scope="poll"), i, views, t)
+    # the poll P1 came in two micro-batches: per batch shows its tail only
+    assert sorted(r.member for r in per_batch.read("twitch_streamers_rank").collect()) == ["u2", "u3"]
+    assert sorted(r.member for r in per_poll.read("twitch_streamers_rank").collect()) == ["u1", "u2", "u3"]
+    per_poll.write_batch(hot.twitch_streamer_views(b2, scope="poll"), 2, views, t)
+    assert [(r.member, r.score) for r in per_poll.read("twitch_streamers_rank").collect()] == [("u1", 4.0)]
+    assert per_poll.read("twitch_streamers_details").count() == 3

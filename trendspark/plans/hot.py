@@ -30,6 +30,8 @@ VIEWS = {
     "twitch_games_details": "upsert",
     "tiktok_trends_eg": "upsert",
 }
+# Poll scope: rank views hold the newest poll (not the newest micro-batch).
+POLL_POLICIES = {**VIEWS, "twitch_streamers_rank": "replace_poll", "twitch_games_rank": "replace_poll"}
 # Views whose whole key expires 24 hours after its last non-empty batch.
 TTL_SECONDS = {
     "youtube_category_views": 86400,
@@ -38,13 +40,16 @@ TTL_SECONDS = {
 }
 
 
-def view_rows(df: DataFrame, view: str, member, score=None, json_value=None) -> DataFrame:
-    """Shape rows for a serving view: ``(view, member, score, json_value)``."""
-    m = F.col(member) if isinstance(member, str) else member
-    s = F.lit(None) if score is None else (F.col(score) if isinstance(score, str) else score)
-    j = F.lit(None) if json_value is None else (F.col(json_value) if isinstance(json_value, str) else json_value)
-    return df.select(F.lit(view).alias("view"), m.cast("string").alias("member"),
-                     s.cast("double").alias("score"), j.cast("string").alias("json_value"))
+def view_rows(df: DataFrame, view: str, member, score=None, json_value=None, poll=None) -> DataFrame:
+    """Shape rows for a serving view: ``(view, member, score, json_value)``,
+    plus ``poll`` when a poll column is given."""
+    def c(x):
+        return F.lit(None) if x is None else (F.col(x) if isinstance(x, str) else x)
+    cols = [F.lit(view).alias("view"), c(member).cast("string").alias("member"),
+            c(score).cast("double").alias("score"), c(json_value).cast("string").alias("json_value")]
+    if poll is not None:
+        cols.append(c(poll).cast("string").alias("poll"))
+    return df.select(*cols)
 
 
 def views_from(df: DataFrame, specs) -> DataFrame:
@@ -57,9 +62,15 @@ def views_from(df: DataFrame, specs) -> DataFrame:
     """
     def c(x):
         return F.lit(None) if x is None else (F.col(x) if isinstance(x, str) else x)
-    rows = [F.struct(F.lit(v).alias("view"), c(m).cast("string").alias("member"),
-                     c(s).cast("double").alias("score"), c(j).cast("string").alias("json_value"))
-            for v, m, s, j in specs]
+    with_poll = any(len(sp) > 4 and sp[4] is not None for sp in specs)
+
+    def row(sp):
+        f = [F.lit(sp[0]).alias("view"), c(sp[1]).cast("string").alias("member"),
+             c(sp[2]).cast("double").alias("score"), c(sp[3]).cast("string").alias("json_value")]
+        if with_poll:
+            f.append(c(sp[4] if len(sp) > 4 else None).cast("string").alias("poll"))
+        return F.struct(*f)
+    rows = [row(sp) for sp in specs]
     return df.select(F.inline(F.array(*rows)))
 
 
@@ -154,32 +165,39 @@ def youtube_views(videos: DataFrame) -> DataFrame:
 
 # ---- C3 / C4: twitch streamer and game rankings ------------------------
 
-def twitch_top_streams(streams: DataFrame) -> DataFrame:
-    """Per user the snapshot with most viewers, and its details JSON."""
-    top = best_row_per_key(streams, "user_name", ["viewer_count"],
-                           ["game_name", "title", "thumbnail_url"], alias="_top")
+def twitch_top_streams(streams: DataFrame, scope: str = "batch") -> DataFrame:
+    """Per user (per poll and user with ``scope="poll"``) the snapshot
+    with most viewers, and its details JSON."""
+    keys = ["user_name"] if scope == "batch" else ["fetched_at", "user_name"]
+    top = best_row_per_key(streams, keys, ["viewer_count"], ["game_name", "title", "thumbnail_url"],
+                           alias="_top")
     return top.withColumn("json_value", pack_json(
         F.col("game_name").alias("game"), "title", F.col("thumbnail_url").alias("thumb"),
         F.col("viewer_count").alias("views"), keep_nulls=True))
 
 
-def twitch_streamer_views(streams: DataFrame) -> DataFrame:
-    top = twitch_top_streams(streams)
-    return views_from(top, [("twitch_streamers_rank", "user_name", "viewer_count", None),
-                            ("twitch_streamers_details", "user_name", None, "json_value")])
+def twitch_streamer_views(streams: DataFrame, scope: str = "batch") -> DataFrame:
+    """Rank (replaced) and details (upserted). With ``scope="poll"`` the
+    rows carry their poll so a ``replace_poll`` store keeps whole polls."""
+    top = twitch_top_streams(streams, scope)
+    poll = "fetched_at" if scope == "poll" else None
+    return views_from(top, [("twitch_streamers_rank", "user_name", "viewer_count", None, poll),
+                            ("twitch_streamers_details", "user_name", None, "json_value", poll)])
 
 
-def twitch_top_games(games: DataFrame) -> DataFrame:
-    """Per game the row with most total viewers, and ``{img, views}``."""
-    top = best_row_per_key(games, "game_name", ["total_viewers"], ["box_art_url"], alias="_top")
+def twitch_top_games(games: DataFrame, scope: str = "batch") -> DataFrame:
+    """Per game (per poll and game) the row with most total viewers, and ``{img, views}``."""
+    keys = ["game_name"] if scope == "batch" else ["fetched_at", "game_name"]
+    top = best_row_per_key(games, keys, ["total_viewers"], ["box_art_url"], alias="_top")
     return top.withColumn("json_value", pack_json(
         F.col("box_art_url").alias("img"), F.col("total_viewers").alias("views"), keep_nulls=True))
 
 
-def twitch_game_views(games: DataFrame) -> DataFrame:
-    top = twitch_top_games(games)
-    return views_from(top, [("twitch_games_rank", "game_name", "total_viewers", None),
-                            ("twitch_games_details", "game_name", None, "json_value")])
+def twitch_game_views(games: DataFrame, scope: str = "batch") -> DataFrame:
+    top = twitch_top_games(games, scope)
+    poll = "fetched_at" if scope == "poll" else None
+    return views_from(top, [("twitch_games_rank", "game_name", "total_viewers", None, poll),
+                            ("twitch_games_details", "game_name", None, "json_value", poll)])
 
 
 # ---- C5: tiktok sounds -------------------------------------------------

@@ -30,18 +30,31 @@ from pyspark.sql import functions as F
 
 from ..plans.hot import TTL_SECONDS, VIEWS
 
-VIEW_COLS = ["member", "score", "json_value"]
+VIEW_COLS = ["member", "score", "json_value", "poll"]
+
+
+def _with_poll(df: DataFrame) -> DataFrame:
+    return df if "poll" in df.columns else df.withColumn("poll", F.lit(None).cast("string"))
 
 
 # ---- pure merge rules (batch and streaming share them) -------------------
 
 def upsert(prev: DataFrame | None, batch: DataFrame, batch_id: int) -> DataFrame:
     """K4/K5: one row per member; the newest batch wins, then larger score/json."""
-    b = batch.select(*VIEW_COLS).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-    u = b if prev is None else prev.select(*VIEW_COLS, "batch_id").unionByName(b)
+    b = _with_poll(batch).select(*VIEW_COLS).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    u = b if prev is None else _with_poll(prev).select(*VIEW_COLS, "batch_id").unionByName(b)
     return (u.groupBy("member")
-             .agg(F.max(F.struct("batch_id", "score", "json_value")).alias("r"))
-             .select("member", "r.score", "r.json_value", "r.batch_id"))
+             .agg(F.max(F.struct("batch_id", "score", "json_value", "poll")).alias("r"))
+             .select("member", "r.score", "r.json_value", "r.poll", "r.batch_id"))
+
+
+def replace_by_poll(prev: DataFrame | None, batch: DataFrame, batch_id: int) -> DataFrame:
+    """K6 by poll: the view holds the newest poll seen. A batch that carries
+    the rest of the current poll adds to it; a newer poll replaces it. So a
+    poll split over two micro-batches is shown whole, not only its tail."""
+    merged = upsert(prev, batch, batch_id)
+    newest = merged.agg(F.max("poll")).scalar()
+    return merged.where(F.col("poll") == newest)
 
 
 def upsert_all(rows: DataFrame) -> DataFrame:
@@ -133,7 +146,12 @@ class ServingStore:
                 prev = None if prev_v is None else self._version_df(view, prev_v)
                 snap = upsert(prev, part, batch_id)
             elif policy == "replace":
-                snap = part.select(*VIEW_COLS).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+                snap = _with_poll(part).select(*VIEW_COLS).withColumn(
+                    "batch_id", F.lit(int(batch_id)).cast("long"))
+            elif policy == "replace_poll":
+                prev_v = self.versions(view, below=batch_id)
+                prev = None if prev_v is None else self._version_df(view, prev_v)
+                snap = replace_by_poll(prev, part, batch_id)
             else:
                 raise ValueError(f"unknown policy {policy!r} for view {view}")
             ttl = self.ttl.get(view)
@@ -152,11 +170,11 @@ class ServingStore:
         """Current rows of ``view``; a TTL view is empty once expired at ``now``."""
         v = self.versions(view)
         if v is None:
-            return self.spark.createDataFrame([], "member string, score double, json_value string")
+            return self.spark.createDataFrame([], "member string, score double, json_value string, poll string")
         df = self._version_df(view, v)
         if now is not None and self.ttl.get(view):
             df = df.where(F.col("expires_at") > F.lit(now).cast("timestamp_ntz"))
-        return df.select(*VIEW_COLS)
+        return _with_poll(df).select(*VIEW_COLS)
 
     def ranked(self, view: str, n: int | None = None, ascending: bool = False,
                now: dt.datetime | None = None) -> DataFrame:

@@ -57,9 +57,17 @@ def _tagged(raw: DataFrame, schema, key) -> DataFrame:
 
 def start_view_query(raw: DataFrame, topic: str, store: ServingStore, checkpoint: str,
                      quarantine: str | None = None, trigger: dict | None = None,
-                     clock=None) -> StreamingQuery:
-    """T1 + T8: stateless append query; each micro-batch updates its views."""
+                     clock=None, scope: str = "batch") -> StreamingQuery:
+    """T1 + T8: stateless append query; each micro-batch updates its views.
+
+    ``scope="poll"`` (twitch topics) ranks per poll stamp; use it with a
+    store built on ``hot.POLL_POLICIES`` so a poll split over micro-batches
+    is kept whole. The default reproduces per-micro-batch replacement.
+    """
     schema, key, compose, views = HOT_JOBS[topic]
+    if scope == "poll":
+        base = compose
+        compose = lambda df: base(df, scope="poll")
     tagged = _tagged(raw, schema, key)
     w = (tagged.writeStream.outputMode("append")
          .foreachBatch(_writer(store, compose, views, quarantine, clock))

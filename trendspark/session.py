@@ -71,14 +71,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (e.g. one file with a single row group), so row-wise work (JSON,
-    regex, hashing) does not run in one task. A scan of a large input has
-    more splits than cores and is returned unchanged."""
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (e.g. one file with a single row group), so row-wise work (JSON, regex,
+    hashing) does not run in one task. A scan of a large input has more
+    splits than cores and is returned unchanged.
+
+    Rows are hash-partitioned on ``key`` (default: the leading column, a
+    table key): as deterministic on retry as a round robin, without the
+    sort a round robin needs for that.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, key or df.columns[0])
     return df
 
 

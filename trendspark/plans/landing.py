@@ -130,9 +130,11 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
 
 
 def unescape(c) -> F.Column:
+    out = c
     for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    # most text holds no entity: skip the replacements then
+    return F.when(c.contains("&"), out).otherwise(c)
 
 
 def cell_text(c) -> F.Column:
@@ -157,16 +159,20 @@ def html_table_rows(pages: DataFrame, min_cells: int = 8) -> DataFrame:
     """
     table = F.regexp_extract("html", r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
+    trs = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
+
+    def parse_row(tr):
+        cells = F.regexp_extract_all(tr, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
+        href = F.regexp_extract(F.try_element_at(cells, F.lit(2)),
+                                r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']""", 1)
+        return F.struct(cells.alias("cells"), href.alias("href"))
+    # cells and link are computed inside the generator, so the row filters
+    # below read its output instead of re-running the cell regexes
     other = [c for c in pages.columns if c != "html"]
-    rows = pages.select(*other, F.posexplode(
-        F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)).alias("row_pos", "tr"))
-    cells = rows.select(*other, "row_pos",
-                        F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1).alias("cells"))
-    href = F.regexp_extract(F.col("cells")[1],
-                            r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']""", 1)
-    return (cells.where(F.size("cells") >= min_cells)
-                 .withColumn("sound_href", F.nullif(href, F.lit("")))
-                 .where(F.col("sound_href").isNotNull()))
+    rows = pages.select(*other, F.posexplode(F.transform(trs, parse_row)).alias("row_pos", "r"))
+    return (rows.where((F.size("r.cells") >= min_cells) & (F.col("r.href") != ""))
+                .select(*other, "row_pos", F.col("r.cells").alias("cells"),
+                        F.col("r.href").alias("sound_href")))
 
 
 def chart_cells(rows: DataFrame, keep=()) -> DataFrame:

@@ -71,18 +71,33 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Size of a scan's input files (file metadata only)."""
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = sc._jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread(df: DataFrame, key: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores
     (e.g. one file with a single row group), so row-wise work (JSON, regex,
     hashing) does not run in one task. A scan of a large input has more
-    splits than cores and is returned unchanged.
+    splits than cores and is returned unchanged, and so is a small one
+    (below ``min_bytes``: a lookup that is broadcast anyway).
 
     Rows are hash-partitioned on ``key`` (default: the leading column, a
     table key): as deterministic on retry as a round robin, without the
     sort a round robin needs for that.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() < cores and _input_bytes(df) >= min_bytes:
         return df.repartition(cores, key or df.columns[0])
     return df
 

@@ -8,14 +8,14 @@ and rounding match on both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import schemas
 from .functions.keys import date_key, time_key
 from .functions.records import parse_records, to_json_value
-from .functions.text import (first_token, last_token, not_found, percent_token,
-                             rank_score, strip_ws, url_from_id, fill_size_template)
+from .functions.text import (fill_size_template, first_token, last_token, not_found,
+                             percent_token, strip_ws, url_from_id)
 from .functions.times import epoch_to_iso_utc
 from .operators.ranking import ranked_read
 from .plans import hot

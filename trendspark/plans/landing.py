@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, LongType, StringType, StructField,
-                               StructType, DoubleType, IntegerType)
+from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType,
+                               StructField, StructType)
 
 from ..functions.text import (absolute_url, count_or_zero, fill_size_template,
                               first_token, last_token, not_found, strip_ws, url_from_id)

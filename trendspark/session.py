@@ -2,7 +2,7 @@
 
 The builder only sets what a job needs for correct, scalable plans:
 AQE (runtime coalescing, skew-join splitting, runtime broadcast choice),
-UTC session time, Arrow for the few pandas paths, and the UI off.
+UTC session time, RocksDB streaming state, and the UI off.
 Cluster-sized knobs (shuffle partitions, file split size) come from the
 caller or the cluster's defaults.
 """
@@ -21,6 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # streaming state (per-key running best / totals) off the JVM heap, with
+    # incremental (changelog) checkpoints instead of full snapshots
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,14 +36,21 @@ HOT_JOBS = {
 
 def _writer(store: ServingStore, compose, views, quarantine: str | None, clock=None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where("_good")
-        if quarantine:
-            bad = batch.where("not _good").select("raw_value")
-            write_batch_partition(bad, quarantine, batch_id)
-        if good.isEmpty():          # P12: an empty batch changes nothing
-            return
-        now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        store.write_batch(compose(good.drop("_good", "raw_value")), batch_id, views, now)
+        # the batch is read by the quarantine write, the empty check and the
+        # views: fetch and parse it once (a lost block is re-read from the
+        # source, which replays the same offsets/files for this batch id)
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = held.where("_good")
+            if quarantine:
+                bad = held.where("not _good").select("raw_value")
+                write_batch_partition(bad, quarantine, batch_id)
+            if good.isEmpty():          # P12: an empty batch changes nothing
+                return
+            now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            store.write_batch(compose(good.drop("_good", "raw_value")), batch_id, views, now)
+        finally:
+            held.unpersist()
     return write
 
 

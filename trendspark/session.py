@@ -101,10 +101,12 @@ def spread(df: DataFrame, key: str | None = None, min_bytes: int = SPREAD_MIN_BY
     table key): as deterministic on retry as a round robin, without the
     sort a round robin needs for that.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and _input_bytes(df) >= min_bytes:
-        return df.repartition(cores, key or df.columns[0])
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        small_split = df.rdd.getNumPartitions() < cores and _input_bytes(df) >= min_bytes
+    except Exception:  # noqa: BLE001  (no context access, e.g. a Connect session)
+        return df
+    return df.repartition(cores, key or df.columns[0]) if small_split else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:

@@ -623,7 +623,7 @@ def q_platform_fact_rows(spark, sf_dir):
     facts = None
     for topic, fn in warehouse.STARS.items():
         t = fn(_lake(spark, sf_dir, topic))
-        fact = [v for k, v in t.items() if k.startswith("Fact_")][0].select("platform_sk")
+        fact = t[next(k for k in t if k.startswith("Fact_"))].select("platform_sk")
         facts = fact if facts is None else facts.unionByName(fact)
     counts = facts.groupBy("platform_sk").agg(F.count(F.lit(1)).alias("fact_rows"))
     return (F.broadcast(platform_dim(spark)).join(counts, "platform_sk")

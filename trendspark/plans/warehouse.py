@@ -16,6 +16,8 @@ name keeps one key across batches.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,26 @@ from ..session import checkpoint_dir
 from ..sources.constants import PLATFORM_KEYS, platform_dim  # noqa: F401  (C7 re-export)
 
 
+class StarTables(Mapping):
+    """The tables of one star batch, each built on first access (building a
+    DataFrame costs plan analysis; a caller reading one table pays for one)."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def _time_keys(df: DataFrame) -> list:
     return [
         date_key("ingested_at").alias("ingested_date_sk"),
@@ -48,7 +70,7 @@ def _freeze(df: DataFrame, mode: str, prepare=None) -> DataFrame:
     return prepare(df) if prepare else df
 
 
-def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None) -> dict[str, DataFrame]:
+def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
     """Dim_Subreddit (normalised name), Dim_Post, Fact_Redit_Activity."""
     keyed = attach_keys(posts, "Reddit", [("subreddit_sk", "subreddit", True)], mode=mode)
     t = keyed.select(
@@ -61,16 +83,16 @@ def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None) -> dict[str,
         "post_timestamp", "score", "num_comments", "ingested_at",
     )
     t = _freeze(t, mode, prepare)
-    return {
-        "Dim_Subreddit": dimension(t, "subreddit_sk", {"subreddit_name": "subreddit_name"}),
-        "Dim_Post": dimension(t, "post_sk", {"title": "post_title", "url": "post_url",
+    return StarTables({
+        "Dim_Subreddit": lambda: dimension(t, "subreddit_sk", {"subreddit_name": "subreddit_name"}),
+        "Dim_Post": lambda: dimension(t, "post_sk", {"title": "post_title", "url": "post_url",
                                              "post_timestamp": "post_timestamp"}, unique=True),
-        "Fact_Redit_Activity": t.select("post_sk", "subreddit_sk", "platform_sk", "ingested_date_sk",
+        "Fact_Redit_Activity": lambda: t.select("post_sk", "subreddit_sk", "platform_sk", "ingested_date_sk",
                                         "ingested_time_sk", "score", "num_comments", "ingested_at"),
-    }
+    })
 
 
-def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> dict[str, DataFrame]:
+def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
     """Dim_Sound, Dim_Country, Fact_Tiktok_Performance (two J1 joins, J4)."""
     keyed = attach_keys(sounds, "TikTok", [("sound_sk", "sound_name"),
                                            ("country_sk", "author_country")], mode=mode)
@@ -84,16 +106,16 @@ def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> dict[str,
     t = t.withColumn("performance_sk", _row_sk("TikTok", mode, [
         "sound_name", "country_code_iso", "rank", "ugc_count", "growth", "fetch_timestamp", "ingested_at"]))
     t = _freeze(t, mode, prepare)
-    return {
-        "Dim_Sound": dimension(t, "sound_sk", {"sound_name": "sound_name"}, unique=True),
-        "Dim_Country": dimension(t, "country_sk", {"country_code_iso": "country_code_iso"}, unique=True),
-        "Fact_Tiktok_Performance": t.select(
+    return StarTables({
+        "Dim_Sound": lambda: dimension(t, "sound_sk", {"sound_name": "sound_name"}, unique=True),
+        "Dim_Country": lambda: dimension(t, "country_sk", {"country_code_iso": "country_code_iso"}, unique=True),
+        "Fact_Tiktok_Performance": lambda: t.select(
             "performance_sk", "sound_sk", "country_sk", "platform_sk", "ingested_date_sk",
             "ingested_time_sk", "rank", "ugc_count", "growth", "fetch_timestamp", "ingested_at"),
-    }
+    })
 
 
-def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None) -> dict[str, DataFrame]:
+def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
     """Dim_Video, Dim_Channel, Dim_Category, Fact_Youtube_Performance."""
     keyed = attach_keys(videos, "YouTube", [("video_sk", "video_id"), ("channel_sk", "channel"),
                                             ("category_sk", "category")], mode=mode)
@@ -109,21 +131,21 @@ def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None) -> dict[str
         "video_id", "channel_name", "category_name", "views", "likes", "ingestion_timestamp",
         "ingested_at"]))
     t = _freeze(t, mode, prepare)
-    return {
+    return StarTables({
         # attributes of a video may change between snapshots: the newest wins
-        "Dim_Video": dimension(t, "video_sk", {
+        "Dim_Video": lambda: dimension(t, "video_sk", {
             "ingested_at": "ingested_at", "video_id_nk": "video_id", "video_url": "video_url",
             "video_title": "video_title", "published_at": "published_at"}).drop("ingested_at"),
-        "Dim_Channel": dimension(t, "channel_sk", {"channel_name_nk": "channel_name"}, unique=True),
-        "Dim_Category": dimension(t, "category_sk", {"category_name_nk": "category_name"}, unique=True),
-        "Fact_Youtube_Performance": t.select(
+        "Dim_Channel": lambda: dimension(t, "channel_sk", {"channel_name_nk": "channel_name"}, unique=True),
+        "Dim_Category": lambda: dimension(t, "category_sk", {"category_name_nk": "category_name"}, unique=True),
+        "Fact_Youtube_Performance": lambda: t.select(
             "performance_sk", "video_sk", "channel_sk", "category_sk", "platform_sk",
             "ingested_date_sk", "ingested_time_sk", "views", "likes", "ingestion_timestamp",
             "ingested_at"),
-    }
+    })
 
 
-def twitch_star(streams: DataFrame, mode: str = "md5", prepare=None) -> dict[str, DataFrame]:
+def twitch_star(streams: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
     """C11: Dim_Game, Dim_Stream (key: user_name || fetched_at, J3) and
     Fact_Twitch_Performance. ``user_sk`` is in the fact; like the source
     job, no user dimension is written."""
@@ -141,15 +163,15 @@ def twitch_star(streams: DataFrame, mode: str = "md5", prepare=None) -> dict[str
     t = t.withColumn("performance_sk", _row_sk("Twitch", mode, [
         "user_name", "game_name", "stream_title", "viewer_count", "fetched_timestamp", "ingested_at"]))
     t = _freeze(t, mode, prepare)
-    return {
-        "Dim_Game": dimension(t, "game_sk", {"game_name_nk": "game_name"}, unique=True),
-        "Dim_Stream": dimension(t, "stream_sk", {
+    return StarTables({
+        "Dim_Game": lambda: dimension(t, "game_sk", {"game_name_nk": "game_name"}, unique=True),
+        "Dim_Stream": lambda: dimension(t, "stream_sk", {
             "ingested_at": "ingested_at", "stream_title": "stream_title",
             "thumbnail_url": "thumbnail_url", "type": "type", "user_name": "user_name"}).drop("ingested_at"),
-        "Fact_Twitch_Performance": t.select(
+        "Fact_Twitch_Performance": lambda: t.select(
             "performance_sk", "stream_sk", "user_sk", "game_sk", "platform_sk", "ingested_date_sk",
             "ingested_time_sk", "viewer_count", "fetched_timestamp", "ingested_at"),
-    }
+    })
 
 
 STARS = {

@@ -109,6 +109,18 @@ def spread(df: DataFrame, key: str | None = None, min_bytes: int = SPREAD_MIN_BY
     return df.repartition(cores, key or df.columns[0]) if small_split else df
 
 
+_TABLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_small else df
+    """A benchmark table as a DataFrame. The relation (file listing, footer
+    schema, spread decision) is built once per session and path; a
+    DataFrame is a plan, not data, so reusing it reads the files afresh."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path, spread_small)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        df = spread(df) if spread_small else df
+        _TABLES[key] = df
+    return df

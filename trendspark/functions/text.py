@@ -52,7 +52,8 @@ def percent_token(c, default: str = "0%") -> Column:
     """
     parts = _tokens(c)
     n = F.size(parts)
-    with_pct = F.try_element_at(F.filter(parts, lambda p: p.contains("%")), F.lit(1))
+    # first token holding a '%' (a regex, not a lambda: stays in codegen)
+    with_pct = F.nullif(F.regexp_extract(strip_ws(c), r"(?U)(?:^|\s)([^\s%]*%\S*)", 1), F.lit(""))
     last = F.try_element_at(parts, F.lit(-1))
     joined = F.concat(F.try_element_at(parts, n - 1), F.lit("%"))
     out = (F.when((last == "%") & (n >= 2), joined)

@@ -143,9 +143,13 @@ def cell_text(c) -> F.Column:
 
 
 def cell_text_pieces(c) -> F.Column:
-    """``get_text(strip=True)``: every text piece stripped, then joined."""
-    pieces = F.transform(F.split(c, r"<[^>]*>"), lambda x: strip_ws(unescape(x)))
-    return F.array_join(F.filter(pieces, lambda x: x != ""), "")
+    """``get_text(strip=True)``: every text piece stripped, then joined.
+
+    Removing each tag together with the whitespace around it strips every
+    piece at its edges in one regex (no per-piece lambda, so the projection
+    stays in whole-stage codegen).
+    """
+    return strip_ws(unescape(F.regexp_replace(c, r"(?U)\s*<[^>]*>\s*", "")))
 
 
 def html_table_rows(pages: DataFrame, min_cells: int = 8) -> DataFrame:

@@ -1099,3 +1099,42 @@ def q_chart_page_records(spark, sf_dir):
     rows = landing.html_table_rows(_chart_pages(spark, sf_dir))
     chart = landing.chart_cells(rows, keep=("fetch_timestamp",))
     return landing.chart_records(chart.withColumn("direct_link", F.lit(None).cast("string")))
+
+
+def _detail_pages(spark, sf_dir) -> DataFrame:
+    """Sound detail pages rendered from part: a music link (large sizes), a
+    'View on TikTok' link (middle sizes) or none."""
+    p = _t(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    html = (F.when(F.col("p_size") > 25,
+                   F.concat(F.lit('<p>x</p><a href="/home">home</a><a href="https://www.tiktok.com/music/s-'),
+                            key, F.lit('">music</a>')))
+            .when(F.col("p_size") > 10,
+                  F.concat(F.lit('<a href="/home">home</a><a href="https://vm.example.org/'), key,
+                           F.lit('">View on TikTok</a>')))
+            .otherwise(F.lit("<p>no link</p>")))
+    return p.select(F.col("p_partkey").alias("page_id"),
+                    F.concat(F.lit("https://charts.example.org/sound/"), key).alias("url"),
+                    html.alias("html"))
+
+
+@register("chart_records_with_links", """
+WITH c AS (""" + CHART_SQL.replace("SELECT CASE", "SELECT l_orderkey, l_partkey, CASE", 1) + """),
+d AS (SELECT p_partkey, CASE WHEN p_size > 25 THEN 'https://www.tiktok.com/music/s-' || CAST(p_partkey AS VARCHAR)
+                             WHEN p_size > 10 THEN 'https://vm.example.org/' || CAST(p_partkey AS VARCHAR) END AS link
+      FROM part)
+SELECT """ + _strip_sql("rank_text") + """ AS rank, sound_name,
+       """ + _last_tok_sql("ugc_text") + """ AS ugc_count,
+       """ + _first_tok_sql("growth_text") + """ AS growth,
+       author_country, 'https://charts.example.org' || sound_href AS tokchart_url,
+       coalesce(d.link, 'Not Found') AS tiktok_direct_url,
+       max(fetch_timestamp) OVER (PARTITION BY l_orderkey) AS fetch_timestamp
+FROM c LEFT JOIN d ON c.l_partkey = d.p_partkey""")
+def q_chart_records_with_links(spark, sf_dir):
+    """C13 with S9: chart pages -> rows; detail pages -> first music link, else
+    the 'View on TikTok' link; joined by detail URL; 'Not Found' when none."""
+    rows = landing.html_table_rows(_chart_pages(spark, sf_dir))
+    chart = landing.chart_cells(rows, keep=("fetch_timestamp",))
+    details = _detail_pages(spark, sf_dir)
+    links = details.select("url", landing.first_link(F.col("html")).alias("link"))
+    return landing.chart_records(chart, links=links)

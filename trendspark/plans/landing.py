@@ -202,8 +202,8 @@ def chart_records(chart: DataFrame, base: str = CHART_BASE, links: DataFrame | N
     """
     df = chart.withColumn("tokchart_url", absolute_url(F.col("sound_href"), F.lit(base)))
     if links is not None:
-        df = df.join(links.select(F.col("url").alias("tokchart_url"), F.col("link").alias("direct_link")),
-                     "tokchart_url", "left")
+        # one link per detail URL, so a page stored twice cannot duplicate rows
+        df = lookup_with_default(df, links, "tokchart_url", "url", {"link": ("direct_link", None)})
     if "fetch_timestamp" not in df.columns:
         df = df.withColumn("fetch_timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
     return df.select(

@@ -1138,3 +1138,60 @@ def q_chart_records_with_links(spark, sf_dir):
     details = _detail_pages(spark, sf_dir)
     links = details.select("url", landing.first_link(F.col("html")).alias("link"))
     return landing.chart_records(chart, links=links)
+
+
+@register("stream_complete_sum", """
+WITH r AS (""" + REDDIT_SQL + """)
+SELECT subreddit, CAST(sum(score) AS BIGINT) AS total_score FROM r GROUP BY subreddit""")
+def q_stream_complete_sum(spark, sf_dir):
+    """C14 as a stream: complete-mode running totals over three micro-batches,
+    each replacing the rank view."""
+    from .sinks.serving import ServingStore
+    from .sources.topics import text_stream
+    from .streaming.hot import start_reddit_rank
+    base = _run_dir(spark, "stream-sum")
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
+    to_json_value(posts).repartition(3).write.text(f"{base}/in")
+    store = ServingStore(spark, f"{base}/views")
+    q = start_reddit_rank(text_stream(spark, f"{base}/in", max_files_per_trigger=1), store,
+                          f"{base}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return store.read("reddit_subreddits_rank").select(
+        F.col("member").alias("subreddit"), F.col("score").cast("bigint").alias("total_score"))
+
+
+@register("stream_replace_view", """
+WITH b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events),
+e AS (SELECT events.*, (3 * date_diff('microsecond', b.lo, ts)) // (date_diff('microsecond', b.lo, b.hi) + 1) AS third
+      FROM events, b),
+s AS (SELECT 'user_' || CAST(user_id AS VARCHAR) AS user_name, event_type AS game_name, props AS title,
+             CAST(round(value * 100) AS INTEGER) AS viewer_count,
+             'https://static.example.org/previews/live_user_' || CAST(user_id AS VARCHAR) || '-320x180.jpg' AS thumbnail_url
+      FROM e WHERE third = 2),
+a AS (SELECT user_name, max(struct_pack(v := viewer_count, g := game_name, t := title, th := thumbnail_url)) AS m
+      FROM s GROUP BY user_name)
+SELECT 'twitch_streamers_rank' AS view, user_name AS member, CAST(m.v AS DOUBLE) AS score,
+       CAST(NULL AS VARCHAR) AS json_value FROM a""")
+def q_stream_replace_view(spark, sf_dir):
+    """C3 as a stream over three drops (thirds of the event time), one
+    availableNow run per drop on one checkpoint: the rank view is replaced
+    by each batch and ends as the last drop's top streams."""
+    from .sinks.serving import ServingStore
+    from .sources.topics import text_stream
+    from .streaming.hot import start_view_query
+    base = _run_dir(spark, "stream-replace")
+    ev = _t(spark, sf_dir, "events")
+    # the event-time span as scalar subqueries; exact integer microseconds
+    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    lo = b.select("lo").scalar()
+    span = b.select(F.timestamp_diff("MICROSECOND", F.col("lo"), F.col("hi")) + 1).scalar()
+    tagged = ev.withColumn("_us3", F.timestamp_diff("MICROSECOND", lo, F.col("ts")) * 3)
+    store = ServingStore(spark, f"{base}/views")
+    for k in range(3):
+        part = tagged.where((F.col("_us3") >= span * k) & (F.col("_us3") < span * (k + 1))).drop("_us3")
+        to_json_value(standins.twitch_streams(part)).write.text(f"{base}/in/drop={k}")
+        q = start_view_query(text_stream(spark, f"{base}/in/drop=*"), "twitch_streams", store,
+                             f"{base}/ckpt", trigger={"availableNow": True})
+        q.awaitTermination()
+    return store.read("twitch_streamers_rank").select(
+        F.lit("twitch_streamers_rank").alias("view"), "member", "score", "json_value")

@@ -33,6 +33,12 @@ from ..plans.hot import TTL_SECONDS, VIEWS
 VIEW_COLS = ["member", "score", "json_value", "poll"]
 
 
+def _wall_clock(t: dt.datetime):
+    """A naive datetime as a TIMESTAMP_NTZ literal, independent of the
+    process and session time zones."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _with_poll(df: DataFrame) -> DataFrame:
     return df if "poll" in df.columns else df.withColumn("poll", F.lit(None).cast("string"))
 
@@ -83,7 +89,7 @@ def visible_at(rows: DataFrame, now, ttl_seconds: int, batch_time_col: str = "ba
     if isinstance(now, DataFrame):
         now = now.scalar()
     elif isinstance(now, dt.datetime):
-        now = F.lit(now).cast("timestamp_ntz")
+        now = _wall_clock(now)
     last = rows.groupBy("view").agg(F.max(batch_time_col).alias("_last"))
     alive = last.where(now < F.col("_last") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
     # one row per view: bounded by the number of views
@@ -155,7 +161,8 @@ class ServingStore:
             else:
                 raise ValueError(f"unknown policy {policy!r} for view {view}")
             ttl = self.ttl.get(view)
-            expires = (F.lit(batch_time + dt.timedelta(seconds=ttl)) if ttl else F.lit(None)).cast("timestamp_ntz")
+            expires = (_wall_clock(batch_time + dt.timedelta(seconds=ttl)) if ttl
+                       else F.lit(None).cast("timestamp_ntz"))
             snap = snap.select(*VIEW_COLS, "batch_id", expires.alias("expires_at"),
                                F.lit(view).alias("view"), F.lit(int(batch_id)).alias("version"))
             out = snap if out is None else out.unionByName(snap)
@@ -173,7 +180,7 @@ class ServingStore:
             return self.spark.createDataFrame([], "member string, score double, json_value string, poll string")
         df = self._version_df(view, v)
         if now is not None and self.ttl.get(view):
-            df = df.where(F.col("expires_at") > F.lit(now).cast("timestamp_ntz"))
+            df = df.where(F.col("expires_at") > _wall_clock(now))
         return _with_poll(df).select(*VIEW_COLS)
 
     def ranked(self, view: str, n: int | None = None, ascending: bool = False,

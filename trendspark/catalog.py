@@ -8,6 +8,8 @@ and rounding match on both sides.
 
 from __future__ import annotations
 
+import uuid as _uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,12 @@ from .functions.records import parse_records, to_json_value
 from .functions.text import (fill_size_template, first_token, last_token, not_found,
                              percent_token, strip_ws, url_from_id)
 from .functions.times import epoch_to_iso_utc
-from .operators.ranking import ranked_read
-from .plans import hot
-from .session import read_table
+from .operators.dims import attach_key, dimension
+from .operators.lookups import lookup_with_default
+from .operators.ranking import best_row_per_key, ranked_read, top_n
+from .plans import hot, landing, warehouse
+from .session import read_table, scratch_path
+from .sinks import serving
 from .sources import standins
 
 QUERIES: dict = {}
@@ -395,9 +400,6 @@ def q_template_url(spark, sf_dir):
 # Warehouse
 # ---------------------------------------------------------------------------
 
-from .operators.dims import attach_key, dimension  # noqa: E402
-from .plans import landing, warehouse  # noqa: E402
-
 
 def _sk(platform: str, expr: str) -> str:
     return f"md5('{platform}|' || {expr})"
@@ -634,8 +636,6 @@ def q_platform_fact_rows(spark, sf_dir):
 # Lookups with defaults
 # ---------------------------------------------------------------------------
 
-from .operators.lookups import lookup_with_default  # noqa: E402
-
 
 @register("lookup_default", """
 SELECT c_custkey, c_nationkey, coalesce(n.n_name, 'Other') AS nation_name
@@ -901,9 +901,6 @@ def q_chart_table_rows(spark, sf_dir):
 # Serving folds over batches (K4-K7) and top-N at the source
 # ---------------------------------------------------------------------------
 
-from .operators.ranking import best_row_per_key, top_n  # noqa: E402
-from .sinks import serving  # noqa: E402
-
 
 def _daily_top_streams(spark, sf_dir) -> DataFrame:
     """Twitch streams cut into daily batches; per batch the top snapshot per user."""
@@ -990,10 +987,6 @@ def q_source_top50(spark, sf_dir):
 # End-to-end streaming runs (T2, T4, T5, T7, C1, C6, C8; S5, K9-K11)
 # ---------------------------------------------------------------------------
 
-import uuid as _uuid  # noqa: E402
-
-from .session import scratch_path  # noqa: E402
-
 
 def _run_dir(spark, kind: str) -> str:
     return scratch_path(spark, "trendspark-runs", f"{kind}-{_uuid.uuid4().hex[:12]}")

@@ -3,9 +3,8 @@
 Each function takes one batch of parsed records and returns view rows
 ``(view, member, score, json_value)`` or the natural columns behind them.
 Nothing is collected: the rows go to a serving table (``sinks.serving``)
-as a distributed write.
-
-Views and their write policies (fixed names, as dashboards read them):
+as a distributed write. View names and write policies are fixed below, as
+dashboards read them.
 """
 
 from __future__ import annotations

@@ -67,11 +67,16 @@ def test_stream_replace_view_keeps_last_batch(spark, tmp_path):
     for i, cond in enumerate(["ts < '2024-01-10'", "ts >= '2024-01-10' and ts < '2024-01-20'", "ts >= '2024-01-20'"]):
         ev = read_table(spark, SF_SMALL, "events").where(cond)
         to_json_value(standins.twitch_streams(ev)).coalesce(1).write.text(f"{src}/d{i}")
+    # garbage and keyless lines land in the first drop
+    extra = spark.createDataFrame([("garbage",), ('{"viewer_count": 3}',)], "value string")
+    extra.coalesce(1).write.mode("append").text(f"{src}/d0")
     store = ServingStore(spark, str(tmp_path / "views"))
     raw = text_stream(spark, f"{src}/*", max_files_per_trigger=1)
     q = hot_stream.start_view_query(raw, "twitch_streams", store, str(tmp_path / "ckpt"),
                                     quarantine=str(tmp_path / "bad"), trigger={"availableNow": True})
     _run(q)
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    assert sorted(r.raw_value for r in bad.collect()) == ["garbage", '{"viewer_count": 3}']
     last = standins.twitch_streams(read_table(spark, SF_SMALL, "events").where("ts >= '2024-01-20'"))
     want_rank = rows(hot.twitch_top_streams(last).select("user_name", F.col("viewer_count").cast("double")))
     assert rows(store.read("twitch_streamers_rank"), "member", "score") == want_rank

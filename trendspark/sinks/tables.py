@@ -2,9 +2,9 @@
 
 A target is a path (parquet by default) or any DataFrameWriter format with
 options, e.g. a JDBC or warehouse connector. Writes to a path are keyed by
-``batch_id``: each batch's rows land in partition ``batch_id=<id>`` with
-dynamic partition overwrite, so a replayed batch replaces its own rows
-instead of appending them twice.
+``batch_id``: each batch's rows land in their own partition folder
+``batch_id=<id>``, so a replayed batch replaces its own rows instead of
+appending them twice.
 """
 
 from __future__ import annotations
@@ -50,10 +50,15 @@ def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> int:
-    """Idempotent batch write: overwrite partition ``batch_id=<id>`` only."""
-    out, obs = observed_count(df.withColumn("batch_id", F.lit(int(batch_id))), f"rows:{path}:{batch_id}")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path))
+    """Idempotent batch write: replace folder ``batch_id=<id>`` only.
+
+    The batch is written straight into its own partition folder, so no
+    per-task sort by a partition column and no partition-rename commit is
+    needed; a replayed batch replaces its folder. Readers of ``path`` see
+    ``batch_id`` as a partition column.
+    """
+    out, obs = observed_count(df, f"rows:{path}:{batch_id}")
+    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
     return obs.get.get("n", 0)
 
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.constants import (EMPTY_PERCENT, EMPTY_TOKEN, NOT_FOUND, SIZE_TEMPLATE,
+                                 UNPARSABLE_RANK)
+
 _EDGES = r"(?U)^\s+|\s+$"
 _RUN = r"(?U)\s+"
 
@@ -28,7 +31,7 @@ def _tokens(c) -> Column:
     return F.split(strip_ws(c), _RUN)
 
 
-def last_token(c, default: str = "0") -> Column:
+def last_token(c, default: str = EMPTY_TOKEN) -> Column:
     """last whitespace-separated token, ``default`` when there is none.
 
     ``"1K\\n 1,247"`` -> ``"1,247"``; ``""`` or null -> ``"0"``.
@@ -37,13 +40,13 @@ def last_token(c, default: str = "0") -> Column:
     return F.coalesce(F.nullif(tok, F.lit("")), F.lit(default))
 
 
-def first_token(c, default: str = "0") -> Column:
+def first_token(c, default: str = EMPTY_TOKEN) -> Column:
     """first whitespace-separated token (``"+6,500\\n +8.13 %"`` -> ``"+6,500"``)."""
     tok = F.try_element_at(_tokens(c), F.lit(1))
     return F.coalesce(F.nullif(tok, F.lit("")), F.lit(default))
 
 
-def percent_token(c, default: str = "0%") -> Column:
+def percent_token(c, default: str = EMPTY_PERCENT) -> Column:
     """F16: the percentage token.
 
     A lone trailing ``%`` is joined to the token before it
@@ -62,7 +65,7 @@ def percent_token(c, default: str = "0%") -> Column:
     return F.coalesce(F.nullif(out, F.lit("")), F.lit(default))
 
 
-def rank_score(c, unparsable: int = 999) -> Column:
+def rank_score(c, unparsable: int = UNPARSABLE_RANK) -> Column:
     """rank text ``"#12"`` -> 12; anything that is not an integer -> 999."""
     stripped = F.replace(_c(c), F.lit("#"), F.lit(""))
     return F.coalesce(stripped.try_cast("int"), F.lit(unparsable))
@@ -80,10 +83,10 @@ def url_from_id(prefix: str, c) -> Column:
 
 def fill_size_template(c, size: str) -> Column:
     """literal (not regex) replacement of ``{width}x{height}``."""
-    return F.replace(_c(c), F.lit("{width}x{height}"), F.lit(size))
+    return F.replace(_c(c), F.lit(SIZE_TEMPLATE), F.lit(size))
 
 
-def not_found(c, sentinel: str = "Not Found") -> Column:
+def not_found(c, sentinel: str = NOT_FOUND) -> Column:
     """null -> sentinel text."""
     return F.coalesce(_c(c), F.lit(sentinel))
 

@@ -16,27 +16,10 @@ from ..functions.records import pack_json
 from ..functions.text import rank_score
 from ..operators.aggregates import sum_per_key
 from ..operators.ranking import best_row_per_key, best_struct, key_summary, newest_struct
+from ..sources.constants import TTL_SECONDS, VIEWS  # noqa: F401  (re-exported)
 
-# View names and their write policies.
-VIEWS = {
-    "reddit_subreddits_details": "upsert",
-    "reddit_subreddits_rank": "replace",
-    "youtube_category_views": "upsert",
-    "youtube_category_top_video": "upsert",
-    "twitch_streamers_rank": "replace",
-    "twitch_streamers_details": "upsert",
-    "twitch_games_rank": "replace",
-    "twitch_games_details": "upsert",
-    "tiktok_trends_eg": "upsert",
-}
 # Poll scope: rank views hold the newest poll (not the newest micro-batch).
 POLL_POLICIES = {**VIEWS, "twitch_streamers_rank": "replace_poll", "twitch_games_rank": "replace_poll"}
-# Views whose whole key expires 24 hours after its last non-empty batch.
-TTL_SECONDS = {
-    "youtube_category_views": 86400,
-    "youtube_category_top_video": 86400,
-    "tiktok_trends_eg": 86400,
-}
 
 
 def view_rows(df: DataFrame, view: str, member, score=None, json_value=None, poll=None) -> DataFrame:

@@ -18,6 +18,8 @@ from ..functions.text import (absolute_url, count_or_zero, fill_size_template,
 from ..functions.times import epoch_to_iso_utc
 from ..operators.aggregates import sum_per_key
 from ..operators.lookups import lookup_with_default
+from ..sources.constants import (BOX_ART_SIZE, CHART_MIN_CELLS, MUSIC_HREF, OTHER_CATEGORY,
+                                 THUMBNAIL_SIZE, UNKNOWN_GAME, VIEW_ON_TIKTOK, YOUTUBE_WATCH_URL)
 
 # ---- C12: API replies --------------------------------------------------
 
@@ -67,9 +69,6 @@ def reddit_records(replies: DataFrame) -> DataFrame:
         F.col("fetched_at").alias("ingestion_timestamp"))
 
 
-YOUTUBE_URL = "https://www.youtube.com/watch?v="
-
-
 def youtube_records(replies: DataFrame, categories: DataFrame) -> DataFrame:
     """Trending-video replies -> youtube_data records.
 
@@ -84,9 +83,9 @@ def youtube_records(replies: DataFrame, categories: DataFrame) -> DataFrame:
         count_or_zero(F.col("it.statistics.likeCount")).alias("likes"),
         F.col("it.snippet.categoryId").alias("category_id"),
         F.col("it.snippet.publishedAt").alias("published_at"),
-        url_from_id(YOUTUBE_URL, F.col("it.id")).alias("video_url"),
+        url_from_id(YOUTUBE_WATCH_URL, F.col("it.id")).alias("video_url"),
         F.col("fetched_at").alias("ingestion_timestamp"))
-    named = lookup_with_default(rows, categories, "category_id", "id", {"name": ("category", "Other")})
+    named = lookup_with_default(rows, categories, "category_id", "id", {"name": ("category", OTHER_CATEGORY)})
     return named.select("video_id", "title", "channel", "views", "likes", "category",
                         "published_at", "video_url", "ingestion_timestamp")
 
@@ -104,7 +103,7 @@ def twitch_records(replies: DataFrame, games: DataFrame) -> tuple[DataFrame, Dat
         F.col("it.user_name").alias("user_name"), F.col("it.game_id").alias("game_id"),
         F.col("it.game_name").alias("game_name"), F.col("it.title").alias("title"),
         F.col("it.viewer_count").alias("viewer_count"),
-        fill_size_template(F.col("it.thumbnail_url"), "320x180").alias("thumbnail_url"),
+        fill_size_template(F.col("it.thumbnail_url"), THUMBNAIL_SIZE).alias("thumbnail_url"),
         "fetched_at")
     stream_records = streams.select("user_name", "game_name", "title", "viewer_count",
                                     "thumbnail_url", "fetched_at", F.lit("stream").alias("type"))
@@ -113,9 +112,9 @@ def twitch_records(replies: DataFrame, games: DataFrame) -> tuple[DataFrame, Dat
     # Only truthy ids are looked up; an empty or null id stays unmatched
     lookup = games.where(F.coalesce(F.col("id"), F.lit("")) != "")
     named = lookup_with_default(per_game, lookup, "game_id", "id",
-                                {"name": ("game_name", "Unknown"), "box_art_url": ("box_art_url", "")})
+                                {"name": ("game_name", UNKNOWN_GAME), "box_art_url": ("box_art_url", "")})
     game_records = named.select(
-        "game_name", fill_size_template(F.col("box_art_url"), "285x380").alias("box_art_url"),
+        "game_name", fill_size_template(F.col("box_art_url"), BOX_ART_SIZE).alias("box_art_url"),
         "total_viewers", "fetched_at", F.lit("game").alias("type"))
     return stream_records, game_records
 
@@ -152,7 +151,7 @@ def cell_text_pieces(c) -> F.Column:
     return strip_ws(unescape(F.regexp_replace(c, r"(?U)\s*<[^>]*>\s*", "")))
 
 
-def html_table_rows(pages: DataFrame, min_cells: int = 8) -> DataFrame:
+def html_table_rows(pages: DataFrame, min_cells: int = CHART_MIN_CELLS) -> DataFrame:
     """Rows of the first ``<table>``'s ``<tbody>`` with at least
     ``min_cells`` cells and a link in the second cell.
 
@@ -218,11 +217,7 @@ def chart_records(chart: DataFrame, base: str = CHART_BASE, links: DataFrame | N
         *[c for c in ("ingested_at",) if c in df.columns])
 
 
-MUSIC_HREF = r"tiktok\.com/music/"
-VIEW_TEXT = "View on TikTok"
-
-
-def first_link(html, href_pattern: str = MUSIC_HREF, text: str = VIEW_TEXT) -> F.Column:
+def first_link(html, href_pattern: str = MUSIC_HREF, text: str = VIEW_ON_TIKTOK) -> F.Column:
     """Href of the first anchor whose href matches ``href_pattern``, else
     of the first anchor whose whole text is ``text``, else null."""
     by_href = F.regexp_extract(

@@ -112,3 +112,20 @@ def test_youtube_reply_defaults(spark):
                  .select("video_id", "views", "likes", "category", "video_url").collect())
     assert out == [("v1", 123, 0, "Music", "https://www.youtube.com/watch?v=v1"),
                    ("v2", 0, 0, "Other", "https://www.youtube.com/watch?v=v2")]
+
+
+def test_lookup_beyond_bound_is_not_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(200).select(F.col("id").cast("string").alias("k"))
+        lk = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("n").alias("name"))
+        small = lookup_with_default(df, lk, "k", "id", {"name": ("name", "Other")}, max_broadcast_rows=1000)
+        big = lookup_with_default(df, lk, "k", "id", {"name": ("name", "Other")}, max_broadcast_rows=10)
+        for out, want in ((small, "BroadcastHashJoin"), (big, "SortMergeJoin")):
+            out.collect()
+            assert want in out._jdf.queryExecution().executedPlan().toString()
+        assert big.where("name = 'Other'").count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

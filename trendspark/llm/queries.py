@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendspark.llm import bpe_codec, fingerprints, near_dedup, packing, sharding, suffix_dedup, warc
+from trendspark.llm import bpe_codec, embedding_dedup, fingerprints, near_dedup, packing, sharding, suffix_dedup, warc
 from trendspark.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf_dir, "documents"), percent=80, width=2)
 
@@ -40,6 +44,7 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_minhash_fingerprints": op7_minhash_fingerprints,

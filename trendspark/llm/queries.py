@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendspark.llm import bpe_codec, embedding_dedup, fingerprints, near_dedup, packing, sharding, suffix_dedup, warc
+from trendspark.llm import bpe_codec, embedding_dedup, fingerprints, near_dedup, packing, quality, sharding, suffix_dedup, warc
 from trendspark.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op7_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_minhash_fingerprints": op7_minhash_fingerprints,
+    "op8_quality_network": op8_quality_network,
     "op9_warc_archives": op9_warc_archives,
     "op10_differencing_shards": op10_differencing_shards,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendspark.llm import bpe_codec, embedding_dedup, fingerprints, near_dedup, packing, quality, sharding, suffix_dedup, warc
+from trendspark.llm import bpe_codec, embedding_dedup, fingerprints, near_dedup, packing, quality, secret_scan, sharding, suffix_dedup, warc
 from trendspark.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -48,6 +52,7 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_secret_forest": op3_secret_forest,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_bpe_round_trip": op6_bpe_round_trip,

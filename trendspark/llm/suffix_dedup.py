@@ -145,8 +145,8 @@ def with_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_
     """``docs`` with ``_spans``: the byte ranges covered by repeated strings, each as ``start * 2**32 + stop``, unordered.
 
     Null texts and texts of less than ``length`` bytes have none. Rows that are
-    equal in id and text are copies of each other like any other copies. The
-    names ``_key``, ``_tag`` and ``_spans`` are taken; other columns pass.
+    equal in id and text are copies of each other like any other copies. Names
+    that begin with an underscore are taken; all other columns pass.
     """
     if length < KMER + WINDOW - 1:
         raise ValueError(f"length must be {KMER + WINDOW - 1} at least")
@@ -227,13 +227,13 @@ def with_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_
     near = blocks.where(F.col("state") == WITNESS).join(unsure.select("core").distinct(), "core", "left_semi")
     # at most a document's own positions in each list
     unsure = unsure.select("key", "tag", "span").union(near.select("key", "tag", "span")).groupBy("key", "tag").agg(
-        F.collect_list("span").alias("spans"))
-    edges = docs.join(unsure, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")))
-    edges = edges.select("key", "tag", raw.alias("raw"), "spans", *docs.columns)
+        F.collect_list("span").alias("_list")).withColumnsRenamed({"key": "_of", "tag": "_of_tag"})
+    edges = docs.join(unsure, (F.col("_key") == F.col("_of")) & (F.col("_tag") == F.col("_of_tag")))
+    edges = edges.select("_key", "_tag", raw.alias("_raw"), "_list", *(c for c in docs.columns if c not in ("_key", "_tag")))
     round_3 = _dealt(mapped(edges, strings, _STRINGS), ["first", "second"])
     spans = blocks.where(F.col("state") != UNSURE).select("key", "tag", "span").union(mapped(round_3, found, _SPANS))
-    per_doc = spans.groupBy("key", "tag").agg(F.collect_list("span").alias("_spans"))
-    return docs.join(per_doc, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left").drop("key", "tag")
+    per_doc = spans.groupBy("key", "tag").agg(F.collect_list("span").alias("_spans")).withColumnsRenamed({"key": "_of", "tag": "_of_tag"})
+    return docs.join(per_doc, (F.col("_key") == F.col("_of")) & (F.col("_tag") == F.col("_of_tag")), "left").drop("_of", "_of_tag")
 
 
 def merged(spans: list[int] | None) -> list[tuple[int, int]]:

@@ -84,7 +84,7 @@ class Network:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, logit))))
 
 
-def train(chunks: list[list[bytes]], labels: list[int], epochs: int = 10, batch: int = 32, rate: float = 4e-3, seed: int = 5) -> Network:
+def train(chunks: list[list[bytes]], labels: list[int], steps: int = 600, batch: int = 32, rate: float = 4e-3, seed: int = 5) -> Network:
     """Fits a network to documents given as lists of chunks, by Adam on the logistic loss with both classes weighted alike."""
     net = Network.fresh()
     w = net.weights
@@ -94,6 +94,7 @@ def train(chunks: list[list[bytes]], labels: list[int], epochs: int = 10, batch:
     weight_all = np.where(y_all == 1, 0.5 / y_all.mean(), 0.5 / (1 - y_all.mean())).astype(np.float32)
     rng = np.random.default_rng(seed)
     first, second, t = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
+    epochs = -(-steps // -(-len(labels) // batch))
     steps = epochs * -(-len(labels) // batch)
     starts = np.arange(0, CHUNK - WIDTH + 1, STRIDE)
 

@@ -89,16 +89,16 @@ def _edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+RESULT = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, "
           "part int, edge string, edge_text string")
 NAMES = [c.split()[0] for c in RESULT.split(", ")]
-KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.string()]
+KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.string()]
 
 
 def _compared(text: str, mark: np.ndarray, following: str, next_mark: np.ndarray, width: int) -> tuple:
     edited = _edited(text, following)
     edited_mark = fingerprint(edited, width)
-    return (len(text), hashlib.sha256(edited.encode()).hexdigest(), mark.tobytes().hex(), edited_mark.tobytes().hex(),
+    return (len(text), hashlib.sha256(edited.encode()).digest(), mark.tobytes(), edited_mark.tobytes(),
             likeness(mark, edited_mark), likeness(mark, next_mark))
 
 
@@ -148,4 +148,5 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), KINDS)], NAMES[:7])
 
     resolved = mapped(lasts.select("doc_id", "text", "following"), resolve, ", ".join(RESULT.split(", ")[:7]))
-    return found.where("edge is null").select(*NAMES[:7]).unionByName(resolved)
+    whole = found.where("edge is null").select(*NAMES[:7]).unionByName(resolved)
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})

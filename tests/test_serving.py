@@ -1,6 +1,7 @@
 """Serving views: upsert, replace, expiry, one flush, replay."""
 
 import datetime as dt
+import pathlib
 
 from pyspark.sql import functions as F
 
@@ -29,28 +30,75 @@ def test_upsert_replace_and_replay(spark, tmp_path):
     store.write_batch(b1, 1, ["u", "r"], t0)
     assert sorted((r.member, r.score, r.json_value) for r in store.read("u").collect()) == up
     assert [r.member for r in store.ranked("u", n=2).collect()] == ["b", "c"]
-    removed = store.vacuum(keep=1)
-    assert len(removed) == 2 and store.versions("u") == 1
+    before = store.versions("u")
+    store.compact("u")
+    store.vacuum(keep=0)
+    assert store.versions("u") == before + 1
     assert sorted((r.member, r.score, r.json_value) for r in store.read("u").collect()) == up
+    assert [r.member for r in store.read("r").collect()] == ["c"]
+    store.write_batch(b1, 1, ["u", "r"], t0)      # still known as a replay after compaction and vacuum
+    assert store.versions("u") == before + 1
 
 
-def test_auto_vacuum_keeps_newest(spark, tmp_path):
-    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL, keep_versions=2)
-    for b in range(4):
-        store.write_batch(_rows(spark, "u", [(f"m{b}", b, None)]), b, ["u"], dt.datetime(2025, 1, 1))
-    assert [v for v, _ in store._version_dirs("u")] == [2, 3]
-    assert sorted(r.member for r in store.read("u").collect()) == ["m0", "m1", "m2", "m3"]
+def test_compaction_and_vacuum_bound_the_flushes(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL, keep_versions=1, compact_every=3)
+    for b in range(9):
+        store.write_batch(_rows(spark, "u", [(f"m{b}", b, None), ("hot", b, None)]), b, ["u"], dt.datetime(2025, 1, 1))
+    assert len(store._flushes()) <= 6
+    assert sorted((r.member, r.score) for r in store.read("u").collect()) == \
+        sorted([(f"m{b}", float(b)) for b in range(9)] + [("hot", 8.0)])
+
+
+def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL, keep_versions=None)
+    store.write_batch(_rows(spark, "u", [(f"m{i}", i, "x" * 50) for i in range(20000)]), 0, ["u"], dt.datetime(2025, 1, 1))
+    store.write_batch(_rows(spark, "u", [("m1", 9, None)]), 1, ["u"], dt.datetime(2025, 1, 1))
+
+    def size(f):
+        return sum(p.stat().st_size for p in pathlib.Path(f.path.removeprefix("file:")).rglob("*.parquet"))
+    first, second = store._flushes()
+    assert size(second) < size(first) / 20
+    assert store.read("u").count() == 20000 and store.read("u").where("member = 'm1'").first().score == 9.0
 
 
 def test_view_level_expiry(spark, tmp_path):
     store = ServingStore(spark, str(tmp_path / "views"), POL, TTL)
     t0 = dt.datetime(2025, 1, 1, 12)
+    hours = lambda n: dt.timedelta(hours=n)
     store.write_batch(_rows(spark, "t", [("a", 1, None)]), 0, ["t"], t0)
-    store.write_batch(_rows(spark, "t", [("b", 2, None)]), 1, ["t"], t0 + dt.timedelta(hours=20))
+    store.write_batch(_rows(spark, "t", [("b", 2, None)]), 1, ["t"], t0 + hours(20))
     # the second batch resets the expiry of the whole view, older members included
-    alive = sorted(r.member for r in store.read("t", now=t0 + dt.timedelta(hours=30)).collect())
+    alive = sorted(r.member for r in store.read("t", now=t0 + hours(30)).collect())
     assert alive == ["a", "b"]
-    assert store.read("t", now=t0 + dt.timedelta(hours=45)).count() == 0
+    assert store.read("t", now=t0 + hours(44)).count() == 0
+    assert store.read("t").count() == 0           # the default is the current time
+    # 30 h later the view starts from nothing, also after a compaction
+    store.write_batch(_rows(spark, "t", [("c", 3, None)]), 2, ["t"], t0 + hours(50))
+    store.write_batch(_rows(spark, "t", [("d", 4, None)]), 3, ["t"], t0 + hours(60))
+    assert sorted(r.member for r in store.read("t", now=t0 + hours(61)).collect()) == ["c", "d"]
+    store.compact("t")
+    assert sorted(r.member for r in store.read("t", now=t0 + hours(83)).collect()) == ["c", "d"]
+    assert store.read("t", now=t0 + hours(84)).count() == 0
+
+
+def test_ids_that_start_again_are_new_flushes(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL, keep_versions=1)
+    t0 = dt.datetime(2025, 1, 1)
+    for b in (5, 6, 7):
+        store.write_batch(_rows(spark, "r", [(f"old{b}", b, None)]), b, ["r"], t0)
+    store.write_batch(_rows(spark, "r", [("fresh", 1, None)]), 0, ["r"], t0)
+    assert [r.member for r in store.read("r").collect()] == ["fresh"]
+    store.write_batch(_rows(spark, "r", [("other query", 1, None)]), 0, ["r"], t0, run="other")
+    assert [r.member for r in store.read("r").collect()] == ["other query"]
+
+
+def test_an_uncommitted_flush_is_not_read(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "views"), POL, TTL)
+    store.write_batch(_rows(spark, "r", [("a", 1, None)]), 0, ["r"], dt.datetime(2025, 1, 1))
+    store.write_batch(_rows(spark, "r", [("b", 1, None)]), 1, ["r"], dt.datetime(2025, 1, 1))
+    last = pathlib.Path(store._flushes()[-1].path.removeprefix("file:"))
+    (last / "_SUCCESS").unlink()
+    assert [r.member for r in store.read("r").collect()] == ["a"]
 
 
 def test_folds(spark):
@@ -83,3 +131,34 @@ def test_poll_scope_keeps_a_split_poll_whole(spark, tmp_path):
     per_poll.write_batch(hot.twitch_streamer_views(b2, scope="poll"), 2, views, t)
     assert [(r.member, r.score) for r in per_poll.read("twitch_streamers_rank").collect()] == [("u1", 4.0)]
     assert per_poll.read("twitch_streamers_details").count() == 3
+
+
+def test_several_polls_in_one_batch_keep_every_member(spark, tmp_path):
+    from trendspark.plans import hot
+    rows = [("u1", "g", "t1", 100, "th", "P1"), ("u1", "g", "t2", 50, "th", "P2"), ("u2", "g", "t3", 7, "th", "P2"),
+            ("u3", "g", "t4", 9, "th", "P1")]
+    df = spark.createDataFrame(rows, "user_name string, game_name string, title string, viewer_count int, "
+                                     "thumbnail_url string, fetched_at string")
+    store = ServingStore(spark, str(tmp_path / "v"), policies=hot.POLL_POLICIES)
+    views = ["twitch_streamers_rank", "twitch_streamers_details"]
+    store.write_batch(hot.twitch_streamer_views(df, scope="poll"), 0, views, dt.datetime(2025, 1, 1))
+    assert sorted((r.member, r.score) for r in store.read("twitch_streamers_rank").collect()) == [("u1", 50.0), ("u2", 7.0)]
+    details = {r.member: r.json_value for r in store.read("twitch_streamers_details").collect()}
+    assert '"t2"' in details["u1"] and set(details) == {"u1", "u2", "u3"}
+
+
+def test_a_poll_of_videos_split_over_batches_is_summed(spark, tmp_path):
+    from trendspark.plans import hot
+    schema = ("video_id string, title string, channel string, views long, likes long, category string, published_at string, "
+              "video_url string, ingestion_timestamp string")
+    v = lambda i, views, cat, poll: (i, f"t{i}", "ch", views, 0, cat, "p", "u", poll)
+    batches = [[v("1", 5, "A", "P1"), v("2", 3, "B", "P1")], [v("3", 4, "A", "P1"), v("1", 2, "A", "P2")], [v("4", 6, "A", "P2")]]
+    store = ServingStore(spark, str(tmp_path / "v"), policies=hot.POLL_POLICIES)
+    views = ["youtube_category_views", "youtube_category_top_video"]
+    now = dt.datetime(2025, 1, 1)
+    for i, b in enumerate(batches[:2]):
+        store.write_batch(hot.youtube_views(spark.createDataFrame(b, schema), scope="poll"), i, views, now)
+    assert {r.member: r.score for r in store.read(views[0], now).collect()} == {"A": 2.0, "B": 3.0}
+    store.write_batch(hot.youtube_views(spark.createDataFrame(batches[2], schema), scope="poll"), 2, views, now)
+    assert {r.member: r.score for r in store.read(views[0], now).collect()} == {"A": 8.0, "B": 3.0}
+    assert '"t4"' in {r.member: r.json_value for r in store.read(views[1], now).collect()}["A"]

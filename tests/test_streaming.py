@@ -129,7 +129,7 @@ def test_ttl_views_through_streams_and_await_any(spark, tmp_path):
     to_json_value(early).coalesce(1).write.text(f"{src}/a")
     to_json_value(late).coalesce(1).write.text(f"{src}/b")
     from trendspark.plans.landing import chart_records
-    sounds = chart_records(standins.tiktok_chart_rows(li)).drop("ingested_at")
+    sounds = chart_records(standins.tiktok_chart_rows(li), "https://charts.example.org").drop("ingested_at")
     to_json_value(sounds).coalesce(1).write.text(str(tmp_path / "tt"))
 
     store = ServingStore(spark, str(tmp_path / "views"))
@@ -148,7 +148,7 @@ def test_ttl_views_through_streams_and_await_any(spark, tmp_path):
     early_sums = dict((r.category, r.total_views) for r in hot.youtube_category_views(early).collect())
     late_sums = dict((r.category, r.total_views) for r in hot.youtube_category_views(late).collect())
     want = {**early_sums, **late_sums}
-    got = {r.member: r.score for r in store.read("youtube_category_views").collect()}
+    got = {r.member: r.score for r in store.read("youtube_category_views", now=dt.datetime(2025, 1, 2, 9)).collect()}
     assert got == {k: float(v) for k, v in want.items()}
     # expiry: youtube views last written at 10:00, tiktok at 05:00
     assert store.read("youtube_category_views", now=dt.datetime(2025, 1, 2, 9)).count() == len(want)
@@ -156,5 +156,5 @@ def test_ttl_views_through_streams_and_await_any(spark, tmp_path):
     assert store.read("tiktok_trends_eg", now=dt.datetime(2025, 1, 2, 4)).count() == \
         hot.tiktok_members(sounds).count()
     assert store.read("tiktok_trends_eg", now=dt.datetime(2025, 1, 2, 6)).count() == 0
-    top = store.ranked("tiktok_trends_eg", n=3, ascending=True).collect()
+    top = store.ranked("tiktok_trends_eg", n=3, ascending=True, now=dt.datetime(2025, 1, 2, 4)).collect()
     assert [r.score for r in top] == [1.0, 1.0, 1.0]

@@ -19,7 +19,9 @@ from ..operators.ranking import best_row_per_key, best_struct, key_summary, newe
 from ..sources.constants import TTL_SECONDS, VIEWS  # noqa: F401  (re-exported)
 
 # Poll scope: rank views hold the newest poll (not the newest micro-batch).
-POLL_POLICIES = {**VIEWS, "twitch_streamers_rank": "replace_poll", "twitch_games_rank": "replace_poll"}
+# Category views sum (or take the best) over all micro-batches of a poll.
+POLL_POLICIES = {**VIEWS, "twitch_streamers_rank": "replace_poll", "twitch_games_rank": "replace_poll",
+                 "youtube_category_views": "sum_poll", "youtube_category_top_video": "best_poll"}
 
 
 def view_rows(df: DataFrame, view: str, member, score=None, json_value=None, poll=None) -> DataFrame:
@@ -127,22 +129,27 @@ def youtube_top_videos(videos: DataFrame, scope=None) -> DataFrame:
         "title", "channel", "views", F.col("video_url").alias("url"), keep_nulls=True))
 
 
-def youtube_category_stats(videos: DataFrame) -> DataFrame:
-    """A3 + W1 in one aggregate: per category the summed views and the top
-    video (both views of a batch come from one pass and one shuffle)."""
+def youtube_category_stats(videos: DataFrame, scope: str = "batch") -> DataFrame:
+    """A3 + W1 in one aggregate: per category (per poll and category with
+    ``scope="poll"``) the summed views and the top video: both views of a
+    batch come from one pass and one shuffle."""
+    keys = ["category"] if scope == "batch" else ["ingestion_timestamp", "category"]
     src = videos.where(F.col("category").isNotNull())
-    agg = src.groupBy("category").agg(
+    agg = src.groupBy(*keys).agg(
         F.sum("views").alias("total_views"),
         best_struct(["views"], ["title", "channel", "video_url", "video_id"]).alias("_top"))
-    return agg.withColumn("json_value", pack_json(
+    return agg.withColumns({"json_value": pack_json(
         F.col("_top.title").alias("title"), F.col("_top.channel").alias("channel"),
-        F.col("_top.views").alias("views"), F.col("_top.video_url").alias("url"), keep_nulls=True))
+        F.col("_top.views").alias("views"), F.col("_top.video_url").alias("url"), keep_nulls=True),
+        "top_views": F.col("_top.views")})
 
 
-def youtube_views(videos: DataFrame) -> DataFrame:
-    stats = youtube_category_stats(videos)
-    return views_from(stats, [("youtube_category_views", "category", "total_views", None),
-                              ("youtube_category_top_video", "category", None, "json_value")])
+def youtube_views(videos: DataFrame, scope: str = "batch") -> DataFrame:
+    """C2. With ``scope="poll"`` the rows carry their poll, and the top video its views."""
+    stats = youtube_category_stats(videos, scope)
+    poll, top = ("ingestion_timestamp", "top_views") if scope == "poll" else (None, None)
+    return views_from(stats, [("youtube_category_views", "category", "total_views", None, poll),
+                              ("youtube_category_top_video", "category", top, "json_value", poll)])
 
 
 # ---- C3 / C4: twitch streamer and game rankings ------------------------
@@ -184,7 +191,7 @@ def twitch_game_views(games: DataFrame, scope: str = "batch") -> DataFrame:
 
 # ---- C5: tiktok sounds -------------------------------------------------
 
-def tiktok_members(sounds: DataFrame) -> DataFrame:
+def tiktok_members(sounds: DataFrame, with_poll: bool = False) -> DataFrame:
     """F17 + P6: member = the whole sound document, score = parsed rank.
 
     The document includes ``fetched_at``, so a re-fetched sound is a new
@@ -194,9 +201,12 @@ def tiktok_members(sounds: DataFrame) -> DataFrame:
     doc = pack_json(F.col("sound_name").alias("name"), F.col("ugc_count").alias("ugc"),
                     "growth", F.col("tiktok_direct_url").alias("link"),
                     F.col("fetch_timestamp").alias("fetched_at"), keep_nulls=True)
-    rows = sounds.select(doc.alias("member"), rank_score("rank").alias("rank_score"))
-    return rows.groupBy("member").agg(F.min("rank_score").alias("rank_score"))
+    poll = [F.min("poll").alias("poll")] if with_poll else []
+    rows = sounds.select(doc.alias("member"), rank_score("rank").alias("rank_score"), F.col("fetch_timestamp").alias("poll"))
+    return rows.groupBy("member").agg(F.min("rank_score").alias("rank_score"), *poll)
 
 
-def tiktok_view(sounds: DataFrame) -> DataFrame:
-    return view_rows(tiktok_members(sounds), "tiktok_trends_eg", "member", score="rank_score")
+def tiktok_view(sounds: DataFrame, scope: str = "batch") -> DataFrame:
+    """C5. A member is of one poll anyway; with ``scope="poll"`` the rows carry it."""
+    return view_rows(tiktok_members(sounds, scope == "poll"), "tiktok_trends_eg", "member", score="rank_score",
+                     poll="poll" if scope == "poll" else None)

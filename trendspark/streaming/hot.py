@@ -2,7 +2,9 @@
 
 Each query parses its topic, runs the same composite as the batch form,
 and writes the views through ``foreachBatch`` into a ``ServingStore``.
-Nothing is collected to the driver. A checkpoint location is always set:
+Nothing is collected to the driver. Malformed records and records without
+their key go to a quarantine folder, next to the checkpoint unless another
+is given. A checkpoint location is always set:
 on restart the query resumes where it stopped instead of re-reading from
 its configured start.
 """
@@ -21,6 +23,7 @@ from ..plans import hot
 from ..sinks.serving import ServingStore
 from ..sinks.tables import write_batch_partition
 from ..sources.topics import parse_topic
+from .queries import StartedQueries, rejects_path, start_rejects
 
 # topic -> (schema, key, composite producing view rows, views written)
 HOT_JOBS = {
@@ -34,7 +37,7 @@ HOT_JOBS = {
 }
 
 
-def _writer(store: ServingStore, compose, views, quarantine: str | None, clock=None):
+def _writer(store: ServingStore, compose, views, quarantine: str, clock=None):
     def write(batch: DataFrame, batch_id: int) -> None:
         # the batch is read by the quarantine write, the empty check and the
         # views: fetch and parse it once (a lost block is re-read from the
@@ -42,9 +45,7 @@ def _writer(store: ServingStore, compose, views, quarantine: str | None, clock=N
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = held.where("_good")
-            if quarantine:
-                bad = held.where("not _good").select("raw_value")
-                write_batch_partition(bad, quarantine, batch_id)
+            write_batch_partition(held.where("not _good").select("raw_value"), quarantine, batch_id)
             if good.isEmpty():          # P12: an empty batch changes nothing
                 return
             now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -69,9 +70,9 @@ def start_view_query(raw: DataFrame, topic: str, store: ServingStore, checkpoint
                      clock=None, scope: str = "batch") -> StreamingQuery:
     """T1 + T8: stateless append query; each micro-batch updates its views.
 
-    ``scope="poll"`` (twitch topics) ranks per poll stamp; use it with a
+    ``scope="poll"`` computes the views per poll stamp; use it with a
     store built on ``hot.POLL_POLICIES`` so a poll split over micro-batches
-    is kept whole. The default reproduces per-micro-batch replacement.
+    is kept whole. The default reproduces per-micro-batch views.
     """
     schema, key, compose, views = HOT_JOBS[topic]
     if scope == "poll":
@@ -79,7 +80,7 @@ def start_view_query(raw: DataFrame, topic: str, store: ServingStore, checkpoint
         compose = lambda df: base(df, scope="poll")
     tagged = _tagged(raw, schema, key)
     w = (tagged.writeStream.outputMode("append")
-         .foreachBatch(_writer(store, compose, views, quarantine, clock))
+         .foreachBatch(_writer(store, compose, views, rejects_path(checkpoint, quarantine), clock))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
@@ -88,16 +89,17 @@ def start_view_query(raw: DataFrame, topic: str, store: ServingStore, checkpoint
 
 def start_reddit_best(raw: DataFrame, store: ServingStore, checkpoint: str,
                       quarantine: str | None = None,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      trigger: dict | None = None) -> StartedQueries:
     """C1 as T2: stateful best post per subreddit, update mode.
 
     Every key touched by a batch is emitted with its running best and
     upserted into the details view. Malformed records and records without
-    a subreddit go to ``quarantine`` (a second sink), never into a null
-    group. State holds one row per subreddit.
+    a subreddit go to ``quarantine`` (a second query, awaited with the
+    first), never into a null group. State holds one row per subreddit.
     """
     good, bad = parse_topic(raw, schemas.REDDIT, "subreddit")
     best = hot.reddit_best_posts(good)
+    trigger = trigger or {"processingTime": "10 seconds"}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(hot.view_rows(batch, "reddit_subreddits_details", "subreddit",
@@ -105,21 +107,16 @@ def start_reddit_best(raw: DataFrame, store: ServingStore, checkpoint: str,
                           batch_id, ["reddit_subreddits_details"])
 
     w = (best.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"processingTime": "10 seconds"})))
+         .option("checkpointLocation", checkpoint).trigger(**trigger))
     q = w.queryName("reddit_best").start()
-    if quarantine:
-        (bad.writeStream.format("json").option("checkpointLocation", checkpoint.rstrip("/") + "_quarantine")
-            .trigger(**(trigger or {"processingTime": "10 seconds"}))
-            .start(quarantine))
-    return q
+    return StartedQueries([q, start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_best_rejects", trigger)])
 
 
 def start_reddit_rank(raw: DataFrame, store: ServingStore, checkpoint: str,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      quarantine: str | None = None, trigger: dict | None = None) -> StartedQueries:
     """C14 as T3: running total score per subreddit, complete mode; each
     trigger replaces the rank view with the full ordered totals (W2)."""
-    good, _ = parse_topic(raw, schemas.REDDIT, "subreddit")
+    good, bad = parse_topic(raw, schemas.REDDIT, "subreddit")
     totals = hot.reddit_score_totals(good)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -130,21 +127,23 @@ def start_reddit_rank(raw: DataFrame, store: ServingStore, checkpoint: str,
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
-    return w.queryName("reddit_rank").start()
+    q = w.queryName("reddit_rank").start()
+    return StartedQueries([q, start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_rank_rejects", trigger)])
 
 
 def start_reddit_summary(raw: DataFrame, path: str, checkpoint: str,
-                         trigger: dict | None = None) -> StreamingQuery:
+                         quarantine: str | None = None, trigger: dict | None = None) -> StartedQueries:
     """C15 as T3 + K13: the per-subreddit summary overwritten each trigger."""
     from ..sinks.tables import overwrite_snapshot
-    good, _ = parse_topic(raw, schemas.REDDIT, "subreddit")
+    good, bad = parse_topic(raw, schemas.REDDIT, "subreddit")
     summary = hot.reddit_summary(good)
     w = (summary.writeStream.outputMode("complete")
          .foreachBatch(lambda df, _id: overwrite_snapshot(df, path))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
-    return w.queryName("reddit_summary").start()
+    q = w.queryName("reddit_summary").start()
+    return StartedQueries([q, start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_summary_rejects", trigger)])
 
 
 def await_any(spark) -> None:

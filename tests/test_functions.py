@@ -22,19 +22,19 @@ def test_rank_text(spark):
 
 def test_count_text(spark):
     # last token; empty -> '0'; surrounding newlines ignored
-    vals = ["1K\n 1,247", "", "\n1K\n 1,247 \n", None, "\t5\t"]
-    assert _one(spark, text.last_token, vals) == ["1,247", "0", "1,247", "0", "5"]
+    vals = ["2M\n 2,013,570", "", "\n2M\n 2,013,570 \n", None, "\t5\t"]
+    assert _one(spark, text.last_token, vals) == ["2,013,570", "0", "2,013,570", "0", "5"]
 
 
 def test_growth_text(spark):
     # first token
-    assert _one(spark, text.first_token, ["+6,500\n +8.13 %", ""]) == ["+6,500", "0"]
+    assert _one(spark, text.first_token, ["+41,200\n +3.7 %", ""]) == ["+41,200", "0"]
 
 
 def test_percent_text(spark):
     # F16: split '%' joined to the token before it; else the first token with '%'
-    vals = ["+238\n +30.87\n %", "+6,500 +8.13%", "12", "", None]
-    assert _one(spark, text.percent_token, vals) == ["+30.87%", "+8.13%", "12", "0%", "0%"]
+    vals = ["+95\n +12.4\n %", "+41,200 +3.7%", "12", "", None]
+    assert _one(spark, text.percent_token, vals) == ["+12.4%", "+3.7%", "12", "0%", "0%"]
 
 
 def _py_last(s):

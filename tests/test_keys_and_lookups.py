@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trendspark.operators.lookups import bounded_broadcast, lookup_with_default
+from trendspark.operators.lookups import lookup_with_default
 from trendspark.plans import landing, warehouse
 
 
@@ -71,13 +71,6 @@ def test_unknown_category_is_other(spark):
         [("", "Other"), ("1", "Music"), ("9", "Other")]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in str(bounded_broadcast(small, 50).join(spark.range(5), "id")._jdf.queryExecution().analyzed()).lower()
-    assert bounded_broadcast(big, 50) is big
-
-
 def test_empty_game_id_counted_and_unknown(spark):
     body = ('{"data": [{"user_name": "a", "game_id": "", "game_name": "", "title": "t", "viewer_count": 5,'
             ' "thumbnail_url": "x-{width}x{height}.jpg"},'
@@ -114,18 +107,17 @@ def test_youtube_reply_defaults(spark):
                    ("v2", 0, 0, "Other", "https://www.youtube.com/watch?v=v2")]
 
 
-def test_lookup_beyond_bound_is_not_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = spark.range(200).select(F.col("id").cast("string").alias("k"))
-        lk = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("n").alias("name"))
-        small = lookup_with_default(df, lk, "k", "id", {"name": ("name", "Other")}, max_broadcast_rows=1000)
-        big = lookup_with_default(df, lk, "k", "id", {"name": ("name", "Other")}, max_broadcast_rows=10)
-        for out, want in ((small, "BroadcastHashJoin"), (big, "SortMergeJoin")):
+def test_lookup_is_broadcast_by_its_bytes_only(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("k"))
+    lk = spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("n").alias("name"))
+    for threshold, want in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+        try:
+            out = lookup_with_default(df, lk, "k", "id", {"name": ("name", "Other")})
+            assert out.where("name = 'Other'").count() == 100
             out.collect()
             assert want in out._jdf.queryExecution().executedPlan().toString()
-        assert big.where("name = 'Other'").count() == 100
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from trendspark.plans import landing
 
 ROW = ("<tr><td> #{r} </td><td><a href=\"/sound/{i}\"><span>Song {i}</span> <small>Artist</small></a></td>"
-       "<td>1K\n 1,24{i}</td><td>+6,500\n +8.13 %</td><td> EG </td><td>a</td><td>b</td><td>c</td></tr>")
+       "<td>2M\n 2,013,57{i}</td><td>+41,200\n +3.7 %</td><td> EG </td><td>a</td><td>b</td><td>c</td></tr>")
 
 
 def _page(spark):
@@ -26,11 +26,11 @@ def _page(spark):
 def test_chart_rows_first_table_only(spark):
     pages = _page(spark)
     rows = landing.html_table_rows(pages.where("page_id = 1"))
-    recs = landing.chart_records(landing.chart_cells(rows).withColumn("direct_link", F.lit(None).cast("string"))
-                                 .withColumn("fetch_timestamp", F.lit("2025-01-01 00:00:00")))
+    recs = landing.chart_records(landing.chart_cells(rows).withColumn("fetch_timestamp", F.lit("2025-01-01 00:00:00")),
+                                 "https://charts.example.org")
     got = sorted((r["rank"], r.sound_name, r.ugc_count, r.growth, r.author_country, r.tokchart_url,
                   r.tiktok_direct_url) for r in recs.collect())
-    assert got == [(f"#{i}", f"Song {i}Artist", f"1,24{i}", "+6,500", "EG",
+    assert got == [(f"#{i}", f"Song {i}Artist", f"2,013,57{i}", "+41,200", "EG",
                     f"https://charts.example.org/sound/{i}", "Not Found") for i in range(1, 4)]
 
 
@@ -46,7 +46,7 @@ def test_chart_records_join_detail_links(spark):
     pages = _page(spark)
     rows = landing.chart_cells(landing.html_table_rows(pages.where("page_id = 1")))
     links = pages.select("url", landing.first_link(F.col("html")).alias("link"))
-    recs = landing.chart_records(rows, links=links)
+    recs = landing.chart_records(rows, "https://charts.example.org", links=links)
     got = {r.tokchart_url: r.tiktok_direct_url for r in recs.collect()}
     assert got["https://charts.example.org/sound/1"] == "https://www.tiktok.com/music/song-1"
     assert got["https://charts.example.org/sound/2"] == "https://vm.example/abc"

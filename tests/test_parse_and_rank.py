@@ -73,8 +73,8 @@ def test_youtube_sum_drops_null_category(spark):
 
 def test_tiktok_member_is_whole_document(spark):
     s = spark.createDataFrame([
-        ("#3", "song", "1,247", "+6,500", "EG", "u", "Not Found", "2025-01-01 10:00:00"),
-        ("#x", "song", "1,247", "+6,500", "EG", "u", "Not Found", "2025-01-02 10:00:00"),
+        ("#3", "song", "2,013,570", "+41,200", "EG", "u", "Not Found", "2025-01-01 10:00:00"),
+        ("#x", "song", "2,013,570", "+41,200", "EG", "u", "Not Found", "2025-01-02 10:00:00"),
     ], schemas.TIKTOK)
     rows = sorted((r.member, r.rank_score) for r in hot.tiktok_members(s).collect())
     assert len(rows) == 2 and rows[0][1] == 3 and rows[1][1] == 999   # re-fetch = new member

@@ -28,10 +28,23 @@ def test_top1_is_partially_aggregated_and_parses_once(spark):
 def test_md5_fact_needs_no_join_or_key_shuffle(spark):
     plan = _plan(spark, "fact_post")
     assert "Join" not in plan
-    assert "ENSURE_REQUIREMENTS" not in plan            # only the optional scan spread
+    assert "Exchange" not in plan
 
 
-def test_lookup_is_broadcast_after_size_check(spark):
+def test_no_job_runs_while_a_plan_is_built(spark):
+    for name in ("lookup_default", "serving_replace", "chart_records_with_links", "twitch_stream_replies", "fact_post"):
+        E.queries()[name](spark, SF_SMALL)            # the footers of its tables are read now
+        spark.sparkContext.setJobGroup(name, name)
+        E.queries()[name](spark, SF_SMALL)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+        spark.sparkContext.setJobGroup("none", "none")
+        stages = [s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds]
+        tables = {"lookup_default": 2, "serving_replace": 1, "chart_records_with_links": 3, "twitch_stream_replies": 2, "fact_post": 1}
+        # one footer read for each table that it opens
+        assert len(jobs) <= tables[name] and len(stages) <= tables[name], name
+
+
+def test_small_lookup_is_broadcast(spark):
     assert "BroadcastHashJoin" in _plan(spark, "lookup_default")
 
 

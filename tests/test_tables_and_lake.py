@@ -93,3 +93,38 @@ def test_publish_then_parse_roundtrip(spark, tmp_path):
                        trigger={"availableNow": True})
     q.awaitTermination()
     assert spark.read.text(str(tmp_path / "out/topic=copy")).count() == streams.count()
+
+
+def test_bad_lake_lines_and_dates_do_not_stop_a_load(spark, tmp_path):
+    lake = tmp_path / "lake/topic=youtube_data/year=2025/month=01/day=01"
+    lake.mkdir(parents=True)
+    line = '{"video_id": "%s", "title": "%s", "channel": "c", "category": %s, "views": 1, "likes": 1, "ingested_at": "%s"}'
+    (lake / "a.json").write_text("\n".join([line % ("v1", "old", '"A"', "2025-01-01T00:00:00.000000"), "garbage",
+                                            line % ("v2", "t", "null", "not a time"), '{"title": "no id"}']))
+    target, ck = str(tmp_path / "wh"), str(tmp_path / "ck")
+    wh.run_all(spark, str(tmp_path / "lake"), target, ck, topics=("youtube_data",))
+    sink = wh.warehouse_sink(spark, target)
+    fact = sink.read("Fact_Youtube_Performance")
+    assert fact.count() == 2 and fact.where("ingested_date_sk is null").count() == 1
+    assert sink.read("Dim_Category").collect()[0].category_name_nk == "A" and sink.read("Dim_Category").count() == 1
+    assert sorted(r.raw_value for r in spark.read.parquet(f"{ck}/youtube_data_quarantine").collect()) == ["garbage", '{"title":"no id"}']
+    # a later drop renames v1: the newest title wins, keys stay unique in the table itself
+    (lake / "b.json").write_text("\n".join([line % ("v1", "new", '"A"', "2025-01-02T00:00:00.000000"), line % ("v3", "t", '"A"', "2025-01-02T00:00:00.000000")]))
+    wh.run_all(spark, str(tmp_path / "lake"), target, ck, topics=("youtube_data",))
+    assert {r.video_id_nk: r.video_title for r in sink.read("Dim_Video").collect()} == {"v1": "new", "v2": "t", "v3": "t"}
+    assert spark.read.parquet(f"{target}/Dim_Video").count() == 3
+
+
+def test_a_broken_target_is_an_error(spark, tmp_path):
+    import pytest
+    from trendspark.sinks.tables import read_if_exists
+    assert read_if_exists(spark, str(tmp_path / "none")) is None
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception):
+        read_if_exists(spark, str(tmp_path / "broken")).count()
+
+
+def test_row_keys_tell_parts_apart(spark):
+    from trendspark.functions.keys import row_key
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a", None), ("a", "\\N")], "x string, y string")
+    assert df.select(row_key("P", "x", "y").alias("k")).distinct().count() == 4

@@ -40,12 +40,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# tables of a fixed, tiny size (not scaled with the data): never spread
-FIXED_SIZE_TABLES = {"nation", "region"}
+def _t(spark, sf_dir, name):
+    return read_table(spark, sf_dir, name)
 
 
-def _t(spark, sf_dir, name):
-    return read_table(spark, sf_dir, name, spread_small=name not in FIXED_SIZE_TABLES)
+# base URL of the rendered chart pages
+CHART_BASE = "https://charts.example.org"
 
 
 # ---------------------------------------------------------------------------
@@ -406,7 +406,7 @@ def _sk(platform: str, expr: str) -> str:
 
 
 def _rk(platform: str, cols) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols)
+    parts = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '\\N')" for c in cols)
     return f"md5(concat_ws('|', '{platform}', {parts}))"
 
 
@@ -425,7 +425,7 @@ def _lake(spark, sf_dir, topic: str) -> DataFrame:
         df = standins.youtube_videos(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part"))
     else:
         chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem"))
-        df = landing.chart_records(chart)
+        df = landing.chart_records(chart, CHART_BASE)
     return parse_records(to_json_value(df), schemas.lake_schema(topic))
 
 
@@ -580,10 +580,19 @@ def q_composite_key_dim(spark, sf_dir):
     return _twitch(spark, sf_dir, "Dim_Stream")
 
 
-@register("uuid_star")
+@register("uuid_star", _TWITCH_T + """
+SELECT game_name, user_name, stream_title, viewer_count, fetched_timestamp, ingested_at FROM (
+  SELECT t.game_name, m.u AS user_name, m.s AS stream_title, t.viewer_count, t.fetched_timestamp, t.ingested_at
+  FROM t JOIN (SELECT stream_sk, max(struct_pack(i := ingested_at, s := stream_title, t := thumbnail_url, y := type,
+                                                 u := user_name)) AS m FROM t GROUP BY stream_sk) d USING (stream_sk)) x""")
 def q_uuid_star(spark, sf_dir):
-    """F6 random keys (rows only): the twitch fact with keys frozen once."""
-    return warehouse.twitch_star(_lake(spark, sf_dir, "twitch_streams"), mode="uuid")["Fact_Twitch_Performance"]
+    """the twitch star with random keys frozen once; the fact joined to its
+    dimensions by those keys, so what comes out has names and no keys."""
+    tables = warehouse.twitch_star(_lake(spark, sf_dir, "twitch_streams"), mode="uuid")
+    fact = tables["Fact_Twitch_Performance"].select("game_sk", "stream_sk", "viewer_count", "fetched_timestamp", "ingested_at")
+    return (fact.join(tables["Dim_Game"], "game_sk").join(tables["Dim_Stream"], "stream_sk")
+                .select(F.col("game_name_nk").alias("game_name"), "user_name", "stream_title", "viewer_count",
+                        "fetched_timestamp", "ingested_at"))
 
 
 @register("uuid_key_integrity", """SELECT CAST(count(*) AS BIGINT) AS fact_rows, CAST(count(*) AS BIGINT) AS matched_rows FROM events""")
@@ -879,24 +888,6 @@ def q_page_first_link(spark, sf_dir):
                      not_found(landing.first_link(F.col("html"))).alias("music_link"))
 
 
-_TABLE_ROWS_SQL = """
-WITH t AS (SELECT page_id, regexp_extract(regexp_extract(html, '(?is)<table\\b[^>]*>(.*?)</table>', 1),
-                                          '(?is)<tbody\\b[^>]*>(.*?)</tbody>', 1) AS body FROM {src}),
-r AS (SELECT page_id, unnest(regexp_extract_all(body, '(?is)<tr\\b[^>]*>(.*?)</tr>', 1)) AS tr FROM t),
-c AS (SELECT page_id, regexp_extract_all(tr, '(?is)<td\\b[^>]*>(.*?)</td>', 1) AS cells FROM r)
-"""
-
-
-@register("chart_table_rows", _TABLE_ROWS_SQL.format(src="pages") + """
-SELECT page_id FROM c
-WHERE len(cells) >= 8
-  AND regexp_extract(cells[2], '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1) <> ''""")
-def q_chart_table_rows(spark, sf_dir):
-    """S8 over the pages table (which holds no chart table: zero rows)."""
-    rows = landing.html_table_rows(_t(spark, sf_dir, "pages"))
-    return rows.select("page_id")
-
-
 # ---------------------------------------------------------------------------
 # Serving folds over batches (K4-K7) and top-N at the source
 # ---------------------------------------------------------------------------
@@ -952,26 +943,27 @@ def q_serving_replace(spark, sf_dir):
 @register("serving_ttl", """
 WITH s AS (""" + TWITCH_SQL + """),
 b AS (SELECT 'user:' || user_name AS view, game_name AS member, CAST(fetched_at AS TIMESTAMP) AS batch_time,
-             max(viewer_count) AS v FROM s GROUP BY 1, 2, 3),
-u AS (SELECT view, member, max(struct_pack(t := batch_time, v := v)) AS m FROM b GROUP BY 1, 2),
-l AS (SELECT view, max(batch_time) AS last_time FROM b GROUP BY 1),
-n AS (SELECT date_trunc('hour', max(ts)) + INTERVAL 1 HOUR AS now FROM events)
-SELECT u.view, member, CAST(m.v AS DOUBLE) AS score
-FROM u JOIN l USING (view) CROSS JOIN n WHERE n.now < l.last_time + INTERVAL 24 HOUR""")
+             CAST(max(viewer_count) AS DOUBLE) AS score FROM s GROUP BY 1, 2, 3),
+t AS (SELECT DISTINCT view, batch_time FROM b),
+g AS (SELECT view, batch_time, lag(batch_time) OVER (PARTITION BY view ORDER BY batch_time) AS before FROM t),
+l AS (SELECT view, max(CASE WHEN before IS NULL OR batch_time >= before + INTERVAL 24 HOUR THEN batch_time END) AS begin_time,
+             max(batch_time) AS last_time FROM g GROUP BY 1),
+n AS (SELECT date_trunc('hour', max(ts)) + INTERVAL 1 HOUR AS now FROM events),
+k AS (SELECT b.view, b.member, max(struct_pack(t := b.batch_time, v := b.score)) AS m
+      FROM b JOIN l USING (view) CROSS JOIN n
+      WHERE b.batch_time >= l.begin_time AND n.now < l.last_time + INTERVAL 24 HOUR GROUP BY 1, 2)
+SELECT view, member, m.v AS score FROM k""")
 def q_serving_ttl(spark, sf_dir):
     """K7: per-user views upserted per hourly poll, read one hour after the
-    last poll; a view whose last batch is more than 24 h old has expired."""
+    last poll. A view is gone 24 h after its last batch, members and all: the
+    next batch starts from nothing."""
     s = standins.twitch_streams(_t(spark, sf_dir, "events"))
     b = (s.groupBy(F.concat(F.lit("user:"), "user_name").alias("view"), F.col("game_name").alias("member"),
                    F.col("fetched_at").cast("timestamp_ntz").alias("batch_time"))
-          .agg(F.max("viewer_count").alias("v")))
-    latest = b.groupBy("view", "member").agg(F.max(F.struct("batch_time", "v")).alias("m"))
+          .agg(F.max("viewer_count").cast("double").alias("score")))
     now = _t(spark, sf_dir, "events").agg(
         (F.date_trunc("hour", F.max("ts")) + F.expr("INTERVAL 1 HOUR")).alias("now"))
-    # a view's last batch time comes from its members' latest rows: no rescan
-    alive = serving.visible_at(latest.select("view", F.col("m.batch_time").alias("batch_time")), now, 86400)
-    return (latest.join(alive.select("view").distinct(), "view", "left_semi")
-                  .select("view", "member", F.col("m.v").cast("double").alias("score")))
+    return serving.ttl_all(b, now, 86400)
 
 
 @register("source_top50", """
@@ -994,38 +986,44 @@ def _run_dir(spark, kind: str) -> str:
 
 @register("stream_update_best", ORACLES["reddit_details_view"])
 def q_stream_update_best(spark, sf_dir):
-    """C1 as a stream: published records in three files, one per micro-batch,
+    """C1 as a stream: published records in three drops, one per micro-batch,
     through the stateful update-mode aggregate into the details view."""
     from .sinks.serving import ServingStore
-    from .sources.topics import text_stream
     from .streaming.hot import start_reddit_best
     base = _run_dir(spark, "stream-best")
     posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
-    to_json_value(posts).repartition(3).write.text(f"{base}/in")
     store = ServingStore(spark, f"{base}/views")
-    raw = text_stream(spark, f"{base}/in", max_files_per_trigger=1)
-    q = start_reddit_best(raw, store, f"{base}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
+    _drain_drops(spark, base, to_json_value(posts), lambda raw: start_reddit_best(
+        raw, store, f"{base}/ckpt", trigger={"availableNow": True}))
     return store.read("reddit_subreddits_details").select(
         F.lit("reddit_subreddits_details").alias("view"), "member", "score", "json_value")
 
 
-def _archive(spark, sf_dir) -> str:
-    """Publish reddit records (four files) and archive them in two
-    micro-batches, routed by their own post time."""
+def _drain_drops(spark, base, values: DataFrame, start, drops: int = 3) -> None:
+    """Records land in ``drops`` folders by a hash of their text, each with the
+    input's own partitions; after each drop the query is run until it has read it."""
     from .sources.topics import text_stream
+    for k in range(drops):
+        values.where(F.pmod(F.xxhash64("value"), F.lit(drops)) == k).write.text(f"{base}/in/drop={k}")
+        start(text_stream(spark, f"{base}/in/drop=*")).awaitTermination()
+
+
+def _archived(spark, values: DataFrame, topic: str, stamp: str, unit: str = "second") -> str:
+    """Publish a topic's records in two drops and archive them, routed (and
+    stamped) by the time, cut to ``unit``, that each record has in the field ``stamp``."""
     from .streaming import archive
-    base = _run_dir(spark, "chain")
-    posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
-    to_json_value(posts).repartition(4).write.text(f"{base}/in")
-    raw = text_stream(spark, f"{base}/in", topic="reddit_data", max_files_per_trigger=2)
-    route = F.to_timestamp_ntz(F.get_json_object(F.col("value").cast("string"), "$.post_timestamp"))
-    q = archive.start_archive(raw, f"{base}/lake", "reddit_data", f"{base}/ck_archive",
-                              route_ts=route, trigger={"availableNow": True})
-    q.awaitTermination()
+    base = _run_dir(spark, f"chain-{topic}")
+    route = F.date_trunc(unit, F.to_timestamp_ntz(F.get_json_object(F.col("value").cast("string"), f"$.{stamp}")))
+    _drain_drops(spark, base, values, lambda raw: archive.start_archive(
+        raw, f"{base}/lake", topic, f"{base}/ck_archive", route_ts=route, trigger={"availableNow": True}), drops=2)
     return base
 
 
+def _archive(spark, sf_dir) -> str:
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
+    return _archived(spark, to_json_value(posts), "reddit_data", "post_timestamp")
+
+
 def _archive_chain(spark, sf_dir) -> str:
     """The archive, then the warehouse loaded incrementally from the lake
     (bounded micro-batches of lake files)."""
@@ -1060,17 +1058,22 @@ def q_incremental_load(spark, sf_dir):
     return spark.read.parquet(f"{base}/wh/Fact_Redit_Activity").drop("batch_id")
 
 
-def _chart_pages(spark, sf_dir) -> DataFrame:
+def _chart_pages(spark, sf_dir, faults: bool = False) -> DataFrame:
     """Chart pages rendered from the lineitem chart rows: one page per order
-    (at most seven table rows, a bounded group), eight cells per row."""
+    (an order has a handful of lines), eight cells per row; with ``faults``
+    the second lines lack a cell and the third ones the link (P10)."""
     chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem"), with_order=True)
 
     def td(c):
         return F.concat(F.lit("<td>"), c, F.lit("</td>"))
     link = F.concat(F.lit('<a href="'), F.col("sound_href"), F.lit('">'), F.col("sound_name"), F.lit("</a>"))
+    last = td(F.lit(""))
+    if faults:
+        link = F.when(F.col("rank_text") == "#3", F.col("sound_name")).otherwise(link)
+        last = F.when(F.col("rank_text") == "#2", F.lit("")).otherwise(last)
     tr = F.concat(F.lit("<tr>"), td(F.col("rank_text")), td(link), td(F.col("ugc_text")),
                   td(F.col("growth_text")), td(F.col("author_country")),
-                  td(F.lit("")), td(F.lit("")), td(F.lit("")), F.lit("</tr>"))
+                  td(F.lit("")), td(F.lit("")), last, F.lit("</tr>"))
     pages = (chart.groupBy(F.col("l_orderkey").alias("page_id"))
                   .agg(F.array_join(F.collect_list(tr), "").alias("trs"),
                        F.max("fetch_timestamp").alias("fetch_timestamp")))
@@ -1091,7 +1094,7 @@ def q_chart_page_records(spark, sf_dir):
     """C13 end to end: S8 table rows of the rendered pages -> tiktok records."""
     rows = landing.html_table_rows(_chart_pages(spark, sf_dir))
     chart = landing.chart_cells(rows, keep=("fetch_timestamp",))
-    return landing.chart_records(chart.withColumn("direct_link", F.lit(None).cast("string")))
+    return landing.chart_records(chart, CHART_BASE)
 
 
 def _detail_pages(spark, sf_dir) -> DataFrame:
@@ -1130,7 +1133,7 @@ def q_chart_records_with_links(spark, sf_dir):
     chart = landing.chart_cells(rows, keep=("fetch_timestamp",))
     details = _detail_pages(spark, sf_dir)
     links = details.select("url", landing.first_link(F.col("html")).alias("link"))
-    return landing.chart_records(chart, links=links)
+    return landing.chart_records(chart, CHART_BASE, links=links)
 
 
 @register("stream_complete_sum", """
@@ -1140,15 +1143,12 @@ def q_stream_complete_sum(spark, sf_dir):
     """C14 as a stream: complete-mode running totals over three micro-batches,
     each replacing the rank view."""
     from .sinks.serving import ServingStore
-    from .sources.topics import text_stream
     from .streaming.hot import start_reddit_rank
     base = _run_dir(spark, "stream-sum")
     posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
-    to_json_value(posts).repartition(3).write.text(f"{base}/in")
     store = ServingStore(spark, f"{base}/views")
-    q = start_reddit_rank(text_stream(spark, f"{base}/in", max_files_per_trigger=1), store,
-                          f"{base}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
+    _drain_drops(spark, base, to_json_value(posts), lambda raw: start_reddit_rank(
+        raw, store, f"{base}/ckpt", trigger={"availableNow": True}))
     return store.read("reddit_subreddits_rank").select(
         F.col("member").alias("subreddit"), F.col("score").cast("bigint").alias("total_score"))
 
@@ -1188,3 +1188,369 @@ def q_stream_replace_view(spark, sf_dir):
         q.awaitTermination()
     return store.read("twitch_streamers_rank").select(
         F.lit("twitch_streamers_rank").alias("view"), "member", "score", "json_value")
+
+
+# ---------------------------------------------------------------------------
+# Serving views over time
+# ---------------------------------------------------------------------------
+
+@register("stream_ttl_view", """
+WITH v AS (""" + YOUTUBE_SQL + """),
+s AS (SELECT CAST(video_id AS BIGINT) % 4 AS drop_no, category, CAST(sum(views) AS DOUBLE) AS score
+      FROM v WHERE category IS NOT NULL GROUP BY 1, 2),
+m AS (SELECT category, max(struct_pack(d := drop_no, s := score)) AS r FROM s WHERE drop_no >= 2 GROUP BY 1)
+SELECT 'youtube_category_views' AS view, category AS member, r.s AS score FROM m""")
+def q_stream_ttl_view(spark, sf_dir):
+    """C2 + K7 as a stream: four drops at 0, 10, 40 and 50 hours. The view had
+    expired before the third came, so at hour 51 it holds the last two only."""
+    import datetime as dt
+    from .sinks.serving import ServingStore
+    from .sources.topics import text_stream
+    from .streaming.hot import start_view_query
+    base = _run_dir(spark, "stream-ttl")
+    videos = standins.youtube_videos(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).drop("ingested_at")
+    store = ServingStore(spark, f"{base}/views")
+    begin = dt.datetime(2025, 1, 1)
+    for k, hours in enumerate((0, 10, 40, 50)):
+        part = videos.where(F.col("video_id").cast("bigint") % 4 == k)
+        to_json_value(part).write.text(f"{base}/in/drop={k}")
+        q = start_view_query(text_stream(spark, f"{base}/in/drop=*"), "youtube_data", store, f"{base}/ckpt",
+                             trigger={"availableNow": True}, clock=lambda h=hours: begin + dt.timedelta(hours=h))
+        q.awaitTermination()
+    now = begin + dt.timedelta(hours=51)
+    return store.read("youtube_category_views", now=now).select(F.lit("youtube_category_views").alias("view"), "member", "score")
+
+
+@register("stream_replace_poll", """
+WITH s AS (SELECT event_id % 2 AS drop_no, 'user_' || CAST(user_id AS VARCHAR) AS user_name, event_type AS game_name, props AS title,
+                  CAST(round(value * 100) AS INTEGER) AS viewer_count,
+                  'https://static.example.org/previews/live_user_' || CAST(user_id AS VARCHAR) || '-320x180.jpg' AS thumbnail_url,
+                  strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS fetched_at FROM events),
+p AS (SELECT drop_no, fetched_at, user_name,
+             max(struct_pack(v := viewer_count, g := game_name, t := title, th := thumbnail_url)) AS m FROM s GROUP BY 1, 2, 3),
+n AS (SELECT user_name, max(struct_pack(f := fetched_at, d := drop_no, m := m)) AS r FROM p GROUP BY 1)
+SELECT 'twitch_streamers_rank' AS view, user_name AS member, CAST(r.m.v AS DOUBLE) AS score, CAST(NULL AS VARCHAR) AS json_value
+FROM n WHERE r.f = (SELECT max(fetched_at) FROM s)
+UNION ALL
+SELECT 'twitch_streamers_details', user_name, CAST(NULL AS DOUBLE),
+       json_object('game', r.m.g, 'title', r.m.t, 'thumb', r.m.th, 'views', r.m.v)::VARCHAR FROM n""")
+def q_stream_replace_poll(spark, sf_dir):
+    """K6 by poll: two drops that both hold half of every poll. The rank view is
+    the newest poll, whole; the details are each user's newest poll's."""
+    from .sinks.serving import ServingStore
+    from .sources.topics import text_stream
+    from .streaming.hot import start_view_query
+    base = _run_dir(spark, "stream-poll")
+    ev = _t(spark, sf_dir, "events")
+    store = ServingStore(spark, f"{base}/views", policies=hot.POLL_POLICIES)
+    for k in range(2):
+        to_json_value(standins.twitch_streams(ev.where(F.col("event_id") % 2 == k))).write.text(f"{base}/in/drop={k}")
+        start_view_query(text_stream(spark, f"{base}/in/drop=*"), "twitch_streams", store, f"{base}/ckpt",
+                         trigger={"availableNow": True}, scope="poll").awaitTermination()
+
+    def rows(view):
+        return store.read(view).select(F.lit(view).alias("view"), "member", "score", "json_value")
+    return rows("twitch_streamers_rank").union(rows("twitch_streamers_details"))
+
+
+@register("stream_two_queries", """
+WITH g AS (""" + _TOP_GAME_SQL + """),
+t AS (""" + ORACLES["rank_text_parse"] + """)
+SELECT 'twitch_games_rank' AS view, game_name AS member, CAST(total_viewers AS DOUBLE) AS score, CAST(NULL AS VARCHAR) AS json_value FROM g
+UNION ALL SELECT 'twitch_games_details', game_name, CAST(NULL AS DOUBLE), json_value FROM g
+UNION ALL SELECT 'tiktok_trends_eg', member, CAST(rank_score AS DOUBLE), CAST(NULL AS VARCHAR) FROM t""")
+def q_stream_two_queries(spark, sf_dir):
+    """C4 and C5 as two queries of one session: the job waits until any of them
+    ends (T6), then for both."""
+    from .sinks.serving import ServingStore
+    from .sources.topics import text_stream
+    from .streaming.hot import await_any, start_view_query
+    base = _run_dir(spark, "stream-two")
+    to_json_value(standins.twitch_games(_t(spark, sf_dir, "events"))).write.text(f"{base}/games")
+    sounds = landing.chart_records(standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem")), CHART_BASE).drop("ingested_at")
+    to_json_value(sounds).write.text(f"{base}/sounds")
+    store = ServingStore(spark, f"{base}/views")
+    spark.streams.resetTerminated()
+    started = [start_view_query(text_stream(spark, f"{base}/{name}"), topic, store, f"{base}/ck_{name}", trigger={"availableNow": True})
+               for name, topic in (("games", "twitch_games"), ("sounds", "tiktok_data"))]
+    await_any(spark)
+    for q in started:
+        q.awaitTermination()
+    spark.streams.resetTerminated()
+    out = None
+    for view in ("twitch_games_rank", "twitch_games_details", "tiktok_trends_eg"):
+        part = store.read(view).select(F.lit(view).alias("view"), "member", "score", "json_value")
+        out = part if out is None else out.union(part)
+    return out
+
+
+@register("stream_summary", ORACLES["key_summary"])
+def q_stream_summary(spark, sf_dir):
+    """C15 as a stream over three drops: the summary snapshot (K13) after the last trigger."""
+    from .streaming.hot import start_reddit_summary
+    base = _run_dir(spark, "stream-summary")
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
+    _drain_drops(spark, base, to_json_value(posts), lambda raw: start_reddit_summary(
+        raw, f"{base}/summary", f"{base}/ckpt", trigger={"availableNow": True}))
+    return spark.read.parquet(f"{base}/summary")
+
+
+# ---------------------------------------------------------------------------
+# Lake and warehouse over time
+# ---------------------------------------------------------------------------
+
+@register("lake_quarantine", """
+SELECT 'archived' AS what, (SELECT count(*) FROM events) + 2 * (SELECT count(*) FROM part) AS n
+UNION ALL SELECT 'archive_rejects', (SELECT count(*) FROM part)
+UNION ALL SELECT 'load_rejects', (SELECT count(*) FROM part)
+UNION ALL SELECT 'facts', (SELECT count(*) FROM events) + (SELECT count(*) FROM part)
+UNION ALL SELECT 'subreddits', (SELECT count(*) FROM (SELECT lower(trim(event_type)) FROM events UNION SELECT lower(trim(p_brand)) FROM part) u)
+UNION ALL SELECT 'null_keys', 0""")
+def q_lake_quarantine(spark, sf_dir):
+    """Good, overflowing, keyless and garbage records through the archive and
+    the load: what isn't JSON is rejected by the first, what lacks its key by
+    the second, and nothing becomes a null dimension row."""
+    from .sources.topics import text_stream
+    from .streaming import archive, warehouse as wh
+    base = _run_dir(spark, "quarantine")
+    _mixed_topic(spark, sf_dir).select("value").write.text(f"{base}/in")
+    when = F.lit("2025-01-02 03:04:05").cast("timestamp_ntz")
+    archive.start_archive(text_stream(spark, f"{base}/in"), f"{base}/lake", "reddit_data", f"{base}/ck_archive", route_ts=when,
+                          trigger={"availableNow": True}).awaitTermination()
+    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=("reddit_data",))
+    dim = wh.warehouse_sink(spark, f"{base}/wh").read("Dim_Subreddit")
+    counted = {"archived": spark.read.text(f"{base}/lake/topic=reddit_data"),
+               "archive_rejects": spark.read.json(f"{base}/ck_archive_quarantine"),
+               "load_rejects": spark.read.parquet(f"{base}/ck_wh/reddit_data_quarantine"),
+               "facts": spark.read.parquet(f"{base}/wh/Fact_Redit_Activity"), "subreddits": dim,
+               "null_keys": dim.where(F.col("subreddit_sk").isNull() | F.col("subreddit_name").isNull())}
+    out = None
+    for what, df in counted.items():
+        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def _loaded(spark, sf_dir, topic: str):
+    """Records of a topic archived in two drops and loaded from the lake in bounded batches; the sink of the loaded tables."""
+    from .streaming import warehouse as wh
+    if topic == "twitch_streams":
+        rows, stamp = standins.twitch_streams(_t(spark, sf_dir, "events")), "fetched_at"
+    elif topic == "youtube_data":
+        rows, stamp = standins.youtube_videos(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")), "ingestion_timestamp"
+    else:
+        rows = landing.chart_records(standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem")), CHART_BASE)
+        stamp = "fetch_timestamp"
+    # one archive day a year, so that a load batch has a part of the days and not thousands of small files
+    base = _archived(spark, to_json_value(rows.drop("ingested_at")), topic, stamp, unit="year")
+    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=(topic,), max_files_per_trigger=16)
+    return wh.warehouse_sink(spark, f"{base}/wh")
+
+
+def _by_year(sql: str, time: str) -> str:
+    """An oracle with the records stamped by the first of their year, as ``_loaded`` archives them."""
+    return sql.replace(f"strftime({time}, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at",
+                       f"strftime(date_trunc('year', {time}), '%Y-%m-%dT%H:%M:%S') || '.000000' AS ingested_at")
+
+
+@register("incremental_tiktok", _by_year(ORACLES["star_two_dims"], "l_shipdate"))
+def q_incremental_tiktok(spark, sf_dir):
+    """C9 fed from the lake: the loaded fact table equals the batch one."""
+    return _loaded(spark, sf_dir, "tiktok_data").read("Fact_Tiktok_Performance")
+
+
+@register("incremental_youtube", _by_year(ORACLES["star_three_dims"], "l_shipdate"))
+def q_incremental_youtube(spark, sf_dir):
+    """C10 fed from the lake: the loaded fact table equals the batch one."""
+    return _loaded(spark, sf_dir, "youtube_data").read("Fact_Youtube_Performance")
+
+
+@register("incremental_dim_video", _by_year(ORACLES["dim_video"], "l_shipdate"))
+def q_incremental_dim_video(spark, sf_dir):
+    """C10's video dimension over several load batches: the newest attributes win, as in one batch."""
+    return _loaded(spark, sf_dir, "youtube_data").read("Dim_Video")
+
+
+@register("incremental_twitch", _by_year(ORACLES["star_twitch_fact"], "ts"))
+def q_incremental_twitch(spark, sf_dir):
+    """C11 fed from the lake: the loaded fact table equals the batch one."""
+    return _loaded(spark, sf_dir, "twitch_streams").read("Fact_Twitch_Performance")
+
+
+@register("two_topics_one_stream", """
+SELECT 'Fact_Redit_Activity' AS table_name, (SELECT count(*) FROM events) AS n
+UNION ALL SELECT 'Fact_Twitch_Performance', (SELECT count(*) FROM events)
+UNION ALL SELECT 'Dim_Subreddit', (SELECT count(DISTINCT lower(trim(event_type))) FROM events)
+UNION ALL SELECT 'Dim_Game', (SELECT count(DISTINCT event_type) FROM events)
+UNION ALL SELECT 'Dim_Platform', 4""")
+def q_two_topics_one_stream(spark, sf_dir):
+    """One stream over two topics archived by one query, then the
+    two topics loaded in turn."""
+    from .sinks.publish import publish
+    from .sources.topics import topics_stream
+    from .streaming import archive, warehouse as wh
+    base = _run_dir(spark, "two-topics")
+    ev = _t(spark, sf_dir, "events")
+    topics = ["reddit_data", "twitch_streams"]
+    publish(standins.reddit_posts(ev).drop("ingested_at"), topics[0], path=f"{base}/in")
+    publish(standins.twitch_streams(ev).drop("ingested_at"), topics[1], path=f"{base}/in")
+    when = F.lit("2025-01-02 03:04:05").cast("timestamp_ntz")
+    archive.start_archive(topics_stream(spark, f"{base}/in", topics), f"{base}/lake", topics, f"{base}/ck_archive", route_ts=when,
+                          trigger={"availableNow": True}).awaitTermination()
+    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=tuple(topics))
+    sink, out = wh.warehouse_sink(spark, f"{base}/wh"), None
+    for name in ("Fact_Redit_Activity", "Fact_Twitch_Performance", "Dim_Subreddit", "Dim_Game"):
+        part = sink.read(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = part if out is None else out.union(part)
+    platforms = spark.read.parquet(f"{base}/wh/Dim_Platform").agg(F.count(F.lit(1)).alias("n"))
+    return out.union(platforms.select(F.lit("Dim_Platform").alias("table_name"), "n"))
+
+
+@register("lake_inferred_schema", """
+SELECT * FROM (VALUES ('subreddit', 'string'), ('score', 'bigint'), ('num_comments', 'bigint'), ('title', 'string'), ('url', 'string'),
+                      ('post_timestamp', 'string'), ('ingestion_timestamp', 'string'), ('ingested_at', 'string')) t(field, type)""")
+def q_lake_inferred_schema(spark, sf_dir):
+    """The schema inferred from the archived files is the fixed one."""
+    from .sources.lake import infer_schema, topic_path
+    base = _archive(spark, sf_dir)
+    found = infer_schema(spark, topic_path(f"{base}/lake", "reddit_data"))
+    known = set(schemas.lake_schema("reddit_data").fieldNames())
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in found if f.name in known], "field string, type string")
+
+
+@register("lake_one_month", """
+SELECT CAST(day(ts) AS INTEGER) AS day, CAST(count(*) AS BIGINT) AS records FROM events
+WHERE year(ts) = (SELECT max(year(ts)) FROM events) AND month(ts) = 1 GROUP BY 1""")
+def q_lake_one_month(spark, sf_dir):
+    """Only the folders of one year and month of the archive are read."""
+    from .sources.lake import read_lake
+    base = _archive(spark, sf_dir)
+    year = _t(spark, sf_dir, "events").agg(F.max(F.year("ts"))).first()[0]
+    lake = read_lake(spark, f"{base}/lake", "reddit_data", years=[year]).where(F.col("month") == 1)
+    return lake.groupBy("day").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("append_and_create", """
+SELECT 'first append' AS step, (SELECT count(*) FROM events) AS n
+UNION ALL SELECT 'second append', (SELECT count(*) FROM events)
+UNION ALL SELECT 'in the table', 2 * (SELECT count(*) FROM events)
+UNION ALL SELECT 'created', (SELECT count(*) FROM part)
+UNION ALL SELECT 'created again', (SELECT count(*) FROM part)""")
+def q_append_and_create(spark, sf_dir):
+    """Rows counted while they are appended. K3: a second create changes nothing."""
+    from .sinks.tables import append_table, create_if_absent
+    base = _run_dir(spark, "append")
+    posts = standins.reddit_posts(_t(spark, sf_dir, "events"))
+    counts = [("first append", append_table(posts, f"{base}/posts")), ("second append", append_table(posts, f"{base}/posts"))]
+    counts.append(("in the table", spark.read.parquet(f"{base}/posts").count()))
+    create_if_absent(_t(spark, sf_dir, "part"), f"{base}/part")
+    counts.append(("created", spark.read.parquet(f"{base}/part").count()))
+    create_if_absent(_t(spark, sf_dir, "part").union(_t(spark, sf_dir, "part")), f"{base}/part")
+    counts.append(("created again", spark.read.parquet(f"{base}/part").count()))
+    return spark.createDataFrame(counts, "step string, n long")
+
+
+@register("lake_stamp", """
+SELECT 'reddit_data' AS topic, '2025' AS year, '01' AS month, '02' AS day, '{"event_id":' || CAST(event_id AS VARCHAR) || ', "ingested_at": "2025-01-02T03:04:05.000006"}' AS value
+FROM events WHERE event_id % 2 = 0
+UNION ALL
+SELECT 'reddit_data', '2025', '01', '02', '{"event_id":' || CAST(event_id AS VARCHAR) || ',"ingested_at":"2025-01-02T03:04:05.000006"}'
+FROM events WHERE event_id % 2 = 1""")
+def q_lake_stamp(spark, sf_dir):
+    """F10 with an injected clock: the stamp is appended, or replaced where a record has one."""
+    from .sinks.lake import lake_rows
+    old = F.when(F.col("event_id") % 2 == 1, F.lit("old"))
+    raw = _t(spark, sf_dir, "events").select(F.lit("reddit_data").alias("topic"),
+                                             F.to_json(F.struct("event_id", old.alias("ingested_at"))).alias("value"))
+    good, _ = lake_rows(raw, F.lit("2025-01-02 03:04:05.000006").cast("timestamp_ntz"))
+    return good.select("topic", "year", "month", "day", "value")
+
+
+# ---------------------------------------------------------------------------
+# Landing predicates, stamps and links
+# ---------------------------------------------------------------------------
+
+@register("ok_replies", ORACLES["explode_replies"].replace("FROM events", "FROM events QUALIFY floor(event_id / 50) % 3 = 0"))
+def q_ok_replies(spark, sf_dir):
+    """Of replies with the statuses 200, 429 and 500 only the first are used."""
+    replies = _reddit_replies(spark, sf_dir)
+    page = F.floor(F.get_json_object("body", "$.data.children[0].data.url").substr(F.lit(23), F.lit(20)).cast("bigint") / 50)
+    status = F.when(page % 3 == 0, 200).when(page % 3 == 1, 429).otherwise(500)
+    return landing.reddit_records(replies.withColumn("status", status))
+
+
+@register("chart_table_rows", """
+SELECT l_orderkey AS page_id, count(*) AS n_rows, min(l_linenumber) AS least FROM (
+  SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber NOT IN (2, 3)) x GROUP BY 1""")
+def q_chart_table_rows(spark, sf_dir):
+    """Rendered chart pages in which some rows lack a cell and some the link."""
+    rows = landing.html_table_rows(_chart_pages(spark, sf_dir, faults=True))
+    number = F.regexp_extract(landing.cell_text(F.col("cells")[0]), r"([0-9])", 1).cast("int")
+    return rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_rows"), F.min(number).alias("least"))
+
+
+@register("empty_lookup_ids", ORACLES["twitch_game_replies"])
+def q_empty_lookup_ids(spark, sf_dir):
+    """Lookup rows with an empty or null id name nothing; an empty game id stays unknown."""
+    replies, games = _twitch_inputs(spark, sf_dir)
+    odd = games.limit(0).union(games.select(F.when(F.col("id") == "click", F.lit("")).alias("id"), F.lit("nothing").alias("name"),
+                                            F.lit("none.jpg").alias("box_art_url")))
+    return landing.twitch_records(replies, games.union(odd))[1]
+
+
+@register("poll_stamped_chart", """
+SELECT 'sound ' || CAST(l_partkey AS VARCHAR) AS sound_name, 'https://charts.example.org/sound/' || CAST(l_partkey AS VARCHAR) AS tokchart_url,
+       '2025-01-02 03:04:05' AS fetch_timestamp FROM lineitem""")
+def q_poll_stamped_chart(spark, sf_dir):
+    """F9 with an injected clock: chart rows without a fetch time get the poll's."""
+    chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem")).drop("fetch_timestamp", "ingested_at")
+    records = landing.chart_records(chart, CHART_BASE, fetched=F.lit("2025-01-02 03:04:05").cast("timestamp_ntz"))
+    return records.select("sound_name", "tokchart_url", "fetch_timestamp")
+
+
+@register("ranked_order", """
+WITH t AS (""" + _TOP_STREAM_SQL + """),
+c AS (""" + ORACLES["rank_text_parse"] + """),
+a AS (SELECT 'twitch_streamers_rank' AS view, user_name AS member, CAST(viewer_count AS DOUBLE) AS score,
+             CAST(row_number() OVER (ORDER BY viewer_count DESC, user_name) AS INTEGER) AS place FROM t),
+b AS (SELECT 'tiktok_trends_eg' AS view, member, CAST(rank_score AS DOUBLE) AS score,
+             CAST(row_number() OVER (ORDER BY rank_score, member) AS INTEGER) AS place FROM c)
+SELECT * FROM a WHERE place <= 25 UNION ALL SELECT * FROM b WHERE place <= 25""")
+def q_ranked_order(spark, sf_dir):
+    """The places of the 25 first rows as they are read, descending and ascending."""
+    streams = hot.twitch_streamer_views(_twitch_topic(spark, sf_dir)).where("view = 'twitch_streamers_rank'")
+    sounds = hot.tiktok_view(_lake(spark, sf_dir, "tiktok_data").withColumn("tiktok_direct_url", F.col("tiktok_direct_url")))
+    read = [("twitch_streamers_rank", ranked_read(streams, n=25)), ("tiktok_trends_eg", ranked_read(sounds, n=25, ascending=True))]
+    rows = [(view, r.member, r.score, i + 1) for view, df in read for i, r in enumerate(df.collect())]   # 25 rows each
+    return spark.createDataFrame(rows, "view string, member string, score double, place int")
+
+
+def _link_pages(spark, sf_dir) -> DataFrame:
+    """Pages rendered from part with anchors in all forms: three quotings, comments, entities, other attributes, none."""
+    key = F.col("p_partkey").cast("string")
+    form = F.col("p_partkey") % 5
+
+    def around(before, after):
+        return F.concat(F.lit(before), key, F.lit(after))
+    html = (F.when(form == 0, around('<!-- <a href="https://www.tiktok.com/music/old">x</a> --><A class=b HREF="/music/', '">Tom &amp; J&#233;r&ocirc;me</A>'))
+            .when(form == 1, around("<p><a title='a > b' href='/m?a=1&amp;id=", "'> <b>View on TikTok</b> </a>"))
+            .when(form == 2, around("<a id=x href=https://www.tiktok.com/music/s-", ">it&#8217;s &#x41;&unknown;</a>"))
+            .when(form == 3, around('<a name="', '">no link</a><a href="">View on TikTok</a>'))
+            .otherwise(around("<p>nothing ", "</p>")))
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), around("https://pages.example.org/d/", ".html").alias("url"),
+                                            html.alias("html"))
+
+
+@register("link_variants", """
+WITH p AS (SELECT p_partkey AS page_id, p_partkey % 5 AS f, CAST(p_partkey AS VARCHAR) AS k FROM part)
+SELECT page_id, CAST(0 AS INTEGER) AS pos, '/music/' || k AS href, 'Tom & Jérôme' AS text, 'https://pages.example.org/music/' || k AS abs_url,
+       CAST(NULL AS VARCHAR) AS first_link FROM p WHERE f = 0
+UNION ALL SELECT page_id, 0, '/m?a=1&id=' || k, 'View on TikTok', 'https://pages.example.org/m?a=1&id=' || k, '/m?a=1&id=' || k FROM p WHERE f = 1
+UNION ALL SELECT page_id, 0, 'https://www.tiktok.com/music/s-' || k, 'it' || chr(8217) || 's A&unknown;', 'https://www.tiktok.com/music/s-' || k,
+                 'https://www.tiktok.com/music/s-' || k FROM p WHERE f = 2
+UNION ALL SELECT page_id, 0, '', 'View on TikTok', 'https://pages.example.org/d/', NULL FROM p WHERE f = 3""")
+def q_link_variants(spark, sf_dir):
+    """Links of anchors in all quotings, with entities, and in comments (which hold none)."""
+    pages = _link_pages(spark, sf_dir)
+    first = pages.select("page_id", landing.first_link(F.col("html")).alias("first_link"))
+    return landing.page_links(pages).join(first, "page_id")

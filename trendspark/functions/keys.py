@@ -38,8 +38,9 @@ def time_key(ts) -> Column:
 
 
 def _ntz(ts) -> Column:
-    # an offset in the text is ignored: keys use the wall clock as written
-    return F.to_timestamp_ntz(_c(ts).cast("string"))
+    # an offset in the text is ignored: keys use the wall clock as written;
+    # text that is no time gives a null key and does not stop the load
+    return _c(ts).cast("string").try_cast("timestamp_ntz")
 
 
 def surrogate_key(platform: str, natural) -> Column:
@@ -48,10 +49,16 @@ def surrogate_key(platform: str, natural) -> Column:
 
 
 def row_key(platform: str, *cols) -> Column:
-    """md5 key of a whole row: every identifying column, nulls marked."""
+    """md5 key of a row's content: every identifying column, nulls marked.
+
+    Each part carries its length, so no two different rows give one text.
+    Rows equal in all these columns share a key: it names the content, and a
+    record that is published twice is one content.
+    """
     parts = [F.lit(platform)]
     for c in cols:
-        parts.append(F.coalesce(_c(c).cast("string"), F.lit(NULL_MARK)))
+        text = _c(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_MARK)))
     return F.md5(F.concat_ws("|", *parts))
 
 

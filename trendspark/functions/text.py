@@ -34,14 +34,14 @@ def _tokens(c) -> Column:
 def last_token(c, default: str = EMPTY_TOKEN) -> Column:
     """last whitespace-separated token, ``default`` when there is none.
 
-    ``"1K\\n 1,247"`` -> ``"1,247"``; ``""`` or null -> ``"0"``.
+    ``"2M\\n 2,013,570"`` -> ``"2,013,570"``; ``""`` or null -> ``"0"``.
     """
     tok = F.try_element_at(_tokens(c), F.lit(-1))
     return F.coalesce(F.nullif(tok, F.lit("")), F.lit(default))
 
 
 def first_token(c, default: str = EMPTY_TOKEN) -> Column:
-    """first whitespace-separated token (``"+6,500\\n +8.13 %"`` -> ``"+6,500"``)."""
+    """first whitespace-separated token (``"+41,200\\n +3.7 %"`` -> ``"+41,200"``)."""
     tok = F.try_element_at(_tokens(c), F.lit(1))
     return F.coalesce(F.nullif(tok, F.lit("")), F.lit(default))
 
@@ -50,7 +50,7 @@ def percent_token(c, default: str = EMPTY_PERCENT) -> Column:
     """F16: the percentage token.
 
     A lone trailing ``%`` is joined to the token before it
-    (``"+238\\n +30.87\\n %"`` -> ``"+30.87%"``); else the first token that
+    (``"+95\\n +12.4\\n %"`` -> ``"+12.4%"``); else the first token that
     holds a ``%``; else the last token; ``default`` when there is no token.
     """
     parts = _tokens(c)

@@ -18,8 +18,8 @@ def epoch_to_iso_utc(c) -> Column:
 
 
 def iso_to_ntz(c) -> Column:
-    """Parse ISO text (naive or with an offset) into a wall-clock timestamp."""
-    return F.to_timestamp_ntz(_c(c))
+    """Parse ISO text (naive or with an offset) into a wall-clock timestamp; other text gives null."""
+    return _c(c).cast("string").try_cast("timestamp_ntz")
 
 
 def processing_time() -> Column:
@@ -27,6 +27,11 @@ def processing_time() -> Column:
     return F.current_timestamp()
 
 
+def poll_stamp(ts: Column | None = None) -> Column:
+    """a poll's stamp as text, of ``ts`` or of the processing time."""
+    return F.date_format(processing_time() if ts is None else ts, "yyyy-MM-dd HH:mm:ss")
+
+
 def iso_naive(ts) -> Column:
     """Naive ISO text with microseconds, as ``datetime.isoformat()`` writes it."""
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -68,12 +68,12 @@ def dimension(df: DataFrame, sk: str, attrs: dict, order=None, unique: bool = Fa
 
 
 def new_dimension_rows(batch_dim: DataFrame, existing: DataFrame | None, sk: str) -> DataFrame:
-    """Rows of ``batch_dim`` whose key is not yet in ``existing`` (left anti).
+    """Rows of ``batch_dim`` with a key that is not yet in ``existing`` (left anti).
 
-    Keeps keys unique across batches in md5 mode. Null keys never match, so
-    a null-key row is added once per batch, as an equi-join would do; drop
-    it upstream when the target forbids it.
+    Keeps keys unique across batches in md5 mode. A null key names nothing
+    and never becomes a dimension row.
     """
+    batch_dim = batch_dim.where(F.col(sk).isNotNull())
     if existing is None:
         return batch_dim
     return batch_dim.join(existing.select(sk), sk, "left_anti")

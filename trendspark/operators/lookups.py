@@ -1,10 +1,9 @@
-"""Lookups with defaults (J5, J6) and the size-checked broadcast.
+"""Lookups with defaults.
 
-A lookup side is broadcast only after a bounded check proves it small:
-``limit(max_rows + 1).count()`` stops each task after ``max_rows + 1`` rows,
-so the check costs at most that many rows per task however large the table
-is. Beyond the bound the join is left to the planner (AQE may still pick a
-broadcast from runtime sizes, else a shuffle join with skew splitting).
+The lookup is a plain left join: Catalyst and AQE broadcast it where its
+size in bytes is below ``spark.sql.autoBroadcastJoinThreshold``, and
+otherwise shuffle both sides (with skew splitting). No job runs while the
+plan is built.
 """
 
 from __future__ import annotations
@@ -12,19 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def lookup_with_default(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
-                        fields: dict, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                        check_size: bool = True) -> DataFrame:
+                        fields: dict) -> DataFrame:
     """Left join ``df`` to ``lookup`` and default each looked-up field.
 
     ``fields`` maps ``lookup column -> (output name, default)``. A key with
@@ -37,8 +26,6 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, left_key: str, right_k
     vals = [f"_lk_{src}" for src in fields]
     renamed = (renamed.groupBy("_lk_key").agg(F.max(F.struct(*vals)).alias("_lk"))
                .select("_lk_key", *[F.col(f"_lk.{v}").alias(v) for v in vals]))
-    if check_size:
-        renamed = bounded_broadcast(renamed, max_broadcast_rows)
     joined = df.join(renamed, df[left_key] == renamed["_lk_key"], "left")
     outs = [F.coalesce(F.col(f"_lk_{src}"), F.lit(default)).alias(name)
             for src, (name, default) in fields.items()]

@@ -8,6 +8,8 @@ over the cluster instead of one client process.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType,
@@ -15,7 +17,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType,
 
 from ..functions.text import (absolute_url, count_or_zero, fill_size_template,
                               first_token, last_token, not_found, strip_ws, url_from_id)
-from ..functions.times import epoch_to_iso_utc
+from ..functions.times import epoch_to_iso_utc, poll_stamp
 from ..operators.aggregates import sum_per_key
 from ..operators.lookups import lookup_with_default
 from ..sources.constants import (BOX_ART_SIZE, CHART_MIN_CELLS, MUSIC_HREF, OTHER_CATEGORY,
@@ -121,21 +123,54 @@ def twitch_records(replies: DataFrame, games: DataFrame) -> tuple[DataFrame, Dat
 
 # ---- C13: chart pages --------------------------------------------------
 
-CHART_BASE = "https://charts.example.org"
+# Entities of HTML: the five of markup, and the named characters that the
+# standard library lists.
+MARKUP = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
+NAMED = {**{name: chr(code) for name, code in name2codepoint.items()}, **MARKUP}
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,8});"
+
 
-# HTML entities decoded in cell text.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-            ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+def _decoded(entity) -> F.Column:
+    """The character of one entity text; an unknown one stays as it is."""
+    body = F.regexp_replace(entity, "^&#?[xX]?|;$", "")
+    code = (F.when(entity.rlike("^&#[xX]"), F.conv(body, 16, 10)).when(entity.startswith("&#"), body)).try_cast("int")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    return F.coalesce(F.when(valid, char), F.when(code.isNull(), F.try_element_at(names, F.substring(entity, 2, 9).substr(F.lit(1), F.length(entity) - 2))),
+                      entity)
 
 
 def unescape(c) -> F.Column:
-    out = c
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    # most text holds no entity: skip the replacements then
+    """Entities decoded once, from left to right, named and numeric ones."""
+    found = F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0))
+    between = F.split(c, _ENTITY, -1)
+    chars = F.concat(F.transform(found, _decoded), F.array(F.lit("")))
+    out = F.array_join(F.zip_with(between, chars, lambda text, char: F.concat(text, char)), "")
+    # most text holds no entity
     return F.when(c.contains("&"), out).otherwise(c)
 
 
+def without_comments(html) -> F.Column:
+    """HTML without its comments: what a page hides there is no content."""
+    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+
+
+# An attribute value in double quotes, in single quotes, or bare.
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_HREF = r"""(?is)^<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*""" + _VALUE
+_ANCHORS = r"""(?is)<a\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?</a>"""
+
+
+def anchor_href(anchor) -> F.Column:
+    """The decoded ``href`` of an anchor's text, quoted in any way; empty if it has none."""
+    return strip_ws(unescape(F.concat(*[F.regexp_extract(anchor, _HREF, i) for i in (1, 2, 3)])))
+
+
+def anchor_inner(anchor) -> F.Column:
+    return F.regexp_extract(anchor, r"""(?is)^<a\b(?:[^>"']|"[^"]*"|'[^']*')*>(.*)</a>$""", 1)
+
+
 def cell_text(c) -> F.Column:
     """``.text.strip()``: tags removed, entities decoded, edges stripped."""
     return strip_ws(unescape(F.regexp_replace(c, r"<[^>]*>", "")))
@@ -160,22 +195,19 @@ def html_table_rows(pages: DataFrame, min_cells: int = CHART_MIN_CELLS) -> DataF
     Regular expressions stand in for a DOM parser: nested tables inside a
     cell are not supported.
     """
-    table = F.regexp_extract("html", r"(?is)<table\b[^>]*>(.*?)</table>", 1)
+    table = F.regexp_extract(without_comments(F.col("html")), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
     trs = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
-
-    def parse_row(tr):
-        cells = F.regexp_extract_all(tr, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
-        href = F.regexp_extract(F.try_element_at(cells, F.lit(2)),
-                                r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']""", 1)
-        return F.struct(cells.alias("cells"), href.alias("href"))
-    # cells and link are computed inside the generator, so the row filters
-    # below read its output instead of re-running the cell regexes
     other = [c for c in pages.columns if c != "html"]
-    rows = pages.select(*other, F.posexplode(F.transform(trs, parse_row)).alias("row_pos", "r"))
-    return (rows.where((F.size("r.cells") >= min_cells) & (F.col("r.href") != ""))
-                .select(*other, "row_pos", F.col("r.cells").alias("cells"),
-                        F.col("r.href").alias("sound_href")))
+    rows = pages.select(*other, F.posexplode(trs).alias("row_pos", "tr"))
+    cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
+    # inline(array(...)): the row filters below read its output instead of
+    # running the cell regexes once more
+    rows = rows.select(*other, "row_pos", F.inline(F.array(F.struct(cells.alias("cells")))))
+    anchor = F.regexp_extract(F.try_element_at("cells", F.lit(2)), _ANCHORS, 0)
+    rows = rows.where(F.size("cells") >= min_cells).select(
+        *other, "row_pos", "cells", F.inline(F.array(F.struct(anchor_href(anchor).alias("sound_href")))))
+    return rows.where(F.col("sound_href") != "").select(*other, "row_pos", "cells", "sound_href")
 
 
 def chart_cells(rows: DataFrame, keep=()) -> DataFrame:
@@ -191,20 +223,24 @@ def chart_cells(rows: DataFrame, keep=()) -> DataFrame:
         "sound_href")
 
 
-def chart_records(chart: DataFrame, base: str = CHART_BASE, links: DataFrame | None = None) -> DataFrame:
+def chart_records(chart: DataFrame, base: str, links: DataFrame | None = None, fetched=None) -> DataFrame:
     """Raw chart columns -> tiktok_data records.
 
     F14 ugc (last token), F15 growth (first token), F18 stripping, F19
     absolute detail URL, F20 ``Not Found`` for a missing direct link. The
     direct link comes from ``direct_link`` when present, else from
-    ``links`` (detail URL -> link, see ``first_link``) by a left join.
+    ``links`` (detail URL -> link, see ``first_link``) by a left join. Rows
+    without a fetch time are stamped with ``fetched``, else with the
+    processing time (F9).
     """
     df = chart.withColumn("tokchart_url", absolute_url(F.col("sound_href"), F.lit(base)))
     if links is not None:
         # one link per detail URL, so a page stored twice cannot duplicate rows
         df = lookup_with_default(df, links, "tokchart_url", "url", {"link": ("direct_link", None)})
     if "fetch_timestamp" not in df.columns:
-        df = df.withColumn("fetch_timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
+        df = df.withColumn("fetch_timestamp", poll_stamp(fetched))
+    if "direct_link" not in df.columns:
+        df = df.withColumn("direct_link", F.lit(None).cast("string"))
     return df.select(
         strip_ws("rank_text").alias("rank"),
         strip_ws("sound_name").alias("sound_name"),
@@ -219,21 +255,20 @@ def chart_records(chart: DataFrame, base: str = CHART_BASE, links: DataFrame | N
 
 def first_link(html, href_pattern: str = MUSIC_HREF, text: str = VIEW_ON_TIKTOK) -> F.Column:
     """Href of the first anchor whose href matches ``href_pattern``, else
-    of the first anchor whose whole text is ``text``, else null."""
-    by_href = F.regexp_extract(
-        html, r"""(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*(?:""" + href_pattern + r""")[^"]*)\"""", 1)
-    quoted = text.replace("\\", "\\\\").replace(".", "\\.")
-    by_text = F.regexp_extract(
-        html, r"""(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>""" + quoted + "</a>", 1)
-    return F.coalesce(F.nullif(by_href, F.lit("")), F.nullif(by_text, F.lit("")))
+    of the first anchor whose whole text is ``text``, else null. Neither
+    minds the case of letters, as hosts in links don't."""
+    html = F.col(html) if isinstance(html, str) else html
+    anchors = F.regexp_extract_all(without_comments(html), F.lit(_ANCHORS), F.lit(0))
+    by_href = F.filter(anchors, lambda a: anchor_href(a).rlike("(?i)" + href_pattern))
+    by_text = F.filter(anchors, lambda a: F.lower(cell_text(anchor_inner(a))) == text.lower())
+    chosen = F.coalesce(F.try_element_at(by_href, F.lit(1)), F.try_element_at(by_text, F.lit(1)))
+    return F.nullif(anchor_href(chosen), F.lit(""))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """All anchors of each page: position, href, text and absolute URL."""
-    pairs = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>.*?</a>"""), 1).alias("href"),
-        F.regexp_extract_all("html", F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*"[^"]*"[^>]*>(.*?)</a>"""), 1).alias("inner"))
-    ex = pages.select("page_id", "url", F.posexplode(pairs).alias("pos", "a"))
-    return ex.select("page_id", "pos", F.col("a.href").alias("href"),
-                     cell_text(F.col("a.inner")).alias("text"),
-                     absolute_url(F.col("a.href"), F.col("url")).alias("abs_url"))
+    """All anchors with an href of each page: position, href, text and absolute URL; one pass finds the anchors."""
+    anchors = F.regexp_extract_all(without_comments(F.col("html")), F.lit(_ANCHORS), F.lit(0))
+    has_href = F.filter(anchors, lambda a: a.rlike(_HREF))
+    ex = pages.select("page_id", "url", F.posexplode(has_href).alias("pos", "a"))
+    ex = ex.select("page_id", "url", "pos", anchor_href(F.col("a")).alias("href"), cell_text(anchor_inner(F.col("a"))).alias("text"))
+    return ex.select("page_id", "pos", "href", "text", absolute_url(F.col("href"), F.col("url")).alias("abs_url"))

@@ -115,8 +115,11 @@ def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> StarTable
     })
 
 
-def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
-    """Dim_Video, Dim_Channel, Dim_Category, Fact_Youtube_Performance."""
+def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None, seen: bool = False) -> StarTables:
+    """Dim_Video, Dim_Channel, Dim_Category, Fact_Youtube_Performance.
+
+    ``seen`` keeps the time a video's row was taken in ``_seen``, which an
+    incremental load needs to order the rows of several batches."""
     keyed = attach_keys(videos, "YouTube", [("video_sk", "video_id"), ("channel_sk", "channel"),
                                             ("category_sk", "category")], mode=mode)
     t = keyed.select(
@@ -134,8 +137,8 @@ def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None) -> StarTabl
     return StarTables({
         # attributes of a video may change between snapshots: the newest wins
         "Dim_Video": lambda: dimension(t, "video_sk", {
-            "ingested_at": "ingested_at", "video_id_nk": "video_id", "video_url": "video_url",
-            "video_title": "video_title", "published_at": "published_at"}).drop("ingested_at"),
+            "_seen": "ingested_at", "video_id_nk": "video_id", "video_url": "video_url",
+            "video_title": "video_title", "published_at": "published_at"}).drop(*([] if seen else ["_seen"])),
         "Dim_Channel": lambda: dimension(t, "channel_sk", {"channel_name_nk": "channel_name"}, unique=True),
         "Dim_Category": lambda: dimension(t, "category_sk", {"category_name_nk": "category_name"}, unique=True),
         "Fact_Youtube_Performance": lambda: t.select(
@@ -190,8 +193,15 @@ DIM_KEYS = {
     "Dim_Video": "video_sk", "Dim_Channel": "channel_sk", "Dim_Category": "category_sk",
     "Dim_Game": "game_sk",
 }
-# Per-event dimensions: the key hashes the record's identity (post snapshot,
-# user poll), each lake record is loaded once (file-stream checkpoint) and a
-# replayed batch overwrites its own partition, so no anti join against the
-# whole, ever-growing history is needed.
-EVENT_DIMS = {"Dim_Post": "post_sk", "Dim_Stream": "stream_sk"}
+# Per-event dimensions (Dim_Post, Dim_Stream): the key hashes the record's
+# identity (post snapshot, user poll), each lake record is loaded once
+# (file-stream checkpoint) and a replayed batch overwrites its own partition,
+# so no anti join against the whole, ever-growing history is needed.
+
+# Dimensions whose attributes may differ between batches, with the columns
+# that order their rows: a reader takes each key's largest row, which is what
+# one batch over the same lake would keep.
+CHANGING_DIMS = {"Dim_Video": ["_seen", "video_id_nk", "video_url", "video_title", "published_at"],
+                 "Dim_Subreddit": ["subreddit_name"]}
+# Column that names the record of a topic; a lake line without it is malformed.
+RECORD_KEYS = {"reddit_data": "subreddit", "tiktok_data": "sound_name", "youtube_data": "video_id", "twitch_streams": "user_name"}

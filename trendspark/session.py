@@ -9,7 +9,9 @@ caller or the cluster's defaults.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,16 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor and
     the driver can reach; it is used as is. Only a local master (tests, the
-    bench) may fall back to a fresh temporary folder.
+    bench) may fall back to a fresh temporary folder, removed at exit.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required on a cluster")
         path = tempfile.mkdtemp(prefix="trendspark-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         try:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # noqa: BLE001  (core confs may be read-only at runtime)
@@ -76,51 +79,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _input_bytes(df: DataFrame) -> int:
-    """Size of a scan's input files (file metadata only)."""
-    sc = df.sparkSession.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = sc._jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def spread(df: DataFrame, key: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (e.g. one file with a single row group), so row-wise work (JSON, regex,
-    hashing) does not run in one task. A scan of a large input has more
-    splits than cores and is returned unchanged, and so is a small one
-    (below ``min_bytes``: a lookup that is broadcast anyway).
-
-    Rows are hash-partitioned on ``key`` (default: the leading column, a
-    table key): as deterministic on retry as a round robin, without the
-    sort a round robin needs for that.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        small_split = df.rdd.getNumPartitions() < cores and _input_bytes(df) >= min_bytes
-    except Exception:  # noqa: BLE001  (no context access, e.g. a Connect session)
-        return df
-    return df.repartition(cores, key or df.columns[0]) if small_split else df
-
-
-_TABLES: dict = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
-    """A benchmark table as a DataFrame. The relation (file listing, footer
-    schema, spread decision) is built once per session and path; a
-    DataFrame is a plan, not data, so reusing it reads the files afresh."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path, spread_small)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        df = spread(df) if spread_small else df
-        _TABLES[key] = df
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A benchmark table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

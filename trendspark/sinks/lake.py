@@ -2,9 +2,10 @@
 and route it to ``topic=/year=/month=/day=`` folders.
 
 The record text is kept as published: ``ingested_at`` is appended to the
-object, so field order and number formats are untouched. Lines that are
-not JSON objects are returned separately (quarantine) instead of stopping
-the archive.
+object, so field order and number formats are untouched; a record that has
+the field already is written anew with the field replaced. Texts that are
+not one JSON object from end to end are returned separately (quarantine)
+instead of stopping the archive.
 """
 
 from __future__ import annotations
@@ -12,15 +13,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import iso_naive
+from ..functions.times import iso_naive, processing_time
+
+
+def is_json_object(value: Column) -> Column:
+    """Whether the whole text is one JSON object.
+
+    A parser stops after the first value, so the text is parsed inside an
+    array (which must then have one element) and inside an object: what
+    closes one of the two early breaks the other.
+    """
+    in_array = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<map<string,string>>")
+    in_object = F.from_json(F.concat(F.lit('{"k":'), value, F.lit("}")), "struct<k:map<string,string>>")
+    return F.coalesce((F.size(in_array) == 1) & in_array[0].isNotNull() & in_object["k"].isNotNull()
+                      & F.json_object_keys(value).isNotNull(), F.lit(False))
 
 
 def stamp_record(value: Column, ingested_at: Column) -> Column:
     """``{...}`` -> ``{..., "ingested_at": "<iso>"}`` (``{}`` -> ``{"ingested_at": ...}``)."""
     body = F.regexp_replace(value, r"^\s*\{\s*|\s*\}\s*$", "")
     field = F.concat(F.lit('"ingested_at": "'), ingested_at, F.lit('"'))
-    return (F.when(body == "", F.concat(F.lit("{"), field, F.lit("}")))
-             .otherwise(F.concat(F.lit("{"), body, F.lit(", "), field, F.lit("}"))))
+    appended = (F.when(body == "", F.concat(F.lit("{"), field, F.lit("}")))
+                 .otherwise(F.concat(F.lit("{"), body, F.lit(", "), field, F.lit("}"))))
+    # variants keep the values of the other fields as they are
+    others = F.map_filter(F.from_json(value, "map<string,variant>"), lambda k, v: k != "ingested_at")
+    stamp = F.map_from_arrays(F.array(F.lit("ingested_at")), F.array(F.parse_json(F.concat(F.lit('"'), ingested_at, F.lit('"')))))
+    replaced = F.to_json(F.map_concat(others, stamp))
+    return F.when(F.array_contains(F.json_object_keys(value), "ingested_at"), replaced).otherwise(appended)
 
 
 def lake_rows(raw: DataFrame, route_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -30,10 +49,9 @@ def lake_rows(raw: DataFrame, route_ts: Column | None = None) -> tuple[DataFrame
     the archiver stamps its records) gives both ``ingested_at`` and the
     ``year/month/day`` folder (zero-padded month and day, K10).
     """
-    ts = route_ts if route_ts is not None else F.current_timestamp()
+    ts = route_ts if route_ts is not None else processing_time()
     text = F.col("value").cast("string")
-    is_object = F.json_object_keys(text).isNotNull()
-    rows = raw.select("topic", text.alias("value"), ts.alias("_ts"), is_object.alias("_ok"))
+    rows = raw.select("topic", text.alias("value"), ts.alias("_ts"), is_json_object(text).alias("_ok"))
     good = rows.where("_ok").select(
         "topic",
         stamp_record(F.col("value"), iso_naive(F.col("_ts"))).alias("value"),

@@ -1,10 +1,12 @@
 """Warehouse table writes.
 
-A target is a path (parquet by default) or any DataFrameWriter format with
-options, e.g. a JDBC or warehouse connector. Writes to a path are keyed by
-``batch_id``: each batch's rows land in their own partition folder
+A target is a folder (parquet by default, or another file format) or any
+DataFrameWriter connector with options, e.g. JDBC. Writes to a folder are
+keyed by ``batch_id``: each batch's rows land in their own partition folder
 ``batch_id=<id>``, so a replayed batch replaces its own rows instead of
-appending them twice.
+appending them twice. A connector target gets appends with a ``batch_id``
+column: a batch that is replayed after a failure may be there twice, and the
+column tells.
 """
 
 from __future__ import annotations
@@ -12,12 +14,12 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import observed_count
 from ..operators.dims import new_dimension_rows
+from ..operators.ranking import one_row_per_key
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +34,7 @@ def append_table(df: DataFrame, target: str, fmt: str = "parquet", options: dict
     return n
 
 
-def create_if_absent(df: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None) -> None:
+def create_if_absent(df: DataFrame, target: str | None, fmt: str = "parquet", options: dict | None = None) -> None:
     """K3: write only when the target does not exist yet (``mode("ignore")``)."""
     df.write.format(fmt).options(**(options or {})).mode("ignore").save(target)
 
@@ -42,14 +44,17 @@ def overwrite_snapshot(df: DataFrame, target: str, fmt: str = "parquet") -> None
     df.write.format(fmt).mode("overwrite").save(target)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
+    """The target's rows, or None only if there is no such path; a broken target is an error."""
+    return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
 
 
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> int:
+def write_batch_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", options: dict | None = None) -> int:
     """Idempotent batch write: replace folder ``batch_id=<id>`` only.
 
     The batch is written straight into its own partition folder, so no
@@ -58,10 +63,13 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> int:
     ``batch_id`` as a partition column.
     """
     out, obs = observed_count(df, f"rows:{path}:{batch_id}")
-    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    out.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
     return obs.get.get("n", 0)
 
 
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
 class WarehouseSink:
     """Fan one transformed batch out to its dimension and fact tables.
 
@@ -70,12 +78,20 @@ class WarehouseSink:
     (``prepare``) so the writes share one computation; it is released when
     the batch is done. New dimension rows are those whose key is not in the
     target yet (other batches' partitions), which makes keys unique across
-    batches and a replay a no-op.
+    batches and a replay a no-op. Of ``changing`` dimensions, a row that is
+    larger by the given columns than what the target has of its key goes to
+    the table ``<name>_changes``, and ``read`` takes each key's largest row.
+
+    With a connector format, ``root`` is a prefix of the table names, which
+    go into the option ``table_option``.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", options: dict | None = None,
+                 changing: dict | None = None, table_option: str = "dbtable"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.fmt, self.options, self.table_option = fmt, dict(options or {}), table_option
+        self.changing = dict(changing or {})
         self._held: list[DataFrame] = []
 
     def path(self, table: str) -> str:
@@ -91,21 +107,55 @@ class WarehouseSink:
             df.unpersist()
         self._held.clear()
 
+    def _connector(self, table: str) -> dict:
+        return {**self.options, self.table_option: f"{self.root}{table}"}
+
+    def _existing(self, table: str) -> DataFrame | None:
+        if self.fmt in FILE_FORMATS:
+            return read_if_exists(self.spark, self.path(table), self.fmt)
+        return self.spark.read.format(self.fmt).options(**self._connector(table)).load()
+
+    def _put(self, df: DataFrame, table: str, batch_id: int) -> int:
+        if self.fmt in FILE_FORMATS:
+            return write_batch_partition(df, self.path(table), batch_id, self.fmt, self.options)
+        out, obs = observed_count(df.withColumn("batch_id", F.lit(int(batch_id))), f"rows:{table}:{batch_id}")
+        out.write.format(self.fmt).options(**self._connector(table)).mode("append").save()
+        return obs.get.get("n", 0)
+
     def write(self, tables: dict, keys: dict, batch_id: int) -> dict:
         counts = {}
         try:
             for name, df in tables.items():
                 if name in keys:
-                    existing = read_if_exists(self.spark, self.path(name))
+                    existing = self._existing(name)
                     if existing is not None:
-                        # only the key column is read (column pruning)
-                        existing = (existing.where(F.col("batch_id") != int(batch_id))
-                                    .select(keys[name]))
-                    df = new_dimension_rows(df, existing, keys[name])
-                counts[name] = write_batch_partition(df, self.path(name), batch_id)
+                        existing = existing.where(F.col("batch_id") != int(batch_id))
+                    if name in self.changing and existing is not None:
+                        changed = self._changed(df, existing, name, keys[name], batch_id)
+                        counts[f"{name}_changes"] = self._put(changed, f"{name}_changes", batch_id)
+                    # only the key column is read (column pruning)
+                    df = new_dimension_rows(df, None if existing is None else existing.select(keys[name]), keys[name])
+                counts[name] = self._put(df, name, batch_id)
         finally:
             self.release()
         return counts
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table)).drop("batch_id")
+    def _changed(self, df: DataFrame, existing: DataFrame, table: str, key: str, batch_id: int) -> DataFrame:
+        """Rows of ``df`` whose key is known with smaller values of the ordering columns."""
+        order = F.struct(*self.changing[table])
+        known = existing.select(key, order.alias("_known"))
+        earlier = self._existing(f"{table}_changes")
+        if earlier is not None:
+            known = known.union(earlier.where(F.col("batch_id") != int(batch_id)).select(key, order.alias("_known")))
+        known = known.groupBy(key).agg(F.max("_known").alias("_known"))
+        return df.join(known, key).where(order > F.col("_known")).select(*df.columns)
+
+    def read(self, table: str, keys: dict | None = None) -> DataFrame:
+        """A table as a consumer sees it: of a changing dimension, each key's largest row."""
+        df = self._existing(table).drop("batch_id")
+        if table in self.changing:
+            changes = self._existing(f"{table}_changes")
+            if changes is not None:
+                df = df.unionByName(changes.drop("batch_id"))
+            df = one_row_per_key(df, (keys or {}).get(table) or df.columns[0], order=self.changing[table]).drop("_seen")
+        return df

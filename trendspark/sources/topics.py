@@ -43,6 +43,15 @@ def text_stream(spark: SparkSession, path: str, topic: str | None = None,
     return df.withColumn("topic", F.lit(topic)) if topic else df
 
 
+def topics_stream(spark: SparkSession, root: str, topics, max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stand-in of S2: one stream over the ``topic=<name>`` folders of several topics (``value``, ``topic``)."""
+    reader = spark.readStream.format("text").schema("value string, topic string").option("basePath", root)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    names = ",".join(topics)
+    return reader.load(f"{root.rstrip('/')}/topic={{{names}}}")
+
+
 def json_file_stream(spark: SparkSession, path: str, schema: StructType,
                      max_files_per_trigger: int | None = None,
                      options: dict | None = None) -> DataFrame:

@@ -48,3 +48,22 @@ def test_components_of_a_long_chain_a_star_and_loops(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(1, 41)} == {1} and {got[i] for i in range(100, 130)} == {100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bitmap_filter_loses_no_wanted_row(spark):
+    from trendspark.llm.common import likely_in
+    rows = spark.range(5000).selectExpr("id as node", "cast(id as string) as text")
+    ids = spark.range(0, 5000, 7).selectExpr("id as node")
+    kept = {r.node for r in likely_in(rows, ids, "node", bits=1 << 16).collect()}
+    assert kept >= set(range(0, 5000, 7)) and len(kept) < 1200
+    assert likely_in(rows, ids.limit(0), "node").count() == 0
+
+
+def test_lonely_shingles_and_the_bound(spark):
+    from pyspark.sql import functions as F
+    bodies = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d x y"), (3, "q r s t")], "node long, text string")
+    assert {r.node: r.lonely for r in N.lonely_shingles(bodies, 2).collect()} == {1: 2, 2: 2, 3: 3}
+    pairs = spark.createDataFrame([(100, 0, 100, 0), (100, 12, 100, 0), (100, 11, 100, 0), (100, 0, 80, 0), (100, 0, 79, 0)],
+                                  "na int, la int, nb int, lb int")
+    got = [r[0] for r in pairs.select(N.possible(F.col("na"), F.col("la"), F.col("nb"), F.col("lb"), 80)).collect()]
+    assert got == [True, False, True, True, False]

@@ -7,6 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +44,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._llm_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``saved`` wrote for these tables, once nothing that is still to run reads them."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._llm_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(col: str) -> Column:
@@ -76,3 +87,28 @@ def mapped(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` by a function of this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def likely_in(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
+    """The rows whose ``column`` is in the single column of ``ids``, and a few more.
+
+    A bitmap of fixed size (a megabyte) holds the ids' hashes, so rows that
+    aren't wanted need not be shuffled for the exact join that must follow.
+    The more ids, the more rows pass; none that is wanted is lost.
+    """
+    bit = F.xxhash64(F.col(ids.columns[0])).bitwiseAND(F.lit(bits - 1))
+    words = ids.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("mask"))
+    found = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    columns = rows.columns
+
+    def keep(batches):
+        for batch in batches:
+            at = np.asarray(batch.column(0)) & (bits - 1)
+            hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], columns).filter(pa.array(hit.astype(bool)))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return mapped(rows.select(F.xxhash64(column).alias("_hash"), *columns), keep, schema)

@@ -3,7 +3,7 @@
 Every document has a signature of ``COORDINATES`` minima. It is posted under
 its (coordinate, value) pairs; documents that agree in at least ``MATCHES``
 coordinates are compared on their full shingle sets. At the similarity 0.8 a
-pair agrees in fewer coordinates with a probability of 5e-7, and the more
+pair agrees in fewer coordinates with a probability of 1e-6, and the more
 similar, the less.
 
 Prefix: pairs that occur once are dropped, and of its m others a document is
@@ -11,13 +11,19 @@ posted only under the m - MATCHES + 1 rarest, one of which any document with
 MATCHES agreements must share; documents with fewer drop out. So frequent
 values, which a third of all documents may share, are seldom posted at all.
 
+Bound: a shingle that no other posted document has is in no intersection. With
+u of its n shingles being such, a document shares n - u at most, which refutes
+most pairs of strongly edited copies without a look at their texts.
+
 Skip: documents that are in one component need no comparison. Copies (equal
 sets) are one node from the start. Then in each round every posting list names
 one of its documents as its centre, another one each round; every document is
 compared with the centre that agrees best with it, and what is linked is
 merged and skipped from then on. These rounds are linear in the postings. Only
 pairs of documents that are still in different components after them are then
-compared one by one, so that no link is lost.
+compared one by one, so no link is lost; of those, the pairs whose sets have
+no shingle in common among the rarest that a link must have one of are refuted
+by their lists (the prefix filter again, on shingles).
 """
 
 from __future__ import annotations
@@ -25,14 +31,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import mapped, saved, spread, text_or_empty
+from trendspark.llm.common import discard, likely_in, mapped, saved, spread, text_or_empty
 from trendspark.llm.components import components
 from trendspark.llm.shingles import shingle_hashes, word_hashes
 
-COORDINATES, MATCHES = 64, 36
+COORDINATES, MATCHES = 48, 25
 _rng = np.random.default_rng(15485863)
 _A = (_rng.integers(0, 2**32, COORDINATES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _rng.integers(0, 2**32, COORDINATES, dtype=np.uint64).astype(np.uint32)
@@ -86,12 +92,64 @@ def postings(nodes: DataFrame) -> DataFrame:
     return few.select("node", F.explode("rarest.token").alias("token"))
 
 
-def agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(a, b, matches)`` of the pairs whose signatures agree in enough coordinates."""
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("_b"))
-    matches = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda same: same))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", matches.alias("matches")).where(F.col("matches") >= MATCHES)
+def lonely_shingles(bodies: DataFrame, width: int) -> DataFrame:
+    """``(node, lonely)``: how many of a node's shingles no other node has (nodes without such are absent).
+
+    Shingles that a task's batch has seen twice are sent once. They are cut to
+    40 bits: a clash makes a lonely shingle look shared, which only weakens the
+    bound.
+    """
+    def shingles(batches):
+        for batch in batches:
+            sets = [shingle_set(text, width) >> np.uint64(24) for text in batch.column(1).to_pylist()]
+            if sets:
+                owners = np.repeat(np.asarray(batch.column(0)), [len(x) for x in sets])
+                found, first, counts = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
+                owner = pa.array(owners[first], pa.int64(), mask=counts > 1)
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), owner], ["shingle", "node"])
+
+    found = mapped(bodies.select("node", "text"), shingles, "shingle long, node long")
+    alone = found.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1 and node is not null")
+    return alone.groupBy("node").agg(F.count("*").alias("lonely"))
+
+
+def possible(n_a, lonely_a, n_b, lonely_b, percent: int) -> Column:
+    """Whether sets of these sizes and lonely shingles can reach the similarity."""
+    most = F.least(n_a - lonely_a, n_b - lonely_b)
+    return 100 * most >= percent * (n_a + n_b - most)
+
+
+def rare_shingles(members: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
+    """``members`` with ``token, place, tokens``: each of a node's rarest shingles that others have, and its place.
+
+    Shingles are ordered by how many of these nodes have them. Two linked sets
+    have a common shingle among the first of both, as many as may be missing
+    from the other set, plus one.
+    """
+    def shingles(batches):
+        for batch in batches:
+            sets = [shingle_set(text, width) for text in batch.column(1).to_pylist()]
+            if sets:
+                owners = np.repeat(np.asarray(batch.column(0)), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], ["node", "token"])
+
+    found = mapped(bodies.join(members.select("node"), "node", "left_semi").select("node", "text"), shingles, "node long, token long")
+    counted = found.groupBy("token").agg(F.count("*").alias("many"))
+    ordered = found.join(counted, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("many", "token"))).alias("all"))
+    first = F.expr(f"slice(all, 1, size(all) - cast(ceil({percent} * size(all) / 100) as int) + 1)")
+    chosen = ordered.select("node", first.alias("first")).select("node", F.col("first.token").alias("tokens"), F.posexplode("first").alias("at", "it"))
+    chosen = chosen.where("it.many > 1").select("node", "tokens", (F.col("at") + 1).alias("place"), F.col("it.token").alias("token"))
+    return members.join(chosen, "node")
+
+
+def agreeing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, matches)`` of the possible pairs whose signatures agree in enough coordinates."""
+    def side(name):
+        return nodes.select(F.col("node").alias(name), F.struct("signature", "n", "lonely").alias(f"_{name}"))
+    matches = F.size(F.filter(F.zip_with("_a.signature", "_b.signature", lambda x, y: x == y), lambda same: same))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.where(possible(F.col("_a.n"), F.col("_a.lonely"), F.col("_b.n"), F.col("_b.lonely"), percent))
+    return both.select("a", "b", matches.alias("matches")).where(F.col("matches") >= MATCHES)
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
@@ -126,7 +184,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> D
     return mapped(rows.select("centre", "node", "text"), check, "a long, b long")
 
 
-def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rounds: int = 3, id_col: str = "doc_id",
+def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rounds: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row.
 
@@ -143,27 +201,40 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     sets = saved(sets, "shingle-sets")
     first = rows.where("signature is not null").join(
         sets, (rows["doc_id"] == sets["node"]) & (rows["set_a"] == sets["set_a"]) & (rows["set_b"] == sets["set_b"]))
-    nodes = first.groupBy("node").agg(F.min(F.struct(rows["set_a"], rows["set_b"], "tag", "signature")).alias("it")).select(
-        "node", "it.tag", "it.signature")
-    listed = saved(postings(nodes), "postings")
-    candidates = saved(nodes.join(listed.select("node").distinct(), "node", "left_semi"), "candidate-nodes")
+    nodes = first.groupBy("node").agg(F.min(F.struct(rows["set_a"], rows["set_b"], "tag", "n_shingles", "signature")).alias("it")).select(
+        "node", "it.tag", F.col("it.n_shingles").alias("n"), "it.signature")
+    posted = saved(postings(nodes), "postings")
+    posted_nodes = nodes.join(posted.select("node").distinct(), "node", "left_semi")
+    candidates = saved(posted_nodes, "posted-nodes")
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    texts = likely_in(texts.where(F.col("node").isNotNull()), candidates.select("node"), "node")
     bodies = texts.join(candidates.select("node", "tag"), ["node", "tag"], "left_semi").dropDuplicates(["node"]).select("node", "text")
-    bodies = saved(bodies, "candidate-texts")
+    bodies = saved(bodies, "posted-texts")
+
+    alone = lonely_shingles(bodies, width)
+    bounded = candidates.join(alone, "node", "left").select("node", "n", F.coalesce("lonely", F.lit(0)).alias("lonely"), "signature")
+    # a link needs a document to share most of its own shingles
+    every, candidates = candidates, saved(bounded.where(100 * (F.col("n") - F.col("lonely")) >= percent * F.col("n")), "candidate-nodes")
+    listed = saved(posted.join(candidates.select("node", "n", "lonely"), "node"), "candidate-postings")
+    discard(every, posted)
 
-    labels = candidates.select("node", F.col("node").alias("component"))
-    links = tested = None
+    labels = saved(candidates.select("node", F.col("node").alias("component")), "labels")
+    tested, used = None, [bodies, candidates, listed]
 
     def test(pairs: DataFrame):
-        nonlocal labels, links, tested
+        """Verifies pairs and merges the components that they link."""
+        nonlocal labels, tested
         done = saved(pairs.select("a", "b"), "tested")
+        used.append(done)
         tested = done if tested is None else tested.union(done)
-        good = saved(verified(done, bodies, percent, width), "verified")
-        links = good if links is None else links.union(good)
-        merged = components(links)
-        labels = saved(candidates.select("node").join(merged, "node", "left").select("node", F.coalesce("component", "node").alias("component")),
-                       "labels")
+        good = verified(done, bodies, percent, width)
+        end = labels.select(F.col("node").alias("b"), F.col("component").alias("_b"))
+        ends = good.join(labels.withColumnRenamed("node", "a"), "a").join(end, "b").select(F.col("component").alias("a"), F.col("_b").alias("b"))
+        merged = components(ends).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        before, labels = labels, saved(labels.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component")),
+                                       "labels")
+        discard(before)
 
     def live() -> DataFrame:
         """Postings with labels, of the lists that have more than one component."""
@@ -176,22 +247,29 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
 
     for turn in range(star_rounds):
         rest = saved(live(), "live-postings")
-        order = F.xxhash64("node", F.lit(turn))
-        centres = rest.groupBy("token").agg(F.min(F.struct(order, "node", "component")).alias("centre")).select(
+        # the centre: a document with few lonely shingles, as those have most links
+        order = F.struct(F.floor(16 * F.col("lonely") / F.col("n")).alias("s"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
+        centres = rest.groupBy("token").agg(F.min(order).alias("centre")).select(
             "token", F.col("centre.node").alias("b"), F.col("centre.component").alias("other"))
         pairs = rest.join(centres, "token").where("component != other").select(F.col("node").alias("a"), "b").distinct()
-        best = agreeing(untested(pairs), candidates).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
+        best = agreeing(untested(pairs), candidates, percent).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
         test(best.select("a", F.col("best.b").alias("b")))
-    # what is left: pairs of different components, each at the first token that its two lists share
-    rest = live()
-    lists = rest.groupBy("node", "component").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    rest = saved(lists.select("node", "component", "tokens", F.explode("tokens").alias("token")), "live-postings")
-    one = rest.select("token", F.col("node").alias("a"), F.col("component").alias("_a"), F.col("tokens").alias("ta"))
-    two = rest.select("token", F.col("node").alias("b"), F.col("component").alias("_b"), F.col("tokens").alias("tb"))
-    first_shared = F.element_at(F.array_intersect("ta", "tb"), 1)
-    pairs = one.join(two, (one["token"] == two["token"]) & (F.col("a") > F.col("b")) & (F.col("_a") != F.col("_b"))
-                     & (first_shared == one["token"])).select("a", "b")
-    test(agreeing(untested(pairs), candidates))
+        discard(rest)
+    # what is left: pairs of different components, each at the first of the rarest shingles that its two lists share
+    members = saved(live().select("node", "component", "n", "lonely").distinct(), "live-nodes")
+    rest = saved(rare_shingles(members, bodies, percent, width), "rare-shingles")
+    mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    lists = rest.join(mixed.select("token"), "token", "left_semi")
+    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "tokens", "place"))) for x in "ab")
+    # a link has at least this many shingles in common, so the first one is no later than these places
+    common = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    early = (F.col("place_a") <= F.col("n_a") - common + 1) & (F.col("place_b") <= F.col("n_b") - common + 1)
+    shared_first = F.element_at(F.array_intersect("tokens_a", "tokens_b"), 1)
+    pairs = one.join(two, (one["token"] == two["token"]) & (F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+                     & early & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent) & (shared_first == one["token"]))
+    test(agreeing(untested(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))), candidates, percent))
+    discard(members)
+    discard(rest, *used)
 
     return _labelled(rows, sets, labels)
 

@@ -121,7 +121,7 @@ class Writer:
             if room <= 0:
                 break
         dictionary = build_dictionary(samples, self.dictionary_size)
-        self.out = self.files.open_output_stream(self.path)
+        self.out = self.files.open_output_stream(self.path, compression=None)
         self.put(struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary)
         self.compressor = zstandard.ZstdCompressor(level=self.level, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
         for data in self.waiting:
@@ -172,7 +172,7 @@ def write_archives(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:
 def read_file(path: str) -> Iterator[tuple]:
     """The records of an archive, streamed: ``(page_id, url, size, digest, type, refers_to, payload)``."""
     files, name = fs.FileSystem.from_uri(path)
-    with files.open_input_stream(name) as raw:
+    with files.open_input_stream(name, compression=None) as raw:
         magic, length = struct.unpack("<II", raw.read(8))
         if magic != DICTIONARY_FRAME:
             raise ValueError(f"{path}: no dictionary frame")

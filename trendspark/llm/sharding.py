@@ -2,9 +2,12 @@
 
 Rows with equal texts form a group that must stay together. Differencing works
 at two levels, so that no task and not the driver sees all groups: each task
-differences the groups of its partition into bins, and the bins of all tasks,
-whose number is bounded by a parameter, are differenced into shards on the
-driver. Rows are then joined to their group's bin and to the bin's shard.
+keeps its largest groups as they are and differences the others into bins of
+evenly rising loads, and the bins of all tasks, whose number is bounded by a
+parameter, are differenced into shards on the driver. A task's groups are not
+cut into equal parts for the shards: a group that is large beside a task's
+share of a shard, but not beside the shard, could not be evened out any more.
+Rows are then joined to their group's bin and to the bin's shard.
 """
 
 from __future__ import annotations
@@ -20,23 +23,26 @@ from pyspark.sql import functions as F
 from trendspark.llm.common import mapped, saved, spread, text_or_empty
 
 
-def difference(loads: list[int], ways: int) -> np.ndarray:
+def difference(loads: list[int], ways: int, start: np.ndarray | None = None) -> np.ndarray:
     """The part (0 to ``ways - 1``) of each item, by k-way largest differencing.
 
     Every item starts as a partial partition that has it in one part and
-    nothing in the others. The two partial partitions with the largest spread
-    are combined again and again, the fullest part of one with the emptiest of
-    the other. Ties go by the item's place, so the result is determined.
+    nothing in the others; ``start`` is one more, what the parts hold before.
+    The two partial partitions with the largest spread are combined again and
+    again, the fullest part of one with the emptiest of the other. Ties go by
+    the item's place, so the result is determined.
     """
     n = len(loads)
     out = np.zeros(n, np.int64)
     if n == 0 or ways == 1:
         return out
-    # a partial partition: its node, and its parts' loads in ascending order (None: a single item)
-    heap = [(-int(x), i) for i, x in enumerate(loads)]
+    held = np.zeros(ways, np.int64) if start is None else np.asarray(start, np.int64)
+    names = np.argsort(held, kind="stable")
+    # partial partitions by node: items, then what is held, then the joins; parts' loads in ascending order
+    sums: dict[int, np.ndarray] = {n: held[names]}
+    heap = [(-int(x), i) for i, x in enumerate(loads)] + [(-int(held.max() - held.min()), n)]
     heapq.heapify(heap)
-    sums: dict[int, np.ndarray] = {}
-    joins: list[tuple[int, int, np.ndarray]] = []  # of node n + j: its two nodes, and how the parts were reordered
+    joins: list[tuple[int, int, np.ndarray]] = []  # of node n + 1 + j: its two nodes, and how the parts were reordered
 
     def parts(node: int) -> np.ndarray:
         if node < n:
@@ -51,23 +57,48 @@ def difference(loads: list[int], ways: int) -> np.ndarray:
         both = parts(a) + parts(b)[::-1]
         order = np.argsort(both, kind="stable")
         both = both[order]
-        node = n + len(joins)
+        node = n + 1 + len(joins)
         joins.append((a, b, order.astype(np.int32)))
         sums[node] = both
         heapq.heappush(heap, (-int(both[-1] - both[0]), node))
     # downwards: which final part each node's parts belong to
-    final = {n + len(joins) - 1: np.arange(ways)} if joins else {0: np.arange(ways)}
+    final = {n + len(joins): np.arange(ways)}
     for j in range(len(joins) - 1, -1, -1):
         a, b, order = joins[j]
         where = np.empty(ways, np.int64)
-        where[order] = final.pop(n + j)
+        where[order] = final.pop(n + 1 + j)
         for node, parts_of in ((a, where), (b, where[::-1])):
             if node < n:
                 out[node] = parts_of[-1]
             else:
                 final[node] = parts_of
-    if not joins:
-        out[0] = 0
+    name = np.empty(ways, np.int64)
+    name[final[n]] = names
+    return name[out]
+
+
+def binned_groups(loads: np.ndarray, singles: int, ways: int) -> np.ndarray:
+    """The bin of each group of a task, of loads in descending order.
+
+    The ``singles`` largest have a bin each. The others are differenced into
+    ``ways`` bins whose loads rise evenly from almost nothing: shards that are
+    made of bins of many sizes can be evened out, which equal bins cannot. No
+    more groups than bins: each has its own. Differenced in runs, each from
+    what the bins hold after the one before, so memory is bounded.
+    """
+    n = len(loads)
+    if n <= singles + ways:
+        return np.arange(n)
+    out = np.arange(n)
+    rest = loads[singles:]
+    rising = np.arange(1, ways + 1) * (2 * float(rest.sum()) / (ways * (ways + 1)))
+    held = np.round(rising[-1] - rising).astype(np.int64)
+    step = max(ways, (1 << 22) // ways)
+    for i in range(0, len(rest), step):
+        run = rest[i:i + step]
+        part = difference(run.tolist(), ways, held)
+        np.add.at(held, part, run)
+        out[singles + i:singles + i + len(run)] = singles + part
     return out
 
 
@@ -77,8 +108,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
 
     A row's size is its UTF-8 bytes (null text: none) plus ``overhead``. Null
     and empty texts are one group. A group larger than a shard's fair share
-    gets a shard to itself. ``most_bins`` bounds what reaches the driver: one
-    number for each bin. Returns ``doc_id, size, text_crc32, law, shard, slot,
+    gets a shard to itself. ``most_bins`` bounds what reaches the driver, one
+    number for each bin, but each task has ``shards + 1`` bins at least. Returns ``doc_id, size, text_crc32, law, shard, slot,
     grown_shard`` for every row (also those with a null or repeated id); slots
     count from 0 in each shard without gaps. An empty table gives no rows.
     """
@@ -88,7 +119,10 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
         F.crc32("text").alias("text_crc32"), F.unhex(F.md5("text")).alias("same"))
     rows = saved(rows, "shard-rows")
     groups = rows.groupBy("same", "size").agg(F.count("*").alias("n"))
-    bins = max(1, most_bins // spread(docs))
+    # a fixed number of tasks: were they coalesced, there would be too few bins (by other columns than the groups, or Spark leaves it out)
+    tasks = spread(docs)
+    singles = max(1, most_bins // (2 * tasks))
+    ways = max(shards, min(1024, singles))
 
     def local(batches):
         batches = [b for b in batches if b.num_rows]
@@ -96,14 +130,15 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
             return
         whole = pa.Table.from_batches(batches).sort_by([("n", "descending"), ("same", "ascending"), ("size", "ascending")])
         loads = np.asarray(whole.column("size")) * np.asarray(whole.column("n"))
-        ways = max(1, min(bins, (1 << 25) // len(loads)))  # bounds a task's memory too
-        part = difference(loads.tolist(), ways) if len(loads) > ways else np.arange(len(loads))
+        order = np.argsort(-loads, kind="stable")
+        part = np.empty(len(loads), np.int64)
+        part[order] = binned_groups(loads[order], singles, ways)
         task = TaskContext.get().partitionId()
         out = pa.table({"same": whole.column("same"), "size": whole.column("size"), "load": pa.array(loads, pa.int64()),
                         "task": pa.array(np.full(len(part), task), pa.int32()), "bin": pa.array(part, pa.int32())})
         yield from out.to_batches()
 
-    binned = saved(mapped(groups, local, "same binary, size long, load long, task int, bin int"), "shard-bins")
+    binned = saved(mapped(groups.repartition(tasks, "same"), local, "same binary, size long, load long, task int, bin int"), "shard-bins")
     loads = binned.groupBy("task", "bin").agg(F.sum("load").alias("load")).toPandas().sort_values(["task", "bin"])
     loads["shard"] = difference(loads["load"].tolist(), shards)
     spark = docs.sparkSession

@@ -27,6 +27,35 @@ def test_equals_brute_force_on_overlapping_copies(spark):
     assert digests(frame(spark, rows)) == sorted(removed(rows), key=repr)
 
 
+@pytest.mark.parametrize("partitions", [2, 8])
+def test_parts_of_texts_that_have_many_copies(spark, partitions):
+    rows = []
+    for i in range(30):
+        base = words(260, 300 + i)
+        rows += [(100 * i + k, base) for k in range(20)]
+        for k in range(3):
+            a = random.Random(10 * i + k).randrange(40, 300)
+            rows.append((100 * i + 50 + k, words(12, 5000 + 10 * i + k) + base[a:a + 470 + 25 * k] + words(12, 9000 + 10 * i + k)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert digests(frame(spark, rows)) == sorted(removed(rows), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_row_dealt_by_its_keys_is_the_first_of_its_equals(spark):
+    """In whatever order rows arrive, as after a sort that spills."""
+    rows = [(k, i, i % 7, i % 3, 2 - (k == 15)) for i in range(60) for k in range(16)]
+    dealt = S._dealt(spark.createDataFrame(rows, "key long, low int, first long, second long, seen byte").coalesce(1), ["first", "second"])
+    for part in dealt.rdd.glom().collect():
+        first_of = {}
+        for r in part:
+            first_of.setdefault((r["first"], r["second"]), r["seen"])
+        home = {(r["first"], r["second"]) for r in part if r["seen"] < 2}
+        assert all(first_of[k] < 2 for k in home)
+
+
 def test_strings_at_the_threshold(spark):
     s = words(200, 12)[:400]
     assert len(s.encode()) >= 400

@@ -130,9 +130,12 @@ def _signed(values: list[int]) -> np.ndarray:
 
 
 def _dealt(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows sorted by ``keys`` in tasks that have all unseen rows of a key; rows known to be repeated go anywhere."""
+    """Rows sorted by ``keys`` in tasks that have all unseen rows of a key; rows known to be repeated go anywhere.
+
+    Of equal keys a row that was dealt by them comes first, also where others have strayed into its task.
+    """
     to = F.when(F.col("seen") == 2, F.xxhash64("key", "low")).otherwise(F.col(keys[0]))
-    return rows.repartition(spread(rows), to).sortWithinPartitions(*keys)
+    return rows.repartition(spread(rows), to).sortWithinPartitions(*keys, "seen")
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from trendspark.llm import packing as P
+from trendspark.llm import bpe, packing as P
 
 from .helpers import frame, odd_rows
 
@@ -37,6 +37,27 @@ def test_pieces_equal_the_tokenizer_and_sequences_are_gapless(spark):
         assert end <= 1024
 
 
+def test_added_tokens_are_one_id_as_in_the_library(spark):
+    """The library as it is by default."""
+    mark = "<|endoftext|>"
+    texts = [mark, f"one {mark} two", f"{mark}{mark}it's{mark}", f" {mark}\n", "<|endoftext|", f"<|endof{mark}text|>", "é" * 400 + mark + "中 a" * 900, "", None]
+    library = Tokenizer.from_file(PATH)
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for fast in (False, True):
+        own = bpe.encoder(PATH, fast)
+        got = list(own.encode([t or "" for t in texts], at_once=50))
+        assert [x.tolist() for x in got] == expected
+        assert [own.decode(x).decode() for x in got] == [t or "" for t in texts]
+        assert all(own.offsets(x)[-1] == len((t or "").encode()) for x, t in zip(got, texts))
+    out = P.pack_documents(frame(spark, list(enumerate(texts))), PATH).collect()
+    lengths, crcs = defaultdict(int), {}
+    for r in out:
+        lengths[r.doc_id] += r.length
+        crcs[r.doc_id, r.piece] = r.ids_crc32
+    assert [lengths[i] for i in range(len(texts))] == [len(x) + 1 for x in expected]
+    assert crcs[1, 0] == zlib.crc32(np.array([*expected[1], 2], "<u4").tobytes())
+
+
 def test_empty_table(spark):
     assert P.pack_documents(frame(spark, []), PATH).count() == 0
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -173,14 +174,19 @@ class Encoder(dict):
     ``ranks`` maps the bytes of each token to its id, which is also its merge
     priority. The cache is emptied when it holds ``most`` pre-tokens, which
     bounds memory and leaves results as they are. ``merge`` may replace the
-    pair merging by another function from a pre-token to its ids.
+    pair merging by another function from a pre-token to its ids. ``added``
+    maps strings that are one token wherever a text holds them to their ids:
+    the leftmost first, the longest of those that begin there. They are cut out
+    before pre-tokenisation.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 1_000_000, merge=None):
+    def __init__(self, ranks: dict[bytes, int], most: int = 1_000_000, merge=None, added: dict[str, int] | None = None):
         super().__init__()
         self.ranks, self.most, self.merge = ranks, most, merge or self.merged
-        self.values = [b""] * (max(ranks.values()) + 1)
-        for token, i in ranks.items():
+        self.added = added or {}
+        self.apart = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        self.values = [b""] * (max([*ranks.values(), *self.added.values()]) + 1)
+        for token, i in [*ranks.items(), *((t.encode(), i) for t, i in self.added.items())]:
             self.values[i] = token
         self.of_byte = [ranks[bytes([b])] for b in range(256)]
         self.pairs = Pairs(ranks, self.values)
@@ -243,6 +249,18 @@ class Encoder(dict):
 
     def encode(self, texts: list[str], at_once: int = 1 << 20) -> Iterator[np.ndarray]:
         """The ids of each text, in order; texts go through the scan in groups of about ``at_once`` characters."""
+        if self.apart is None:
+            yield from self._encode_plain(texts, at_once)
+            return
+        parted = [self.apart.split(text) for text in texts]  # the text between added tokens, and each of these
+        plain = self._encode_plain([x for parts in parted for x in parts[::2]], at_once)
+        for parts in parted:
+            ids = [next(plain)]
+            for token in parts[1::2]:
+                ids += [np.array([self.added[token]], "<u4"), next(plain)]
+            yield ids[0] if len(ids) == 1 else np.concatenate(ids)
+
+    def _encode_plain(self, texts: list[str], at_once: int) -> Iterator[np.ndarray]:
         group: list[str] = []
         size = 0
         for text in texts:
@@ -304,15 +322,18 @@ def encoder(path: str, fast: bool = False) -> Encoder:
     """One encoder per process and vocabulary. ``fast``: misses of the cache are merged by the tokenizer library's core."""
     key = (path, fast)
     if key not in _encoders:
-        ranks = read_ranks(path)
+        ranks, added = read_ranks(path), {}
         if path.endswith(".json"):
             with open(path, encoding="utf-8") as f:
-                special = {t["id"] for t in json.load(f).get("added_tokens", [])}
-            ranks = {t: i for t, i in ranks.items() if i not in special}
+                listed = [t for t in json.load(f).get("added_tokens", []) if t["content"]]
+            if any(t.get(k) for t in listed for k in ("single_word", "lstrip", "rstrip")):
+                raise ValueError("added tokens that depend on their surroundings are not supported")
+            added = {t["content"]: t["id"] for t in listed}
+            ranks = {t: i for t, i in ranks.items() if i not in added.values()}
         merge = None
         if fast:
             import tiktoken
             core = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})._core_bpe
             merge = core.encode_single_piece
-        _encoders[key] = Encoder(ranks, merge=merge)
+        _encoders[key] = Encoder(ranks, merge=merge, added=added)
     return _encoders[key]

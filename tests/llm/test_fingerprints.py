@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 
@@ -56,3 +57,20 @@ def test_near_pairs_are_verified(spark):
     found = {(r.doc_id, r.other_id): r.jaccard for r in P.near_pairs(frame(spark, rows)).collect()}
     assert set(found) >= {(2, 1), (4, 1)} and all(v >= 0.8 for v in found.values()) and not any(3 in k for k in found)
     assert P.near_pairs(frame(spark, [])).count() == 0
+
+
+def test_near_pairs_equal_all_pairs_in_a_family_around_the_threshold(spark):
+    rng = random.Random(3)
+    base = words(200, 41, vocabulary=5000).split()
+    texts = []
+    for i in range(40):
+        changed = list(base)
+        for k in rng.sample(range(200), rng.randint(1, 4) if i else 6):  # the smallest id is near few of the others
+            changed[k] = f"new{i}x{k}"
+        texts.append(" ".join(changed))
+    sets = [shingle_set(t, 5) for t in texts]
+    expected = {(b, a) for a in range(40) for b in range(a + 1, 40) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    assert 50 < len(expected) < 700
+    rows = list(enumerate(texts)) + [(100, texts[7]), (101, texts[7]), (102, " "), (103, "")]
+    found = [(r.doc_id, r.other_id) for r in P.near_pairs(frame(spark, rows)).collect()]
+    assert sorted(found) == sorted(expected | {(100, 7), (101, 7)})

@@ -54,34 +54,43 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def near_pairs(docs: DataFrame, threshold: float = 0.8, rows_per_band: int = 4, id_col: str = "doc_id", text_col: str = "text",
                width: int = 5) -> DataFrame:
-    """``(doc_id, other_id, jaccard)``: documents with a verified near copy of smaller id, one row for each such pair found.
-
-    The signature's bands are joined in Spark: within each group of equal
-    bands every document is paired with the group's smallest id only, so pairs
-    grow with the documents and not with the square of a group. The Jaccard
-    similarity of the full shingle sets then verifies each pair. Rows with a
-    null id take no part.
+    """``(doc_id, other_id, jaccard)``: verified near copies, ``other_id`` the smaller.
+
+    One row for each pair of different texts that agree in a band and whose
+    full shingle sets have the Jaccard similarity, under each text's smallest
+    id, and one row that links each further copy of a text to that id. All
+    texts of a group of equal bands are compared, so pairs grow with the square
+    of the different texts in a group; copies add none. Rows with a null id and
+    texts without words take no part.
     """
     digits = 4 * rows_per_band
-    marks = saved(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, width), "fingerprints")
-    bands = marks.select("doc_id", F.posexplode(F.expr(
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = rows.withColumn("same", F.unhex(F.md5("text")))
+    texts = rows.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.any_value("text").alias("text"))
+    texts = saved(texts.withColumn("node", F.monotonically_increasing_id()), "different-texts")
+    marks = saved(fingerprints(texts, "node", "text", width).where(F.col("fingerprint") != "f" * (4 * PERMUTATIONS)), "fingerprints")
+    bands = marks.select(F.col("doc_id").alias("node"), F.posexplode(F.expr(
         f"transform(sequence(0, {PERMUTATIONS // rows_per_band - 1}), i -> substr(fingerprint, i * {digits} + 1, {digits}))")).alias("band", "value"))
-    first = bands.groupBy("band", "value").agg(F.min("doc_id").alias("other_id"), F.count("*").alias("n")).where("n > 1")
-    pairs = saved(bands.join(first, ["band", "value"]).where("doc_id != other_id").select("doc_id", "other_id").distinct(), "band-pairs")
+    pairs = bands.join(bands.withColumnRenamed("node", "other"), ["band", "value"]).where("node < other").select("node", "other").distinct()
+    pairs = saved(pairs, "band-pairs")
 
     def sets(batches):
         for batch in batches:
             found = [np.unique(shingle_hashes(word_hashes(x.encode()), width)).view(np.int64) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    wanted = pairs.select("doc_id").union(pairs.select(F.col("other_id").alias("doc_id"))).distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).join(wanted, "doc_id", "left_semi")
-    full = mapped(rows, sets, "doc_id long, shingles array<long>")
-    both = pairs.join(full, "doc_id").join(full.select(F.col("doc_id").alias("other_id"), F.col("shingles").alias("others")), "other_id")
+    wanted = pairs.select("node").union(pairs.select("other")).distinct()
+    full = mapped(texts.join(wanted, "node", "left_semi").select("node", "text"), sets, "node long, shingles array<long>")
+    full = full.join(texts.select("node", "doc_id"), "node")
+    both = pairs.join(full, "node").join(full.select(F.col("node").alias("other"), F.col("doc_id").alias("other_id"), F.col("shingles").alias("others")),
+                                         "other")
     common = F.size(F.array_intersect("shingles", "others"))
     union = F.size("shingles") + F.size("others") - common
-    return both.select("doc_id", "other_id", F.when(union == 0, F.lit(0.0)).otherwise(common / union).alias("jaccard")).where(
-        F.col("jaccard") >= threshold)
+    near = both.where("doc_id != other_id").select(F.greatest("doc_id", "other_id").alias("doc_id"), F.least("doc_id", "other_id").alias("other_id"),
+                                                   (common / union).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    worded = texts.join(marks.select(F.col("doc_id").alias("node")), "node", "left_semi").select("same", F.col("doc_id").alias("other_id"))
+    copies = rows.select("doc_id", "same").join(worded, "same").where("doc_id != other_id").select("doc_id", "other_id", F.lit(1.0).alias("jaccard"))
+    return near.union(copies.distinct())
 
 
 def _edited(text: str, following: str) -> str:

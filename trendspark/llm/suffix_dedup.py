@@ -1,4 +1,4 @@
-"""Removal of repeated passages by distributed prefix doubling over sampled positions.
+"""Removal of repeated passages by grouping sampled windows by hash, in three passes.
 
 A passage is removed where a string of ``length`` bytes starts at more than
 one place of the corpus. Ranking every byte position would move many times the
@@ -7,19 +7,20 @@ for all starts i whose first ``WINDOW`` k-mers have their smallest hash at p
 (the leftmost of equals). That choice depends on the string alone, so equal
 strings choose the same place in them.
 
-Each round sorts positions by pairs (rank of a prefix, rank at a growing
-offset), in Spark; neighbours in that order that are equal share a rank, and
-positions that are unique drop out:
+This is not prefix doubling: no rank is made from an earlier round's ranks and
+nothing repeats until all are unique, as the question is only which strings of
+a fixed length repeat. Each round sorts positions by hashes of text slices, in
+Spark; neighbours in that order that are equal are repeats:
 
-1. the prefix that all strings of a sampled position have in common: pairs at
-   half its length. Unique ones have no repeated string.
+1. the prefix that all strings of a sampled position have in common, hashed in
+   halves. Unique ones have no repeated string and drop out.
 2. past the threshold: the whole run from a position's first string to the end
    of its last. Runs that aren't unique are repeated as a whole.
-3. the rest, at the edges of repeats: each string by itself, as a pair at half
-   the threshold, together with the strings of one of each group of equal runs
+3. the rest, at the edges of repeats: each string by itself, hashed in halves,
+   together with the strings of one of each group of equal runs
    that have the same common prefix.
 
-Ranks are 64-bit fingerprints (of the pair in round 1, where a clash only
+Hashes are 64-bit fingerprints (of both halves in round 1, where a clash only
 costs a later look; of each half in rounds 2 and 3).
 
 Before each sort, a task keeps back rows whose like it has seen in the same

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from trendspark.llm import near_dedup, packing, quality, secret_scan, suffix_dedup
 from trendspark.llm.common import saved, table
 
-#: Bytes of a repeated passage: about 40 words, so that any passage of 50 is found whole.
+#: Bytes of a repeated passage: about 40 words of mean length. A passage of 50 words is found unless its words are so short that it has fewer bytes.
 PASSAGE_BYTES = 200
 
 

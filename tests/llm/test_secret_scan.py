@@ -37,6 +37,18 @@ def test_secrets_are_found_and_false_positives_removed(spark, findings):
     assert sorted((r.finding, r.start) for r in out if r.doc_id == 43)[0][0] == 0
 
 
+def test_an_assigned_value_is_found_without_its_name(spark, findings):
+    long = hashlib.sha256(b"a").hexdigest()
+    values = [("SECRET_KEY=", long), ("export GH_TOKEN=", "ghp_" + "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0eF3hJ6"), ("export ACCOUNT_SERVICE_SECRET_KEY=", sha(7)),
+              ("client_secret=", "q3VtZ8xK1nB6yR4wT9pL2sDfG7hJ0cAe==")]
+    rows = [(i, f"{words(12, 70 + i)}\n{name}{value}\n{words(9, 80 + i)}") for i, (name, value) in enumerate(values)]
+    out = S.find_secrets(frame(spark, rows), findings).collect()
+    expected = [(i, rows[i][1].index(value), len(value), hashlib.sha256(value.encode()).hexdigest()) for i, (_, value) in enumerate(values)]
+    assert sorted((r.doc_id, r.start, r.length, r.secret_sha256) for r in out) == expected
+    clean = S.redact_secrets(frame(spark, rows), findings).collect()
+    assert {r.doc_id: r.text for r in clean} == {i: rows[i][1].replace(value, "<secret>") for i, (_, value) in enumerate(values)}
+
+
 def test_redaction_keeps_everything_else(spark, findings):
     rows = texts() + [(None, None), (51, ""), (51, "")]
     df = frame(spark, rows, clash=True)

@@ -18,7 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+#: ``=`` belongs to a candidate only as padding at its end; elsewhere it parts a name from its value.
+CANDIDATE = "[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 #: Characters before and after a candidate that count as its neighbourhood.
 NEAR = 48
 #: Words that code and placeholder texts are made of.
@@ -141,7 +142,9 @@ def _examined(docs: DataFrame, forest: list[str], text_col: str) -> DataFrame:
     """``docs`` with ``_between`` (the text around the candidates) and ``_found``: each candidate with its share of the votes."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     parted = docs.withColumns({"_found": F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), "_between": F.split(text, CANDIDATE, -1)})
-    around = f"named_struct('c', x, 'before', right(_between[i], {NEAR}), 'after', left(_between[i + 1], {NEAR}))"
+    # the text before goes back over earlier candidates, as a long name before its value is one
+    earlier = "array_join(transform(sequence(greatest(i - 3, 0), i), j -> concat(_between[j], if(j < i, _found[j], ''))), '')"
+    around = f"named_struct('c', x, 'before', right({earlier}, {NEAR}), 'after', left(_between[i + 1], {NEAR}))"
     described = f"transform(transform(_found, (x, i) -> {around}), x -> named_struct('c', x.c, 'f', {feature_sql('x.c', 'x.before', 'x.after')}))"
     votes = " + ".join(t.replace("f.", "x.f.") for t in forest)
     return parted.withColumn("_found", F.expr(f"transform({described}, x -> named_struct('c', x.c, 'score', cast({votes} as double) / {len(forest)}))"))

@@ -1061,19 +1061,22 @@ def q_incremental_load(spark, sf_dir):
 def _chart_pages(spark, sf_dir, faults: bool = False) -> DataFrame:
     """Chart pages rendered from the lineitem chart rows: one page per order
     (an order has a handful of lines), eight cells per row; with ``faults``
-    the second lines lack a cell and the third ones the link (P10)."""
+    the second lines lack a cell and the third ones the link (P10), and a cell
+    of the others holds a table whose row would pass for one of the chart."""
     chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem"), with_order=True)
 
     def td(c):
         return F.concat(F.lit("<td>"), c, F.lit("</td>"))
     link = F.concat(F.lit('<a href="'), F.col("sound_href"), F.lit('">'), F.col("sound_name"), F.lit("</a>"))
     last = td(F.lit(""))
+    nested = F.lit("")
     if faults:
+        nested = F.concat(F.lit("<table><tbody><tr>"), *[td(link)] * 8, F.lit("</tr></tbody></table>"))
         link = F.when(F.col("rank_text") == "#3", F.col("sound_name")).otherwise(link)
         last = F.when(F.col("rank_text") == "#2", F.lit("")).otherwise(last)
     tr = F.concat(F.lit("<tr>"), td(F.col("rank_text")), td(link), td(F.col("ugc_text")),
                   td(F.col("growth_text")), td(F.col("author_country")),
-                  td(F.lit("")), td(F.lit("")), last, F.lit("</tr>"))
+                  td(F.lit("")), td(nested), last, F.lit("</tr>"))
     pages = (chart.groupBy(F.col("l_orderkey").alias("page_id"))
                   .agg(F.array_join(F.collect_list(tr), "").alias("trs"),
                        F.max("fetch_timestamp").alias("fetch_timestamp")))
@@ -1485,7 +1488,7 @@ SELECT l_orderkey AS page_id, count(*) AS n_rows, min(l_linenumber) AS least FRO
 def q_chart_table_rows(spark, sf_dir):
     """Rendered chart pages in which some rows lack a cell and some the link."""
     rows = landing.html_table_rows(_chart_pages(spark, sf_dir, faults=True))
-    number = F.regexp_extract(landing.cell_text(F.col("cells")[0]), r"([0-9])", 1).cast("int")
+    number = F.regexp_extract(F.col("cells")[0]["text"], r"([0-9])", 1).cast("int")
     return rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_rows"), F.min(number).alias("least"))
 
 
@@ -1526,7 +1529,8 @@ def q_ranked_order(spark, sf_dir):
 
 
 def _link_pages(spark, sf_dir) -> DataFrame:
-    """Pages rendered from part with anchors in all forms: three quotings, comments, entities, other attributes, none."""
+    """Pages rendered from part with anchors in all forms: three quotings, comments, entities, other attributes (one of
+    5,000 characters), in scripts, unclosed, none."""
     key = F.col("p_partkey").cast("string")
     form = F.col("p_partkey") % 5
 
@@ -1534,8 +1538,8 @@ def _link_pages(spark, sf_dir) -> DataFrame:
         return F.concat(F.lit(before), key, F.lit(after))
     html = (F.when(form == 0, around('<!-- <a href="https://www.tiktok.com/music/old">x</a> --><A class=b HREF="/music/', '">Tom &amp; J&#233;r&ocirc;me</A>'))
             .when(form == 1, around("<p><a title='a > b' href='/m?a=1&amp;id=", "'> <b>View on TikTok</b> </a>"))
-            .when(form == 2, around("<a id=x href=https://www.tiktok.com/music/s-", ">it&#8217;s &#x41;&unknown;</a>"))
-            .when(form == 3, around('<a name="', '">no link</a><a href="">View on TikTok</a>'))
+            .when(form == 2, around("<script>if (i<a; j) w('<a href=/no>no</a>')</script><a " + "x" * 5000 + " href=https://www.tiktok.com/music/s-", ">it&#8217;s &#x41;&unknown;</a>"))
+            .when(form == 3, around('<a name="', '">no link<a href="">View on TikTok'))
             .otherwise(around("<p>nothing ", "</p>")))
     return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), around("https://pages.example.org/d/", ".html").alias("url"),
                                             html.alias("html"))

@@ -8,13 +8,12 @@ over the cluster instead of one client process.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType,
                                StructField, StructType)
 
+from ..functions.html import anchors, table_rows
 from ..functions.text import (absolute_url, count_or_zero, fill_size_template,
                               first_token, last_token, not_found, strip_ws, url_from_id)
 from ..functions.times import epoch_to_iso_utc, poll_stamp
@@ -123,91 +122,17 @@ def twitch_records(replies: DataFrame, games: DataFrame) -> tuple[DataFrame, Dat
 
 # ---- C13: chart pages --------------------------------------------------
 
-# Entities of HTML: the five of markup, and the named characters that the
-# standard library lists.
-MARKUP = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
-NAMED = {**{name: chr(code) for name, code in name2codepoint.items()}, **MARKUP}
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,8});"
-
-
-def _decoded(entity) -> F.Column:
-    """The character of one entity text; an unknown one stays as it is."""
-    body = F.regexp_replace(entity, "^&#?[xX]?|;$", "")
-    code = (F.when(entity.rlike("^&#[xX]"), F.conv(body, 16, 10)).when(entity.startswith("&#"), body)).try_cast("int")
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
-    return F.coalesce(F.when(valid, char), F.when(code.isNull(), F.try_element_at(names, F.substring(entity, 2, 9).substr(F.lit(1), F.length(entity) - 2))),
-                      entity)
-
-
-def unescape(c) -> F.Column:
-    """Entities decoded once, from left to right, named and numeric ones."""
-    found = F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0))
-    between = F.split(c, _ENTITY, -1)
-    chars = F.concat(F.transform(found, _decoded), F.array(F.lit("")))
-    out = F.array_join(F.zip_with(between, chars, lambda text, char: F.concat(text, char)), "")
-    # most text holds no entity
-    return F.when(c.contains("&"), out).otherwise(c)
-
-
-def without_comments(html) -> F.Column:
-    """HTML without its comments: what a page hides there is no content."""
-    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-
-
-# An attribute value in double quotes, in single quotes, or bare.
-_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-_HREF = r"""(?is)^<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*""" + _VALUE
-_ANCHORS = r"""(?is)<a\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?</a>"""
-
-
-def anchor_href(anchor) -> F.Column:
-    """The decoded ``href`` of an anchor's text, quoted in any way; empty if it has none."""
-    return strip_ws(unescape(F.concat(*[F.regexp_extract(anchor, _HREF, i) for i in (1, 2, 3)])))
-
-
-def anchor_inner(anchor) -> F.Column:
-    return F.regexp_extract(anchor, r"""(?is)^<a\b(?:[^>"']|"[^"]*"|'[^']*')*>(.*)</a>$""", 1)
-
-
-def cell_text(c) -> F.Column:
-    """``.text.strip()``: tags removed, entities decoded, edges stripped."""
-    return strip_ws(unescape(F.regexp_replace(c, r"<[^>]*>", "")))
-
-
-def cell_text_pieces(c) -> F.Column:
-    """``get_text(strip=True)``: every text piece stripped, then joined.
-
-    Removing each tag together with the whitespace around it strips every
-    piece at its edges in one regex (no per-piece lambda, so the projection
-    stays in whole-stage codegen).
-    """
-    return strip_ws(unescape(F.regexp_replace(c, r"(?U)\s*<[^>]*>\s*", "")))
-
-
 def html_table_rows(pages: DataFrame, min_cells: int = CHART_MIN_CELLS) -> DataFrame:
-    """Rows of the first ``<table>``'s ``<tbody>`` with at least
-    ``min_cells`` cells and a link in the second cell.
+    """Rows of the first table's body with at least ``min_cells``
+    cells and a link in the second cell.
 
-    Output: the page columns but ``html``, ``row_pos``, ``cells`` (raw cell
-    HTML) and ``sound_href``.
-    Regular expressions stand in for a DOM parser: nested tables inside a
-    cell are not supported.
+    Output: the page columns but ``html``, ``row_pos``, ``cells`` (their
+    ``text`` and stripped ``pieces``) and ``sound_href``. Rows of a table
+    inside a cell are that cell's text, not rows.
     """
-    table = F.regexp_extract(without_comments(F.col("html")), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
-    body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
-    trs = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
     other = [c for c in pages.columns if c != "html"]
-    rows = pages.select(*other, F.posexplode(trs).alias("row_pos", "tr"))
-    cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
-    # inline(array(...)): the row filters below read its output instead of
-    # running the cell regexes once more
-    rows = rows.select(*other, "row_pos", F.inline(F.array(F.struct(cells.alias("cells")))))
-    anchor = F.regexp_extract(F.try_element_at("cells", F.lit(2)), _ANCHORS, 0)
-    rows = rows.where(F.size("cells") >= min_cells).select(
-        *other, "row_pos", "cells", F.inline(F.array(F.struct(anchor_href(anchor).alias("sound_href")))))
-    return rows.where(F.col("sound_href") != "").select(*other, "row_pos", "cells", "sound_href")
+    rows = pages.select(*other, F.inline(table_rows("html")).alias("row_pos", "cells", "sound_href"))
+    return rows.where((F.size("cells") >= min_cells) & (F.col("sound_href") != ""))
 
 
 def chart_cells(rows: DataFrame, keep=()) -> DataFrame:
@@ -215,11 +140,11 @@ def chart_cells(rows: DataFrame, keep=()) -> DataFrame:
     ``keep`` names page columns carried along (e.g. the fetch time)."""
     c = F.col("cells")
     return rows.select(*keep,
-        cell_text(c[0]).alias("rank_text"),
-        cell_text_pieces(c[1]).alias("sound_name"),
-        cell_text(c[2]).alias("ugc_text"),
-        cell_text(c[3]).alias("growth_text"),
-        cell_text(c[4]).alias("author_country"),
+        c[0]["text"].alias("rank_text"),
+        c[1]["pieces"].alias("sound_name"),
+        c[2]["text"].alias("ugc_text"),
+        c[3]["text"].alias("growth_text"),
+        c[4]["text"].alias("author_country"),
         "sound_href")
 
 
@@ -257,18 +182,15 @@ def first_link(html, href_pattern: str = MUSIC_HREF, text: str = VIEW_ON_TIKTOK)
     """Href of the first anchor whose href matches ``href_pattern``, else
     of the first anchor whose whole text is ``text``, else null. Neither
     minds the case of letters, as hosts in links don't."""
-    html = F.col(html) if isinstance(html, str) else html
-    anchors = F.regexp_extract_all(without_comments(html), F.lit(_ANCHORS), F.lit(0))
-    by_href = F.filter(anchors, lambda a: anchor_href(a).rlike("(?i)" + href_pattern))
-    by_text = F.filter(anchors, lambda a: F.lower(cell_text(anchor_inner(a))) == text.lower())
-    chosen = F.coalesce(F.try_element_at(by_href, F.lit(1)), F.try_element_at(by_text, F.lit(1)))
-    return F.nullif(anchor_href(chosen), F.lit(""))
+    found = anchors(html)
+    by_href = F.filter(found, lambda a: a["href"].rlike("(?i)" + href_pattern))
+    by_text = F.filter(found, lambda a: F.lower(a["text"]) == text.lower())
+    return F.nullif(F.coalesce(F.try_element_at(by_href, F.lit(1))["href"], F.try_element_at(by_text, F.lit(1))["href"]), F.lit(""))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """All anchors with an href of each page: position, href, text and absolute URL; one pass finds the anchors."""
-    anchors = F.regexp_extract_all(without_comments(F.col("html")), F.lit(_ANCHORS), F.lit(0))
-    has_href = F.filter(anchors, lambda a: a.rlike(_HREF))
-    ex = pages.select("page_id", "url", F.posexplode(has_href).alias("pos", "a"))
-    ex = ex.select("page_id", "url", "pos", anchor_href(F.col("a")).alias("href"), cell_text(anchor_inner(F.col("a"))).alias("text"))
-    return ex.select("page_id", "pos", "href", "text", absolute_url(F.col("href"), F.col("url")).alias("abs_url"))
+    """All anchors with an href of each page: position among them, href, text and absolute URL."""
+    with_href = F.filter(anchors("html"), lambda a: a["href"].isNotNull())
+    found = pages.select("page_id", "url", F.posexplode(with_href).alias("pos", "a"))
+    return found.select("page_id", "pos", F.col("a.href").alias("href"), F.col("a.text").alias("text"),
+                        absolute_url(F.col("a.href"), F.col("url")).alias("abs_url"))

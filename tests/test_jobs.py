@@ -2,6 +2,7 @@
 
 from trendspark import jobs
 from trendspark.functions.records import to_json_value
+from trendspark.sinks.tables import read_snapshot
 from trendspark.plans import hot
 from trendspark.session import read_table
 from trendspark.sinks.serving import ServingStore
@@ -54,7 +55,7 @@ def test_poll_scope_over_all_topics(spark, tmp_path):
     assert rank == {r.user_name: float(r.viewer_count) for r in hot.twitch_top_streams(last).collect()}
     assert store.read("youtube_category_views").count() > 0 and store.read("tiktok_trends_eg").count() > 0
     assert rows(store.read("reddit_subreddits_rank"), "member") == rows(records["reddit_data"].select("subreddit").distinct(), "subreddit")
-    assert rows(spark.read.parquet(summary)) == rows(hot.reddit_summary(records["reddit_data"]))
+    assert rows(read_snapshot(spark, summary)) == rows(hot.reddit_summary(records["reddit_data"]))
     # rejects are there when the job returns
     assert [r.raw_value for r in spark.read.json(str(tmp_path / "ck/reddit_data_quarantine")).collect()] == ["garbage"]
 

@@ -8,7 +8,7 @@ from trendspark import schemas
 from trendspark.functions.records import to_json_value
 from trendspark.plans import hot
 from trendspark.session import read_table
-from trendspark.sinks.tables import append_table, create_if_absent
+from trendspark.sinks.tables import append_table, create_if_absent, read_snapshot, write_snapshot
 from trendspark.sources import standins
 from trendspark.sources.lake import infer_schema, read_lake
 from trendspark.sources.topics import text_stream
@@ -75,7 +75,7 @@ def test_summary_snapshot_complete_mode(spark, tmp_path):
     q = hot_stream.start_reddit_summary(text_stream(spark, src, max_files_per_trigger=1), out,
                                         str(tmp_path / "ck"), trigger={"availableNow": True})
     q.awaitTermination()
-    assert rows(spark.read.parquet(out)) == rows(hot.reddit_summary(posts))
+    assert rows(read_snapshot(spark, out)) == rows(hot.reddit_summary(posts))
 
 
 def test_publish_then_parse_roundtrip(spark, tmp_path):

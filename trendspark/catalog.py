@@ -1008,14 +1008,14 @@ def _drain_drops(spark, base, values: DataFrame, start, drops: int = 3) -> None:
         start(text_stream(spark, f"{base}/in/drop=*")).awaitTermination()
 
 
-def _archived(spark, values: DataFrame, topic: str, stamp: str, unit: str = "second") -> str:
+def _archived(spark, values: DataFrame, topic: str, stamp: str, route=lambda ts: F.date_trunc("second", ts)) -> str:
     """Publish a topic's records in two drops and archive them, routed (and
-    stamped) by the time, cut to ``unit``, that each record has in the field ``stamp``."""
+    stamped) by the second that each record has in the field ``stamp``, or by ``route`` of it."""
     from .streaming import archive
     base = _run_dir(spark, f"chain-{topic}")
-    route = F.date_trunc(unit, F.to_timestamp_ntz(F.get_json_object(F.col("value").cast("string"), f"$.{stamp}")))
+    when = route(F.to_timestamp_ntz(F.get_json_object(F.col("value").cast("string"), f"$.{stamp}")))
     _drain_drops(spark, base, values, lambda raw: archive.start_archive(
-        raw, f"{base}/lake", topic, f"{base}/ck_archive", route_ts=route, trigger={"availableNow": True}), drops=2)
+        raw, f"{base}/lake", topic, f"{base}/ck_archive", route_ts=when, trigger={"availableNow": True}), drops=2)
     return base
 
 
@@ -1054,8 +1054,8 @@ def q_lake_archive(spark, sf_dir):
 SELECT post_sk, subreddit_sk, platform_sk, ingested_date_sk, ingested_time_sk, score, num_comments, ingested_at FROM t""")
 def q_incremental_load(spark, sf_dir):
     """C8 fed from the lake by availableNow batches: the loaded fact table."""
-    base = _archive_chain(spark, sf_dir)
-    return spark.read.parquet(f"{base}/wh/Fact_Redit_Activity").drop("batch_id")
+    from .streaming import warehouse as wh
+    return wh.warehouse_sink(spark, f"{_archive_chain(spark, sf_dir)}/wh").read("Fact_Redit_Activity")
 
 
 def _chart_pages(spark, sf_dir, faults: bool = False) -> DataFrame:
@@ -1290,12 +1290,13 @@ def q_stream_two_queries(spark, sf_dir):
 @register("stream_summary", ORACLES["key_summary"])
 def q_stream_summary(spark, sf_dir):
     """C15 as a stream over three drops: the summary snapshot (K13) after the last trigger."""
+    from .sinks.tables import read_snapshot
     from .streaming.hot import start_reddit_summary
     base = _run_dir(spark, "stream-summary")
     posts = standins.reddit_posts(_t(spark, sf_dir, "events")).drop("ingested_at")
     _drain_drops(spark, base, to_json_value(posts), lambda raw: start_reddit_summary(
         raw, f"{base}/summary", f"{base}/ckpt", trigger={"availableNow": True}))
-    return spark.read.parquet(f"{base}/summary")
+    return read_snapshot(spark, f"{base}/summary")
 
 
 # ---------------------------------------------------------------------------
@@ -1321,11 +1322,12 @@ def q_lake_quarantine(spark, sf_dir):
     archive.start_archive(text_stream(spark, f"{base}/in"), f"{base}/lake", "reddit_data", f"{base}/ck_archive", route_ts=when,
                           trigger={"availableNow": True}).awaitTermination()
     wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=("reddit_data",))
-    dim = wh.warehouse_sink(spark, f"{base}/wh").read("Dim_Subreddit")
+    sink = wh.warehouse_sink(spark, f"{base}/wh")
+    dim = sink.read("Dim_Subreddit")
     counted = {"archived": spark.read.text(f"{base}/lake/topic=reddit_data"),
                "archive_rejects": spark.read.json(f"{base}/ck_archive_quarantine"),
                "load_rejects": spark.read.parquet(f"{base}/ck_wh/reddit_data_quarantine"),
-               "facts": spark.read.parquet(f"{base}/wh/Fact_Redit_Activity"), "subreddits": dim,
+               "facts": sink.read("Fact_Redit_Activity"), "subreddits": dim,
                "null_keys": dim.where(F.col("subreddit_sk").isNull() | F.col("subreddit_name").isNull())}
     out = None
     for what, df in counted.items():
@@ -1344,37 +1346,41 @@ def _loaded(spark, sf_dir, topic: str):
     else:
         rows = landing.chart_records(standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem")), CHART_BASE)
         stamp = "fetch_timestamp"
-    # one archive day a year, so that a load batch has a part of the days and not thousands of small files
-    base = _archived(spark, to_json_value(rows.drop("ingested_at")), topic, stamp, unit="year")
-    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=(topic,), max_files_per_trigger=16)
+    # archived over 40 days, at a second that depends on the record's own day
+    days = lambda ts: F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date"))
+    base = _archived(spark, to_json_value(rows.drop("ingested_at")), topic, stamp, lambda ts: F.lit("2025-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        days(ts) % 40, F.lit(0), F.lit(0), (days(ts).cast("bigint") * 7919 % 86400).cast("decimal(18,6)")))
+    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", topics=(topic,), max_files_per_trigger=48)
     return wh.warehouse_sink(spark, f"{base}/wh")
 
 
-def _by_year(sql: str, time: str) -> str:
-    """An oracle with the records stamped by the first of their year, as ``_loaded`` archives them."""
+def _restamped(sql: str, time: str) -> str:
+    """An oracle with the records stamped as ``_loaded`` archives them."""
+    days = f"date_diff('day', DATE '1970-01-01', CAST({time} AS DATE))"
+    stamp = f"TIMESTAMP '2025-01-01' + to_days(CAST({days} % 40 AS INTEGER)) + to_seconds(({days} * 7919) % 86400)"
     return sql.replace(f"strftime({time}, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at",
-                       f"strftime(date_trunc('year', {time}), '%Y-%m-%dT%H:%M:%S') || '.000000' AS ingested_at")
+                       f"strftime({stamp}, '%Y-%m-%dT%H:%M:%S') || '.000000' AS ingested_at")
 
 
-@register("incremental_tiktok", _by_year(ORACLES["star_two_dims"], "l_shipdate"))
+@register("incremental_tiktok", _restamped(ORACLES["star_two_dims"], "l_shipdate"))
 def q_incremental_tiktok(spark, sf_dir):
     """C9 fed from the lake: the loaded fact table equals the batch one."""
     return _loaded(spark, sf_dir, "tiktok_data").read("Fact_Tiktok_Performance")
 
 
-@register("incremental_youtube", _by_year(ORACLES["star_three_dims"], "l_shipdate"))
+@register("incremental_youtube", _restamped(ORACLES["star_three_dims"], "l_shipdate"))
 def q_incremental_youtube(spark, sf_dir):
     """C10 fed from the lake: the loaded fact table equals the batch one."""
     return _loaded(spark, sf_dir, "youtube_data").read("Fact_Youtube_Performance")
 
 
-@register("incremental_dim_video", _by_year(ORACLES["dim_video"], "l_shipdate"))
+@register("incremental_dim_video", _restamped(ORACLES["dim_video"], "l_shipdate"))
 def q_incremental_dim_video(spark, sf_dir):
     """C10's video dimension over several load batches: the newest attributes win, as in one batch."""
     return _loaded(spark, sf_dir, "youtube_data").read("Dim_Video")
 
 
-@register("incremental_twitch", _by_year(ORACLES["star_twitch_fact"], "ts"))
+@register("incremental_twitch", _restamped(ORACLES["star_twitch_fact"], "ts"))
 def q_incremental_twitch(spark, sf_dir):
     """C11 fed from the lake: the loaded fact table equals the batch one."""
     return _loaded(spark, sf_dir, "twitch_streams").read("Fact_Twitch_Performance")

@@ -16,20 +16,26 @@ from pyspark.sql import functions as F
 from ..functions.times import iso_naive, processing_time
 
 
-def is_json_object(value: Column) -> Column:
-    """Whether the whole text is one JSON object.
+def _checked(value: Column) -> tuple[Column, Column]:
+    """``(whether the whole text is one JSON object, whether it has the stamp's field)``.
 
     A parser stops after the first value, so the text is parsed inside an
     array (which must then have one element) and inside an object: what
-    closes one of the two early breaks the other.
+    closes one of the two early breaks the other. The keys are the parsed
+    object's.
     """
     in_array = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<map<string,string>>")
     in_object = F.from_json(F.concat(F.lit('{"k":'), value, F.lit("}")), "struct<k:map<string,string>>")
-    return F.coalesce((F.size(in_array) == 1) & in_array[0].isNotNull() & in_object["k"].isNotNull()
-                      & F.json_object_keys(value).isNotNull(), F.lit(False))
+    one = (F.size(in_array) == 1) & in_array[0].isNotNull() & in_object["k"].isNotNull()
+    return F.coalesce(one, F.lit(False)), F.coalesce(F.map_contains_key(F.get(in_array, F.lit(0)), F.lit("ingested_at")), F.lit(False))
+
 
+def is_json_object(value: Column) -> Column:
+    """Whether the whole text is one JSON object."""
+    return _checked(value)[0]
 
-def stamp_record(value: Column, ingested_at: Column) -> Column:
+
+def stamp_record(value: Column, ingested_at: Column, has_stamp: Column) -> Column:
     """``{...}`` -> ``{..., "ingested_at": "<iso>"}`` (``{}`` -> ``{"ingested_at": ...}``)."""
     body = F.regexp_replace(value, r"^\s*\{\s*|\s*\}\s*$", "")
     field = F.concat(F.lit('"ingested_at": "'), ingested_at, F.lit('"'))
@@ -39,24 +45,36 @@ def stamp_record(value: Column, ingested_at: Column) -> Column:
     others = F.map_filter(F.from_json(value, "map<string,variant>"), lambda k, v: k != "ingested_at")
     stamp = F.map_from_arrays(F.array(F.lit("ingested_at")), F.array(F.parse_json(F.concat(F.lit('"'), ingested_at, F.lit('"')))))
     replaced = F.to_json(F.map_concat(others, stamp))
-    return F.when(F.array_contains(F.json_object_keys(value), "ingested_at"), replaced).otherwise(appended)
+    return F.when(has_stamp, replaced).otherwise(appended)
 
 
-def lake_rows(raw: DataFrame, route_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split raw ``(topic, value)`` rows into archive rows and rejects.
+def routed_rows(raw: DataFrame, route_ts: Column | None = None) -> DataFrame:
+    """``(kind, topic, year, month, day, value)``: each raw ``(topic, value)`` row once.
 
-    ``route_ts`` (default: processing time, one value per micro-batch, as
-    the archiver stamps its records) gives both ``ingested_at`` and the
-    ``year/month/day`` folder (zero-padded month and day, K10).
+    Records (``kind`` ``lake``) are stamped; what isn't a JSON object
+    (``rejects``) is kept as JSON of its topic and text. ``route_ts``
+    (default, and where it is null: processing time, one value per
+    micro-batch, as the archiver stamps its records) gives both ``ingested_at`` and the
+    ``year/month/day`` folder (zero-padded month and day, K10); rejects
+    are filed by their topic alone.
     """
-    ts = route_ts if route_ts is not None else processing_time()
+    ts = processing_time() if route_ts is None else F.coalesce(route_ts, processing_time())
     text = F.col("value").cast("string")
-    rows = raw.select("topic", text.alias("value"), ts.alias("_ts"), is_json_object(text).alias("_ok"))
-    good = rows.where("_ok").select(
-        "topic",
-        stamp_record(F.col("value"), iso_naive(F.col("_ts"))).alias("value"),
-        F.date_format("_ts", "yyyy").alias("year"),
-        F.date_format("_ts", "MM").alias("month"),
-        F.date_format("_ts", "dd").alias("day"))
-    bad = rows.where(~F.col("_ok")).select("topic", "value")
-    return good, bad
+    ok, has_stamp = _checked(text)
+    # inline(array(...)): what follows reads the check's results instead of parsing once more
+    rows = raw.select("topic", text.alias("value"), ts.alias("_ts"), F.inline(F.array(F.struct(ok.alias("_ok"), has_stamp.alias("_has")))))
+
+    def part(pattern):
+        return F.when(F.col("_ok"), F.date_format("_ts", pattern)).otherwise("-")
+    return rows.select(
+        F.when(F.col("_ok"), "lake").otherwise("rejects").alias("kind"), "topic",
+        part("yyyy").alias("year"), part("MM").alias("month"), part("dd").alias("day"),
+        F.when(F.col("_ok"), stamp_record(F.col("value"), iso_naive(F.col("_ts")), F.col("_has")))
+         .otherwise(F.to_json(F.struct("topic", "value"))).alias("value"))
+
+
+def lake_rows(raw: DataFrame, route_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Archive rows and rejects (``topic, value``) of raw ``(topic, value)`` rows."""
+    rows = routed_rows(raw, route_ts)
+    bad = rows.where("kind = 'rejects'").select(F.from_json("value", "topic string, value string").alias("r")).select("r.topic", "r.value")
+    return rows.where("kind = 'lake'").select("topic", "value", "year", "month", "day"), bad

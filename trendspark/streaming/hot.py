@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..plans import hot
 from ..sinks.serving import ServingStore
-from ..sinks.tables import write_batch_partition
+from ..sinks.tables import write_rejects, write_snapshot
 from ..sources.topics import parse_topic
 from .queries import StartedQueries, rejects_path, start_rejects
 
@@ -45,7 +45,7 @@ def _writer(store: ServingStore, compose, views, quarantine: str, clock=None):
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = held.where("_good")
-            write_batch_partition(held.where("not _good").select("raw_value"), quarantine, batch_id)
+            write_rejects(held.where("not _good").select("raw_value"), quarantine, batch_id)
             if good.isEmpty():          # P12: an empty batch changes nothing
                 return
             now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -133,12 +133,11 @@ def start_reddit_rank(raw: DataFrame, store: ServingStore, checkpoint: str,
 
 def start_reddit_summary(raw: DataFrame, path: str, checkpoint: str,
                          quarantine: str | None = None, trigger: dict | None = None) -> StartedQueries:
-    """C15 as T3 + K13: the per-subreddit summary overwritten each trigger."""
-    from ..sinks.tables import overwrite_snapshot
+    """C15 as T3 + K13: a new snapshot of the per-subreddit summary each trigger (``sinks.tables.read_snapshot``)."""
     good, bad = parse_topic(raw, schemas.REDDIT, "subreddit")
     summary = hot.reddit_summary(good)
     w = (summary.writeStream.outputMode("complete")
-         .foreachBatch(lambda df, _id: overwrite_snapshot(df, path))
+         .foreachBatch(lambda df, _id: write_snapshot(df, path))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)

@@ -1386,6 +1386,19 @@ def q_incremental_twitch(spark, sf_dir):
     return _loaded(spark, sf_dir, "twitch_streams").read("Fact_Twitch_Performance")
 
 
+@register("uuid_load", """
+SELECT lower(trim(event_type)) AS subreddit, CAST(1 AS BIGINT) AS n_keys, CAST(count(*) AS BIGINT) AS n_facts FROM events GROUP BY 1""")
+def q_uuid_load(spark, sf_dir):
+    """F6 and J1 over several batches: with random keys, too, a name has one key in the facts and one dimension row."""
+    from .streaming import warehouse as wh
+    base = _archive(spark, sf_dir)
+    wh.run_all(spark, f"{base}/lake", f"{base}/wh", f"{base}/ck_wh", mode="uuid", topics=("reddit_data",), max_files_per_trigger=24)
+    sink = wh.warehouse_sink(spark, f"{base}/wh")
+    facts = sink.read("Fact_Redit_Activity").join(sink.read("Dim_Subreddit"), "subreddit_sk")
+    return facts.groupBy(F.lower(F.trim("subreddit_name")).alias("subreddit")).agg(
+        F.count_distinct("subreddit_sk").alias("n_keys"), F.count(F.lit(1)).alias("n_facts"))
+
+
 @register("two_topics_one_stream", """
 SELECT 'Fact_Redit_Activity' AS table_name, (SELECT count(*) FROM events) AS n
 UNION ALL SELECT 'Fact_Twitch_Performance', (SELECT count(*) FROM events)

@@ -65,11 +65,3 @@ def row_key(platform: str, *cols) -> Column:
 def uuid_key() -> Column:
     """random key (``uuid()``), for the reference-compatible mode."""
     return F.expr("uuid()")
-
-
-def fixed_key(mapping: dict, c) -> Column:
-    """key looked up in a literal map (e.g. the platform keys)."""
-    flat = []
-    for k, v in mapping.items():
-        flat += [F.lit(k), F.lit(v)]
-    return F.create_map(*flat)[_c(c)]

@@ -50,9 +50,9 @@ def run_hot(spark, args) -> list:
             queries.append(hot.start_reddit_best(raw, store, ck, quarantine=quarantine, trigger=trigger))
             # its rejects are the ones above: the records are the same
             if args.rank:
-                queries.append(hot.start_reddit_rank(_source(spark, args, topic), store, f"{ck}_rank", trigger=trigger))
+                queries.append(hot.start_reddit_rank(_source(spark, args, topic), store, f"{ck}_rank", trigger=trigger, rejects=False))
             if args.summary:
-                queries.append(hot.start_reddit_summary(_source(spark, args, topic), args.summary, f"{ck}_summary", trigger=trigger))
+                queries.append(hot.start_reddit_summary(_source(spark, args, topic), args.summary, f"{ck}_summary", trigger=trigger, rejects=False))
         else:
             queries.append(hot.start_view_query(raw, topic, store, ck, quarantine=quarantine,
                                                 trigger=trigger, scope=args.scope))

@@ -27,12 +27,6 @@ def sum_per_key(df: DataFrame, key, value: str, alias: str, drop_null_keys: bool
     return src.groupBy(*keys).agg(F.sum(value).alias(alias))
 
 
-def distinct_keys(df: DataFrame, key) -> DataFrame:
-    """Distinct values of a key (null included, as SQL DISTINCT does)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.select(*keys).distinct()
-
-
 def observed_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """Count rows while an action runs, without a second pass.
 

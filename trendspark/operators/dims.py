@@ -5,7 +5,8 @@ natural key, so the batch is never joined to its own distinct keys and no
 shuffle is spent on it. ``uuid`` mode reproduces the random keys: distinct
 natural keys get a ``uuid()``, the result is frozen with ``checkpoint()``
 (random keys must not be recomputed after a lost executor) and joined back
-with a left join, leaving a null key for a null natural key.
+with a left join, leaving a null key for a null natural key. A
+``KeyRegistry`` makes random keys hold over batches.
 """
 
 from __future__ import annotations
@@ -18,8 +19,34 @@ from ..session import checkpoint_dir
 from .ranking import one_row_per_key
 
 
+class KeyRegistry:
+    """F6 over batches: the random key that a name has been given, insert-if-absent.
+
+    ``known(sk)`` gives the committed ``(natural, key)`` rows of a key column,
+    or None; only ``names`` are kept (keys of single events never come
+    again). ``tables`` are a batch's new rows, which must be committed with
+    the batch, as its facts refer to them.
+    """
+
+    def __init__(self, known, names):
+        self.known, self.names = known, frozenset(names)
+        self.tables: dict[str, DataFrame] = {}
+
+    def keys(self, sk: str, naturals: DataFrame) -> DataFrame:
+        """``(natural, key)`` of the distinct ``naturals``: known keys, and new ones for new names."""
+        known = self.known(sk)
+        if known is None:
+            known = naturals.sparkSession.createDataFrame([], "natural string, key string")
+        # names without a known key get one; frozen, as random keys must not be computed again
+        given = naturals.select(F.col("natural").cast("string").alias("natural")).where(F.col("natural").isNotNull()).join(
+            known.select("natural", F.col("key").alias("_known")), "natural", "left")
+        given = given.select("natural", F.col("_known").isNull().alias("is_new"), F.coalesce("_known", uuid_key()).alias("key")).checkpoint(eager=True)
+        self.tables[f"Keys_{sk}"] = given.where("is_new").select("natural", "key")
+        return given.select("natural", "key")
+
+
 def attach_key(df: DataFrame, platform: str, sk: str, natural, mode: str = "md5",
-               normalize: bool = False) -> DataFrame:
+               normalize: bool = False, registry: KeyRegistry | None = None) -> DataFrame:
     """Add surrogate key column ``sk`` for ``natural``.
 
     ``natural`` is a column name or a Column (J3 passes a concatenation).
@@ -35,18 +62,21 @@ def attach_key(df: DataFrame, platform: str, sk: str, natural, mode: str = "md5"
     spark = df.sparkSession
     checkpoint_dir(spark)
     keyed = df.withColumn("_nk", nat)
+    if registry is not None and sk in registry.names:
+        given = registry.keys(sk, keyed.select(F.col("_nk").alias("natural")).distinct())
+        return keyed.join(given.select(F.col("natural").alias("_nk"), F.col("key").alias(sk)), "_nk", "left").drop("_nk")
     dim = (keyed.select("_nk").distinct().withColumn(sk, uuid_key())
            .checkpoint(eager=True))
     # a null natural key matches nothing in an equi-join -> null key
     return keyed.join(dim, "_nk", "left").drop("_nk")
 
 
-def attach_keys(df: DataFrame, platform: str, specs: list, mode: str = "md5") -> DataFrame:
+def attach_keys(df: DataFrame, platform: str, specs: list, mode: str = "md5", registry: KeyRegistry | None = None) -> DataFrame:
     """Several independent key attachments on one frame (a star row)."""
     for spec in specs:
         sk, natural = spec[0], spec[1]
         normalize = spec[2] if len(spec) > 2 else False
-        df = attach_key(df, platform, sk, natural, mode=mode, normalize=normalize)
+        df = attach_key(df, platform, sk, natural, mode=mode, normalize=normalize, registry=registry)
     return df
 
 

@@ -70,9 +70,9 @@ def _freeze(df: DataFrame, mode: str, prepare=None) -> DataFrame:
     return prepare(df) if prepare else df
 
 
-def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
+def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None, registry=None) -> StarTables:
     """Dim_Subreddit (normalised name), Dim_Post, Fact_Redit_Activity."""
-    keyed = attach_keys(posts, "Reddit", [("subreddit_sk", "subreddit", True)], mode=mode)
+    keyed = attach_keys(posts, "Reddit", [("subreddit_sk", "subreddit", True)], mode=mode, registry=registry)
     t = keyed.select(
         "subreddit_sk",
         _row_sk("Reddit", mode, ["url", "title", "post_timestamp", "ingested_at"]).alias("post_sk"),
@@ -92,10 +92,10 @@ def reddit_star(posts: DataFrame, mode: str = "md5", prepare=None) -> StarTables
     })
 
 
-def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
+def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None, registry=None) -> StarTables:
     """Dim_Sound, Dim_Country, Fact_Tiktok_Performance (two J1 joins, J4)."""
     keyed = attach_keys(sounds, "TikTok", [("sound_sk", "sound_name"),
-                                           ("country_sk", "author_country")], mode=mode)
+                                           ("country_sk", "author_country")], mode=mode, registry=registry)
     t = keyed.select(
         "sound_sk", "country_sk",
         F.lit(PLATFORM_KEYS["TikTok"]).alias("platform_sk"),
@@ -115,13 +115,13 @@ def tiktok_star(sounds: DataFrame, mode: str = "md5", prepare=None) -> StarTable
     })
 
 
-def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None, seen: bool = False) -> StarTables:
+def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None, seen: bool = False, registry=None) -> StarTables:
     """Dim_Video, Dim_Channel, Dim_Category, Fact_Youtube_Performance.
 
     ``seen`` keeps the time a video's row was taken in ``_seen``, which an
     incremental load needs to order the rows of several batches."""
     keyed = attach_keys(videos, "YouTube", [("video_sk", "video_id"), ("channel_sk", "channel"),
-                                            ("category_sk", "category")], mode=mode)
+                                            ("category_sk", "category")], mode=mode, registry=registry)
     t = keyed.select(
         "video_sk", "channel_sk", "category_sk",
         F.lit(PLATFORM_KEYS["YouTube"]).alias("platform_sk"),
@@ -148,13 +148,13 @@ def youtube_star(videos: DataFrame, mode: str = "md5", prepare=None, seen: bool
     })
 
 
-def twitch_star(streams: DataFrame, mode: str = "md5", prepare=None) -> StarTables:
+def twitch_star(streams: DataFrame, mode: str = "md5", prepare=None, registry=None) -> StarTables:
     """C11: Dim_Game, Dim_Stream (key: user_name || fetched_at, J3) and
     Fact_Twitch_Performance. ``user_sk`` is in the fact; like the source
     job, no user dimension is written."""
     stream_nk = F.concat(F.col("user_name"), F.col("fetched_at").cast("string"))
     keyed = attach_keys(streams, "Twitch", [("game_sk", "game_name"), ("user_sk", "user_name"),
-                                            ("stream_sk", stream_nk)], mode=mode)
+                                            ("stream_sk", stream_nk)], mode=mode, registry=registry)
     t = keyed.select(
         "stream_sk", "game_sk", "user_sk",
         F.lit(PLATFORM_KEYS["Twitch"]).alias("platform_sk"),
@@ -193,6 +193,8 @@ DIM_KEYS = {
     "Dim_Video": "video_sk", "Dim_Channel": "channel_sk", "Dim_Category": "category_sk",
     "Dim_Game": "game_sk",
 }
+# Keys that name an entity: random ones are registered, so that a name keeps its key (the users have no dimension).
+ENTITY_KEYS = frozenset(DIM_KEYS.values()) | {"user_sk"}
 # Per-event dimensions (Dim_Post, Dim_Stream): the key hashes the record's
 # identity (post snapshot, user poll), each lake record is loaded once
 # (file-stream checkpoint) and a replayed batch overwrites its own partition,

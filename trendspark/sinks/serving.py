@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.hot import TTL_SECONDS, VIEWS
+from .batches import list_folder, running_query
 
 VIEW_COLS = ["member", "score", "json_value", "poll"]
 FLUSH_SCHEMA = "member string, score double, json_value string, poll string, batch_id long, version long"
@@ -164,7 +165,7 @@ class ServingStore:
             name = st.getPath().getName()
             if not name.startswith("flush="):
                 continue
-            inside = [s.getPath().getName() for s in fs.listStatus(st.getPath())]
+            inside = list_folder(self.spark, st.getPath().toString())     # nothing, if another query's vacuum has it meanwhile
             if "_SUCCESS" not in inside:
                 continue          # being written, or its writer was lost
             number, run, batch, at, kind, _ = name.removeprefix("flush=").split(",")
@@ -201,7 +202,7 @@ class ServingStore:
 
     def _query(self) -> str:
         """Id of the streaming query whose batch is being written (a new checkpoint has a new one)."""
-        return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        return running_query(self.spark)
 
     def write_batch(self, rows: DataFrame, batch_id: int, views, batch_time: dt.datetime | None = None,
                     run: str | None = None) -> None:

@@ -208,6 +208,11 @@ class WarehouseSink:
         loaded = loaded.where(F.col("run") != self._run()).select("file").distinct()
         return df.join(loaded, df[file_column] == loaded["file"], "left_anti")
 
+    def committed_keys(self, sk: str) -> DataFrame | None:
+        """The registered ``(natural, key)`` rows of a key column (``operators.dims.KeyRegistry``)."""
+        rows = self._existing(f"Keys_{sk}")
+        return None if rows is None else rows.select("natural", "key")
+
     def write(self, tables: dict, keys: dict, batch_id: int, sources: DataFrame | None = None, topic: str = "") -> dict:
         """Rows written to each table, all committed together; empty if the batch had been committed."""
         counts = {}

@@ -86,8 +86,3 @@ def parse_topic(df: DataFrame, schema: StructType, key: str | None = None,
     good = parsed.where(ok).select(*keep, *fields)
     bad = parsed.where(~ok).select(*keep, F.col("_raw").alias("raw_value"))
     return good, bad
-
-
-def is_empty(df: DataFrame) -> bool:
-    """A batch predicate that stops at the first row."""
-    return df.isEmpty()

@@ -113,9 +113,11 @@ def start_reddit_best(raw: DataFrame, store: ServingStore, checkpoint: str,
 
 
 def start_reddit_rank(raw: DataFrame, store: ServingStore, checkpoint: str,
-                      quarantine: str | None = None, trigger: dict | None = None) -> StartedQueries:
+                      quarantine: str | None = None, trigger: dict | None = None, rejects: bool = True) -> StartedQueries:
     """C14 as T3: running total score per subreddit, complete mode; each
-    trigger replaces the rank view with the full ordered totals (W2)."""
+    trigger replaces the rank view with the full ordered totals (W2).
+    Without ``rejects`` another query of the topic keeps them, and the topic
+    is read once less."""
     good, bad = parse_topic(raw, schemas.REDDIT, "subreddit")
     totals = hot.reddit_score_totals(good)
 
@@ -128,12 +130,12 @@ def start_reddit_rank(raw: DataFrame, store: ServingStore, checkpoint: str,
     if trigger:
         w = w.trigger(**trigger)
     q = w.queryName("reddit_rank").start()
-    return StartedQueries([q, start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_rank_rejects", trigger)])
+    return StartedQueries([q, *([start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_rank_rejects", trigger)] if rejects else [])])
 
 
 def start_reddit_summary(raw: DataFrame, path: str, checkpoint: str,
-                         quarantine: str | None = None, trigger: dict | None = None) -> StartedQueries:
-    """C15 as T3 + K13: a new snapshot of the per-subreddit summary each trigger (``sinks.tables.read_snapshot``)."""
+                         quarantine: str | None = None, trigger: dict | None = None, rejects: bool = True) -> StartedQueries:
+    """C15 as T3 + K13: a new snapshot of the per-subreddit summary each trigger (``sinks.tables.read_snapshot``); ``rejects`` as for the rank."""
     good, bad = parse_topic(raw, schemas.REDDIT, "subreddit")
     summary = hot.reddit_summary(good)
     w = (summary.writeStream.outputMode("complete")
@@ -142,7 +144,7 @@ def start_reddit_summary(raw: DataFrame, path: str, checkpoint: str,
     if trigger:
         w = w.trigger(**trigger)
     q = w.queryName("reddit_summary").start()
-    return StartedQueries([q, start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_summary_rejects", trigger)])
+    return StartedQueries([q, *([start_rejects(bad, rejects_path(checkpoint, quarantine), checkpoint, "reddit_summary_rejects", trigger)] if rejects else [])])
 
 
 def await_any(spark) -> None:

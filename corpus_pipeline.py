@@ -22,6 +22,16 @@ from trendspark.llm.common import saved, table
 PASSAGE_BYTES = 200
 
 
+#: What a task hands to Python at once: workers and executors hold a few such batches, however long the texts are.
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Small Arrow batches for the stages of this session."""
+    for key, value in BATCH_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` brought up to date with the text."""
     if "n_chars" not in docs.columns:
@@ -31,26 +41,31 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network takes for label 1; it learns from the labels of those at hand."""
+    _bounded(spark)
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked at 0.8 on five-word shingles."""
+    _bounded(spark)
     return near_dedup.one_of_each(docs, percent=80, width=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur at more than one place."""
+    _bounded(spark)
     return _counted(suffix_dedup.remove_repeats(docs, PASSAGE_BYTES))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with a mark in the place of each secret."""
+    _bounded(spark)
     return _counted(secret_scan.redact_secrets(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences and offsets."""
+    _bounded(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -198,10 +198,11 @@ class WarehouseSink:
         return self.marks.has(self._run(), batch_id)
 
     def unseen(self, df: DataFrame, file_column: str, topic: str) -> DataFrame:
-        """``df`` without rows of files that another run has committed. A target of one run only reads nothing here."""
-        others = [r for r in self.marks.committed() if r != self._run()] if self.files else None
-        if others == []:
-            return df
+        """``df`` without rows of files that another run has committed. In a folder that one run has loaded the topic into, nothing is read here."""
+        if self.files:
+            wrote = set(list_folder(self.spark, self.path(f"load_files_{topic}")))
+            if not any(f"run={r}" in wrote for r in self.marks.committed() if r != self._run()):
+                return df
         loaded = self._existing(f"load_files_{topic}")
         if loaded is None:
             return df

@@ -162,3 +162,21 @@ def test_a_poll_of_videos_split_over_batches_is_summed(spark, tmp_path):
     store.write_batch(hot.youtube_views(spark.createDataFrame(batches[2], schema), scope="poll"), 2, views, now)
     assert {r.member: r.score for r in store.read(views[0], now).collect()} == {"A": 8.0, "B": 3.0}
     assert '"t4"' in {r.member: r.json_value for r in store.read(views[1], now).collect()}["A"]
+
+
+def test_a_listing_passes_over_a_flush_that_a_vacuum_takes_meanwhile(spark, tmp_path, monkeypatch):
+    import shutil
+    from trendspark.sinks import serving
+    store = ServingStore(spark, str(tmp_path / "v"), policies={"x": "upsert"}, ttl={})
+    rows_ = spark.createDataFrame([("x", "m", 1.0, None)], "view string, member string, score double, json_value string")
+    for b in range(3):
+        store.write_batch(rows_, b, ["x"], run="r")
+    real, gone = serving.list_folder, []
+
+    def vanishing(spark, path):
+        if not gone:
+            gone.append(path)
+            shutil.rmtree(path.removeprefix("file:"))
+        return real(spark, path)
+    monkeypatch.setattr(serving, "list_folder", vanishing)
+    assert [f.number for f in store._flushes()] == [1, 2]

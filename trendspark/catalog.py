@@ -1062,7 +1062,7 @@ def _chart_pages(spark, sf_dir, faults: bool = False) -> DataFrame:
     """Chart pages rendered from the lineitem chart rows: one page per order
     (an order has a handful of lines), eight cells per row; with ``faults``
     the second lines lack a cell and the third ones the link (P10), and a cell
-    of the others holds a table whose row would pass for one of the chart."""
+    of the fourth ones holds a table whose row would pass for one of the chart."""
     chart = standins.tiktok_chart_rows(_t(spark, sf_dir, "lineitem"), with_order=True)
 
     def td(c):
@@ -1071,7 +1071,7 @@ def _chart_pages(spark, sf_dir, faults: bool = False) -> DataFrame:
     last = td(F.lit(""))
     nested = F.lit("")
     if faults:
-        nested = F.concat(F.lit("<table><tbody><tr>"), *[td(link)] * 8, F.lit("</tr></tbody></table>"))
+        nested = F.when(F.col("rank_text") == "#4", F.concat(F.lit("<table><tbody><tr>"), *[td(link)] * 8, F.lit("</tr></tbody></table>"))).otherwise("")
         link = F.when(F.col("rank_text") == "#3", F.col("sound_name")).otherwise(link)
         last = F.when(F.col("rank_text") == "#2", F.lit("")).otherwise(last)
     tr = F.concat(F.lit("<tr>"), td(F.col("rank_text")), td(link), td(F.col("ugc_text")),

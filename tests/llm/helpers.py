@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 DOCUMENTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                           T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 #: Columns whose names the operators use inside.
-CLASHING = ["key", "tag", "spans", "node", "component", "task", "bin", "shard", "slot", "size", "load", "length", "rank", "token", "part", "same", "low"]
+CLASHING = ["key", "tag", "spans", "node", "component", "task", "bin", "shard", "slot", "size", "load", "length", "rank", "token", "part", "same", "low",
+            "_found", "_between", "_score", "_raw", "_kept", "_key", "_tag", "_spans", "_list", "_of", "_of_tag", "_text", "_id", "_label", "_hash",
+            "_rest", "c0", "c1", "row", "raw", "matches", "lonely", "place"]
 
 
 def words(n, seed, vocabulary=400):

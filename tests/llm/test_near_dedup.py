@@ -3,7 +3,7 @@ import random
 from trendspark.llm import near_dedup as N
 from trendspark.llm.components import components
 
-from .helpers import frame, near, odd_rows, words
+from .helpers import CLASHING, DOCUMENTS, frame, near, odd_rows, words
 
 
 def result(df, **kw):
@@ -38,6 +38,17 @@ def test_one_of_each_keeps_columns_and_one_row_of_a_group(spark):
     df = frame(spark, [(4, same), (2, same), (2, same), (9, words(60, 44)), (10, None), (11, "")], clash=True)
     out = N.one_of_each(df).collect()
     assert sorted(r["doc_id"] for r in out) == [2, 9, 10, 11] and list(out[0].asDict()) == df.columns
+    assert all(r[c] == "x" for r in out for c in CLASHING)
+
+
+def test_of_rows_equal_in_id_and_text_one_stays_by_value(spark):
+    same = words(60, 43)
+    rows = [(1, same, "de", "b", 3), (1, same, "de", "a", 9), (1, same, "en", "a", 1), (2, same, "aa", "a", 1), (None, None, None, "z", 1), (None, None, None, "y", 2)]
+    for turn in (rows, rows[::-1]):
+        out = N.one_of_each(spark.createDataFrame(turn, DOCUMENTS).repartition(3)).collect()
+        assert sorted(((r.doc_id, r.lang, r.source, r.n_chars) for r in out), key=repr) == [(1, "de", "a", 9), (None, None, "y", 2)]
+    only = N.one_of_each(spark.createDataFrame([(1, same), (1, same), (2, same)], "doc_id long, text string"))
+    assert [r.doc_id for r in only.collect()] == [1]
 
 
 def test_components_of_a_long_chain_a_star_and_loops(spark):

@@ -61,6 +61,12 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def aliased(docs: DataFrame, *named: str) -> tuple[DataFrame, ...]:
+    """``docs`` with its columns named c0, c1, ... by place, so that an operator's own names clash with none, and the new names of ``named``."""
+    columns = docs.columns
+    return docs.toDF(*(f"c{i}" for i in range(len(columns)))), *(f"c{columns.index(c)}" for c in named)
+
+
 def spread(df: DataFrame) -> int:
     """Partitions for a shuffle of ``df``: the session's setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

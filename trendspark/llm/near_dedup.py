@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import discard, likely_in, mapped, saved, spread, text_or_empty
+from trendspark.llm.common import aliased, discard, likely_in, mapped, saved, spread, text_or_empty
 from trendspark.llm.components import components
 from trendspark.llm.shingles import shingle_hashes, word_hashes
 
@@ -120,7 +120,7 @@ def possible(n_a, lonely_a, n_b, lonely_b, percent: int) -> Column:
 
 
 def rare_shingles(members: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
-    """``members`` with ``token, place, tokens``: each of a node's rarest shingles that others have, and its place.
+    """``members`` with ``token, place``: each of a node's rarest shingles that others have, and its place.
 
     Shingles are ordered by how many of these nodes have them. Two linked sets
     have a common shingle among the first of both, as many as may be missing
@@ -137,8 +137,8 @@ def rare_shingles(members: DataFrame, bodies: DataFrame, percent: int, width: in
     counted = found.groupBy("token").agg(F.count("*").alias("many"))
     ordered = found.join(counted, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("many", "token"))).alias("all"))
     first = F.expr(f"slice(all, 1, size(all) - cast(ceil({percent} * size(all) / 100) as int) + 1)")
-    chosen = ordered.select("node", first.alias("first")).select("node", F.col("first.token").alias("tokens"), F.posexplode("first").alias("at", "it"))
-    chosen = chosen.where("it.many > 1").select("node", "tokens", (F.col("at") + 1).alias("place"), F.col("it.token").alias("token"))
+    chosen = ordered.select("node", F.posexplode(first).alias("at", "it"))
+    chosen = chosen.where("it.many > 1").select("node", (F.col("at") + 1).alias("place"), F.col("it.token").alias("token"))
     return members.join(chosen, "node")
 
 
@@ -179,7 +179,8 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> D
     parts = F.pmod(F.xxhash64("a"), F.lit(16)).cast("int")
     wanted = pairs.select(F.col("a").alias("node"), F.col("b").alias("centre"), parts.alias("part"))
     own = wanted.select(F.col("centre").alias("node"), "centre", "part").distinct()
-    rows = wanted.union(own).join(bodies, "node")
+    wanted = wanted.union(own)
+    rows = wanted.join(likely_in(bodies, wanted.select("node"), "node"), "node")
     rows = rows.repartition(spread(pairs), "centre", "part").sortWithinPartitions("centre", "part", (F.col("node") != F.col("centre")))
     return mapped(rows.select("centre", "node", "text"), check, "a long, b long")
 
@@ -209,7 +210,8 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.xxhash64(text).alias("tag"), text.alias("text"))
     texts = likely_in(texts.where(F.col("node").isNotNull()), candidates.select("node"), "node")
-    bodies = texts.join(candidates.select("node", "tag"), ["node", "tag"], "left_semi").dropDuplicates(["node"]).select("node", "text")
+    # a node has one tag here, so that of each node one text is left; the semi join finds the texts dealt as it needs them
+    bodies = texts.dropDuplicates(["node", "tag"]).join(candidates.select("node", "tag"), ["node", "tag"], "left_semi").select("node", "text")
     bodies = saved(bodies, "posted-texts")
 
     alone = lonely_shingles(bodies, width)
@@ -255,19 +257,19 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
         best = agreeing(untested(pairs), candidates, percent).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
         test(best.select("a", F.col("best.b").alias("b")))
         discard(rest)
-    # what is left: pairs of different components, each at the first of the rarest shingles that its two lists share
+    # what is left: pairs of different components that share one of the rarest shingles; a pair that shares several is counted once
     members = saved(live().select("node", "component", "n", "lonely").distinct(), "live-nodes")
     rest = saved(rare_shingles(members, bodies, percent, width), "rare-shingles")
     mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     lists = rest.join(mixed.select("token"), "token", "left_semi")
-    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "tokens", "place"))) for x in "ab")
+    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "place"))) for x in "ab")
     # a link has at least this many shingles in common, so the first one is no later than these places
     common = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
     early = (F.col("place_a") <= F.col("n_a") - common + 1) & (F.col("place_b") <= F.col("n_b") - common + 1)
-    shared_first = F.element_at(F.array_intersect("tokens_a", "tokens_b"), 1)
     pairs = one.join(two, (one["token"] == two["token"]) & (F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-                     & early & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent) & (shared_first == one["token"]))
-    test(agreeing(untested(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))), candidates, percent))
+                     & early & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent))
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    test(agreeing(untested(pairs), candidates, percent))
     discard(members)
     discard(rest, *used)
 
@@ -285,6 +287,17 @@ def _labelled(rows: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the row of the smallest id, and one of rows equal in id and text."""
-    kept = near_components(docs, percent, width, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.dropDuplicates([id_col, text_col]).join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """``docs`` with one row of each group of near duplicates: the row of the smallest id.
+
+    Of rows equal in id and text, the one whose other columns come first as JSON stays. Columns may have any names.
+    """
+    rows, the_id, the_text = aliased(docs, id_col, text_col)
+    kept = near_components(rows, percent, width, id_col=the_id, text_col=the_text).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    others = [c for c in rows.columns if c not in (the_id, the_text)]
+    if others:
+        rest = F.struct(*others)
+        one = rows.groupBy(the_id, the_text).agg(F.min_by(rest, F.to_json(rest)).alias("_rest")).select(the_id, the_text, "_rest.*")
+    else:
+        one = rows.distinct()
+    one = one.join(kept, F.col(the_id).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return one.select(*rows.columns).toDF(*docs.columns)

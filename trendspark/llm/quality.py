@@ -11,13 +11,14 @@ sample of labelled documents; scoring reads every byte of every document.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import mapped, saved, text_or_empty
+from trendspark.llm.common import mapped, saved, ship_package, text_or_empty
 
 WIDTH, STRIDE, DEPTH, FILTERS = 8, 4, 8, 48
 #: Bytes of a chunk; the next one begins half a chunk later.
@@ -195,19 +196,21 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows_per
     return net
 
 
-def scores(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_score``, the probability of label 1, from the whole text. A null text scores as an empty one."""
-    columns = docs.columns
+def score(docs: DataFrame, net: Network, text_col: str = "text") -> Column:
+    """The probability of label 1 of each row of ``docs``, from the whole text, as a column. A null text scores as an empty one.
+
+    Python gets the texts alone, once; the other columns stay where they are.
+    """
+    ship_package(docs.sparkSession)
     weights = docs.sparkSession.sparkContext.broadcast(net.weights)  # 6,000 numbers
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Network(weights.value)
-        for batch in batches:
-            found = [own.score(x or b"") for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.float64())], [*columns, "_score"])
+        for texts in batches:
+            yield pa.array([own.score(x or b"") for x in texts.to_pylist()], pa.float64())
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "_score double"])
-    return mapped(docs.select(F.col(text_col).cast("string").cast("binary").alias("_raw"), *docs.columns), run, schema)
+    return run(text_or_empty(text_col).cast("binary"))
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,6 +230,6 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, unchanged."""
+    """The rows of ``docs`` that the classifier accepts, unchanged; columns may have any names."""
     net = fit(docs, labels, id_col=id_col, text_col=text_col)
-    return scores(docs, net, id_col, text_col).where("_score >= 0.5").drop("_score")
+    return docs.where(score(docs, net, text_col) >= 0.5)

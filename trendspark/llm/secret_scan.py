@@ -18,6 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendspark.llm.common import aliased
+
 #: ``=`` belongs to a candidate only as padding at its end; elsewhere it parts a name from its value.
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 #: Characters before and after a candidate that count as its neighbourhood.
@@ -178,8 +180,8 @@ def redacted_text(text_col: str, mark: str, threshold: float) -> Column:
 
 def redact_secrets(docs: DataFrame, findings: DataFrame | None = None, mark: str = "<secret>", threshold: float = 0.5,
                    text_col: str = "text") -> DataFrame:
-    """``docs`` with every secret replaced by ``mark``; all rows and other columns stay, a null text stays null."""
+    """``docs`` with every secret replaced by ``mark``; all rows and other columns, of any names, stay, a null text stays null."""
     forest = train_forest(findings if findings is not None else labelled_findings(docs.sparkSession))
-    columns = docs.columns
-    clean = _examined(docs, forest, text_col).withColumn(text_col, redacted_text(text_col, mark, threshold))
-    return clean.select(*columns)
+    rows, the_text = aliased(docs, text_col)
+    clean = _examined(rows, forest, the_text).withColumn(the_text, redacted_text(the_text, mark, threshold))
+    return clean.select(*rows.columns).toDF(*docs.columns)

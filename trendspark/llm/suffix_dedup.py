@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import mapped, saved, spread
+from trendspark.llm.common import aliased, mapped, saved, ship_package, spread
 
 #: Bytes of a k-mer, and k-mers among which the smallest is sampled (powers of two).
 KMER, WINDOW = 32, 128
@@ -295,20 +295,18 @@ def removal_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated passages cut out of the text, at whole characters. All other columns and rows stay."""
-    columns = docs.columns
-    place = columns.index(text_col)
-
-    def cut(batches):
-        for batch in batches:
-            texts = []
-            for data, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                texts.append(None if data is None else without(data, on_characters(data, merged(spans))).decode())
-            rest = list(batch.columns[2:])
-            rest.insert(place, pa.array(texts, pa.string()))
-            yield pa.RecordBatch.from_arrays(rest, columns)
-
-    ranged = with_spans(docs, length, id_col, text_col)
-    others = [F.col(c) for c in columns if c != text_col]
-    schema = ", ".join(f"`{f.name}` {'string' if f.name == text_col else f.dataType.simpleString()}" for f in docs.schema.fields)
-    return mapped(ranged.select(F.col(text_col).cast("string").cast("binary").alias("_raw"), "_spans", *others), cut, schema)
+    """``docs`` with repeated passages cut out of the text, at whole characters. All other columns, of any names, and all rows stay."""
+    rows, the_id, the_text = aliased(docs, id_col, text_col)
+    ship_package(docs.sparkSession)
+
+    @F.arrow_udf("string")
+    def cut(raw: pa.Array, spans: pa.Array) -> pa.Array:
+        texts = [None if data is None else without(data, on_characters(data, merged(found))).decode()
+                 for data, found in zip(raw.to_pylist(), spans.to_pylist())]
+        return pa.array(texts, pa.string())
+
+    # only texts with repeats go to Python
+    ranged = with_spans(rows, length, the_id, the_text)
+    text = F.col(the_text).cast("string")
+    clean = F.when(F.col("_spans").isNull(), text).otherwise(cut(text.cast("binary"), "_spans"))
+    return ranged.select(*(clean.alias(c) if c == the_text else F.col(c) for c in rows.columns)).toDF(*docs.columns)

@@ -17,9 +17,9 @@ most pairs of strongly edited copies without a look at their texts.
 
 Skip: documents that are in one component need no comparison. Copies (equal
 sets) are one node from the start. Then in each round every posting list names
-one of its documents as its centre, another one each round; every document is
-compared with the centre that agrees best with it, and what is linked is
-merged and skipped from then on. These rounds are linear in the postings. Only
+one of its documents as its centre, another one each round; collisions with centres
+are counted, every document is compared with the centre that agrees best with
+it of those that it meets most often, and what is linked is merged and skipped from then on. These rounds are linear in the postings. Only
 pairs of documents that are still in different components after them are then
 compared one by one, so no link is lost; of those, the pairs whose sets have
 no shingle in common among the rarest that a link must have one of are refuted
@@ -39,6 +39,8 @@ from trendspark.llm.components import components
 from trendspark.llm.shingles import shingle_hashes, word_hashes
 
 COORDINATES, MATCHES = 48, 25
+#: Centres whose signatures a document is compared with in a round; what a round misses is left to the next and to the pairs after them.
+CENTRES = 4
 _rng = np.random.default_rng(15485863)
 _A = (_rng.integers(0, 2**32, COORDINATES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _rng.integers(0, 2**32, COORDINATES, dtype=np.uint64).astype(np.uint32)
@@ -250,11 +252,15 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     for turn in range(star_rounds):
         rest = saved(live(), "live-postings")
         # the centre: a document with few lonely shingles, as those have most links
-        order = F.struct(F.floor(16 * F.col("lonely") / F.col("n")).alias("s"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
+        order = F.struct(F.floor(16 * F.col("lonely") / F.col("n")).alias("s"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component", "n", "lonely")
         centres = rest.groupBy("token").agg(F.min(order).alias("centre")).select(
-            "token", F.col("centre.node").alias("b"), F.col("centre.component").alias("other"))
-        pairs = rest.join(centres, "token").where("component != other").select(F.col("node").alias("a"), "b").distinct()
-        best = agreeing(untested(pairs), candidates, percent).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
+            "token", F.col("centre.node").alias("b"), *(F.col(f"centre.{c}").alias(f"{c}_b") for c in ("component", "n", "lonely")))
+        worth = (F.col("component") != F.col("component_b")) & possible(F.col("n"), F.col("lonely"), F.col("n_b"), F.col("lonely_b"), percent)
+        met = rest.join(centres, "token").where(worth).groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("met"))
+        # at most one centre for each of a document's lists; signatures move for those that it meets in most of them
+        most = F.slice(F.sort_array(F.collect_list(F.struct("met", "b")), asc=False), 1, CENTRES)
+        pairs = untested(met).groupBy("a").agg(most.alias("most")).select("a", F.explode("most.b").alias("b"))
+        best = agreeing(pairs, candidates, percent).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
         test(best.select("a", F.col("best.b").alias("b")))
         discard(rest)
     # what is left: pairs of different components that share one of the rarest shingles; a pair that shares several is counted once

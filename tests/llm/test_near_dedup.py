@@ -78,3 +78,35 @@ def test_lonely_shingles_and_the_bound(spark):
                                   "na int, la int, nb int, lb int")
     got = [r[0] for r in pairs.select(N.possible(F.col("na"), F.col("la"), F.col("nb"), F.col("lb"), 80)).collect()]
     assert got == [True, False, True, True, False]
+
+
+def test_pivots_bound_the_last_pairs_and_refute_no_link(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    base = words(120, 45).split()
+    texts = {1: " ".join(base)}
+    for i in range(2, 40):
+        w = list(base)
+        for _ in range(rng.randint(2, 9)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(40)}"
+        texts[i] = " ".join(w)
+    sets = {i: set(N.shingle_set(t, 2).tolist()) for i, t in texts.items()}
+    lonely = {i: len(s - set().union(*(o for j, o in sets.items() if j != i))) for i, s in sets.items()}
+    bodies = spark.createDataFrame(list(texts.items()), "node long, text string")
+    members = spark.createDataFrame([(i, i, len(s), lonely[i]) for i, s in sets.items()] + [(99, 99, 5, 0)], "node long, component long, n long, lonely long")
+    tested = spark.createDataFrame([(i, 1) for i in range(2, 40)] + [(3, 2)], "a long, b long")
+    out = N.with_pivots(members, tested, bodies, 2)
+    got = {r.node: (r.pivot, r.common, r.other) for r in out.collect()}
+    assert got.pop(99) == (None, None, None)
+    assert got == {i: (1, len(s & sets[1]), max(0, len(s - sets[1]) - lonely[i]) if i != 1 else 0) for i, s in sets.items()}
+    one, two = (out.select(*(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pivot", "common", "other"))) for x in "ab")
+    kept = {(r.node_a, r.node_b) for r in one.join(two, (F.col("node_a") > F.col("node_b")) & N.within_pivot(80)).collect()}
+    every = {(a, b) for a in got for b in got if a > b}
+    links = {(a, b) for a, b in every if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert links and links <= kept and len(kept - {(99, b) for b in got}) < len(every)
+
+
+def test_short_signatures_keep_every_agreement(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([([-2**31, -1, 0, 1, 255, 256, 2**31 - 1],)], "signature array<int>")
+    assert list(df.select(N.short_signature("signature").alias("s")).first().s) == [-128, 127, -128, -127, 127, -128, 127]

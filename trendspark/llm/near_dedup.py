@@ -24,6 +24,11 @@ pairs of documents that are still in different components after them are then
 compared one by one, so no link is lost; of those, the pairs whose sets have
 no shingle in common among the rarest that a link must have one of are refuted
 by their lists (the prefix filter again, on shingles).
+
+Pivots: the documents of a family, those that the rounds compared directly or
+through others, are all compared with one of it, the centre of most pairs. What
+two of them share is in what both share with the pivot, or in what both have
+besides it and besides their lonely shingles, which bounds the last pairs.
 """
 
 from __future__ import annotations
@@ -85,13 +90,18 @@ def marks(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    """``(token, node)``: each node under the rarest of its coordinate-value pairs."""
+    """``(node, tokens)``: the rarest of its coordinate-value pairs, under which a node is posted."""
     tokens = nodes.select("node", F.posexplode("signature").alias("place", "value")).select(
         "node", (F.col("value").cast("long") * F.lit(COORDINATES) + F.col("place")).alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     ranked = tokens.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all"))
     few = ranked.where(F.size("all") >= MATCHES).select("node", F.expr(f"slice(all, 1, size(all) - {MATCHES - 1})").alias("rarest"))
-    return few.select("node", F.explode("rarest.token").alias("token"))
+    return few.select("node", F.col("rarest.token").alias("tokens"))
+
+
+def short_signature(signature: str) -> Column:
+    """A byte of each coordinate. Equal coordinates stay equal; 1 in 256 others agree as well, so no agreement is lost."""
+    return F.transform(signature, lambda x: (x.bitwiseAND(F.lit(255)) - F.lit(128)).cast("tinyint"))
 
 
 def lonely_shingles(bodies: DataFrame, width: int) -> DataFrame:
@@ -121,6 +131,35 @@ def possible(n_a, lonely_a, n_b, lonely_b, percent: int) -> Column:
     return 100 * most >= percent * (n_a + n_b - most)
 
 
+def within_pivot(percent: int) -> Column:
+    """Whether two nodes of the last pairs can reach the similarity, going by what each has in common with a pivot of both (true without one).
+
+    ``other`` is how many of a node's shingles are neither the pivot's nor lonely.
+    """
+    most = F.least("common_a", "common_b") + F.least("other_a", "other_b")
+    enough = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
+    return F.coalesce((F.col("pivot_a") != F.col("pivot_b")) | enough, F.lit(True))
+
+
+def with_pivots(members: DataFrame, tested: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
+    """``members`` with ``pivot, common, other`` (null where a member was never compared).
+
+    A family is a component of the compared pairs, its pivot the centre of most of them.
+    """
+    family = saved(components(tested).withColumnRenamed("component", "family"), "families")
+    centres = tested.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("times")).join(family, "node")
+    pivots = centres.groupBy("family").agg(F.max_by("node", F.struct("times", "node")).alias("pivot"))
+    placed = members.join(family, "node", "left").join(pivots, "family", "left").drop("family")
+    placed = saved(placed, "placed-nodes")
+    shared = intersections(placed.where("pivot != node").select(F.col("node").alias("a"), F.col("pivot").alias("b")), bodies, width)
+    shared = shared.select(F.col("a").alias("node"), F.col("common").alias("_common"))
+    found = placed.join(shared, "node", "left").withColumn("common", F.when(F.col("pivot") == F.col("node"), F.col("n")).otherwise(F.col("_common")))
+    found = found.drop("_common").withColumn("other", F.when(F.col("common").isNotNull(), F.greatest(F.col("n") - F.col("common") - F.col("lonely"), F.lit(0))))
+    out = saved(found, "pivoted-nodes")
+    discard(family, placed)
+    return out
+
+
 def rare_shingles(members: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
     """``members`` with ``token, place``: each of a node's rarest shingles that others have, and its place.
 
@@ -154,8 +193,8 @@ def agreeing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", matches.alias("matches")).where(F.col("matches") >= MATCHES)
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets have ``100 * intersection >= percent * union``.
+def intersections(pairs: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
+    """``(a, b, n_a, n_b, common)`` of the pairs ``(a, b)``: the sizes of their full shingle sets and of what these have in common.
 
     The texts of the ``a`` go where their ``b`` is; a task holds the set of
     one ``b`` at a time and streams the others past it.
@@ -163,19 +202,16 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> D
     def check(batches):
         at, base = None, None
         for batch in batches:
-            a, b = [], []
+            found_pairs = []
             for centre, node, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = shingle_set(text, width)
                 if centre == node:
                     at, base = centre, found
                     continue
                 assert at == centre
-                common = len(np.intersect1d(base, found, assume_unique=True))
-                if 100 * common >= percent * (len(base) + len(found) - common):
-                    a.append(node)
-                    b.append(centre)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                found_pairs.append((node, centre, len(found), len(base), len(np.intersect1d(base, found, assume_unique=True))))
+            if found_pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found_pairs)], ["a", "b", "n_a", "n_b", "common"])
 
     # the centres of many pairs are split over tasks; each part has its own copy of the centre
     parts = F.pmod(F.xxhash64("a"), F.lit(16)).cast("int")
@@ -184,7 +220,13 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> D
     wanted = wanted.union(own)
     rows = wanted.join(likely_in(bodies, wanted.select("node"), "node"), "node")
     rows = rows.repartition(spread(pairs), "centre", "part").sortWithinPartitions("centre", "part", (F.col("node") != F.col("centre")))
-    return mapped(rows.select("centre", "node", "text"), check, "a long, b long")
+    return mapped(rows.select("centre", "node", "text"), check, "a long, b long, n_a long, n_b long, common long")
+
+
+def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose full shingle sets have ``100 * intersection >= percent * union``."""
+    found = intersections(pairs, bodies, width)
+    return found.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
 def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rounds: int = 2, id_col: str = "doc_id",
@@ -207,7 +249,7 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     nodes = first.groupBy("node").agg(F.min(F.struct(rows["set_a"], rows["set_b"], "tag", "n_shingles", "signature")).alias("it")).select(
         "node", "it.tag", F.col("it.n_shingles").alias("n"), "it.signature")
     posted = saved(postings(nodes), "postings")
-    posted_nodes = nodes.join(posted.select("node").distinct(), "node", "left_semi")
+    posted_nodes = nodes.join(posted.select("node"), "node", "left_semi")
     candidates = saved(posted_nodes, "posted-nodes")
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.xxhash64(text).alias("tag"), text.alias("text"))
@@ -217,7 +259,7 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     bodies = saved(bodies, "posted-texts")
 
     alone = lonely_shingles(bodies, width)
-    bounded = candidates.join(alone, "node", "left").select("node", "n", F.coalesce("lonely", F.lit(0)).alias("lonely"), "signature")
+    bounded = candidates.join(alone, "node", "left").select("node", "n", F.coalesce("lonely", F.lit(0)).alias("lonely"), short_signature("signature").alias("signature"))
     # a link needs a document to share most of its own shingles
     every, candidates = candidates, saved(bounded.where(100 * (F.col("n") - F.col("lonely")) >= percent * F.col("n")), "candidate-nodes")
     listed = saved(posted.join(candidates.select("node", "n", "lonely"), "node"), "candidate-postings")
@@ -241,43 +283,45 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
         discard(before)
 
     def live() -> DataFrame:
-        """Postings with labels, of the lists that have more than one component."""
-        with_labels = listed.join(labels, "node")
-        mixed = with_labels.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-        return with_labels.join(mixed.select("token"), "token", "left_semi")
-
-    def untested(pairs: DataFrame) -> DataFrame:
-        return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        """Postings with the labels of their nodes."""
+        return listed.join(labels, "node").select("node", "component", "n", "lonely", F.explode("tokens").alias("token"))
 
     for turn in range(star_rounds):
-        rest = saved(live(), "live-postings")
+        rest = live()
         # the centre: a document with few lonely shingles, as those have most links
         order = F.struct(F.floor(16 * F.col("lonely") / F.col("n")).alias("s"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component", "n", "lonely")
-        centres = rest.groupBy("token").agg(F.min(order).alias("centre")).select(
+        of_list = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("centre"))
+        centres = of_list.where("low != high").select(
             "token", F.col("centre.node").alias("b"), *(F.col(f"centre.{c}").alias(f"{c}_b") for c in ("component", "n", "lonely")))
         worth = (F.col("component") != F.col("component_b")) & possible(F.col("n"), F.col("lonely"), F.col("n_b"), F.col("lonely_b"), percent)
-        met = rest.join(centres, "token").where(worth).groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("met"))
-        # at most one centre for each of a document's lists; signatures move for those that it meets in most of them
-        most = F.slice(F.sort_array(F.collect_list(F.struct("met", "b")), asc=False), 1, CENTRES)
-        pairs = untested(met).groupBy("a").agg(most.alias("most")).select("a", F.explode("most.b").alias("b"))
+        # dealt by document once: at most one centre for each of a document's lists
+        met = rest.join(centres, "token").where(worth).select(F.col("node").alias("a"), "b").repartition(F.col("a"))
+        met = met.groupBy("a", "b").agg(F.count("*").alias("met")).groupBy("a").agg(F.sort_array(F.collect_list(F.struct("met", "b")), asc=False).alias("all"))
+        if tested is not None:
+            known = tested.groupBy("a").agg(F.collect_set("b").alias("known"))
+            met = met.join(known, "a", "left").select("a", F.filter("all", lambda x: ~F.coalesce(F.array_contains("known", x["b"]), F.lit(False))).alias("all"))
+        # signatures move for those centres that a document meets in most of its lists
+        pairs = met.select("a", F.explode(F.slice("all", 1, CENTRES)).alias("it")).select("a", F.col("it.b").alias("b"))
         best = agreeing(pairs, candidates, percent).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
         test(best.select("a", F.col("best.b").alias("b")))
-        discard(rest)
     # what is left: pairs of different components that share one of the rarest shingles; a pair that shares several is counted once
-    members = saved(live().select("node", "component", "n", "lonely").distinct(), "live-nodes")
-    rest = saved(rare_shingles(members, bodies, percent, width), "rare-shingles")
+    rest = live()
+    mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    members = saved(rest.join(mixed.select("token"), "token", "left_semi").select("node", "component", "n", "lonely").distinct(), "live-nodes")
+    pivoted = with_pivots(members, tested, bodies, width)
+    rest = saved(rare_shingles(pivoted, bodies, percent, width), "rare-shingles")
     mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     lists = rest.join(mixed.select("token"), "token", "left_semi")
-    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "place"))) for x in "ab")
+    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "place", "pivot", "common", "other")))
+                for x in "ab")
     # a link has at least this many shingles in common, so the first one is no later than these places
     common = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
     early = (F.col("place_a") <= F.col("n_a") - common + 1) & (F.col("place_b") <= F.col("n_b") - common + 1)
     pairs = one.join(two, (one["token"] == two["token"]) & (F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-                     & early & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent))
+                     & early & within_pivot(percent) & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent))
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    test(agreeing(untested(pairs), candidates, percent))
-    discard(members)
-    discard(rest, *used)
+    test(agreeing(pairs.join(tested, ["a", "b"], "left_anti"), candidates, percent))
+    discard(members, pivoted, rest, *used)
 
     return _labelled(rows, sets, labels)
 

@@ -25,9 +25,9 @@ compared one by one, so no link is lost; of those, the pairs whose sets have
 no shingle in common among the rarest that a link must have one of are refuted
 by their lists (the prefix filter again, on shingles).
 
-Pivots: the documents of a family, those that the rounds compared directly or
-through others, are all compared with one of it, the centre of most pairs. What
-two of them share is in what both share with the pivot, or in what both have
+Pivots: every document left is compared with the centre of most pairs among
+those that the rounds compared it or its centres with, which most of a family
+have in common. What two documents share is in what both share with the pivot, or in what both have
 besides it and besides their lonely shingles, which bounds the last pairs.
 """
 
@@ -144,19 +144,22 @@ def within_pivot(percent: int) -> Column:
 def with_pivots(members: DataFrame, tested: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
     """``members`` with ``pivot, common, other`` (null where a member was never compared).
 
-    A family is a component of the compared pairs, its pivot the centre of most of them.
+    A member's pivot is the centre of most pairs among those that it was compared with, or that centre's own pivot.
     """
-    family = saved(components(tested).withColumnRenamed("component", "family"), "families")
-    centres = tested.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("times")).join(family, "node")
-    pivots = centres.groupBy("family").agg(F.max_by("node", F.struct("times", "node")).alias("pivot"))
-    placed = members.join(family, "node", "left").join(pivots, "family", "left").drop("family")
+    times = tested.groupBy(F.col("b").alias("centre")).agg(F.count("*").alias("times"))
+    own = F.struct(F.col("b").alias("node"), F.col("b").alias("centre"))
+    met = tested.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("centre")), own)))
+    chosen = met.join(times, "centre").groupBy("node").agg(F.max(F.struct("times", "centre")).getField("centre").alias("first"))
+    chosen = saved(chosen, "pivots")
+    further = chosen.select(F.col("node").alias("first"), F.col("first").alias("pivot"))
+    placed = members.join(chosen, "node", "left").join(further, "first", "left").drop("first")
     placed = saved(placed, "placed-nodes")
     shared = intersections(placed.where("pivot != node").select(F.col("node").alias("a"), F.col("pivot").alias("b")), bodies, width)
     shared = shared.select(F.col("a").alias("node"), F.col("common").alias("_common"))
     found = placed.join(shared, "node", "left").withColumn("common", F.when(F.col("pivot") == F.col("node"), F.col("n")).otherwise(F.col("_common")))
     found = found.drop("_common").withColumn("other", F.when(F.col("common").isNotNull(), F.greatest(F.col("n") - F.col("common") - F.col("lonely"), F.lit(0))))
     out = saved(found, "pivoted-nodes")
-    discard(family, placed)
+    discard(chosen, placed)
     return out
 
 

@@ -205,6 +205,24 @@ def test_archive_reads_each_record_once_and_loads_read_their_topic_only(spark, t
         assert sum(p.numInputRows for p in q.recentProgress) == n
 
 
+def test_an_archive_has_files_by_day_and_not_by_task(spark, tmp_path):
+    """A load cuts its batches by files: 16 tasks that each hold records of 5 days made 80 files."""
+    posts = spark.range(0, 4000, 1, 16).select(F.lit("reddit_data").alias("topic"), F.format_string('{"subreddit": "s[%d]"}', "id").alias("value"),
+                                               F.timestamp_add("DAY", F.col("id") % 5, F.lit("2025-01-01").cast("timestamp_ntz")).alias("at"))
+    lake = str(tmp_path / "lake")
+    assert archive.archive_batch(routed_rows(posts, F.col("at")), 0, lake, str(tmp_path / "bad")) == 5
+    files = [p for p in (tmp_path / "lake").rglob("part-*")]
+    assert 5 <= len(files) <= 10 and len({r[2] for r in _lake(spark, lake)}) == 4000
+
+
+def test_a_record_that_ends_its_check_early_is_no_record(spark):
+    texts = ['{"a":"]"}', '{"a":1}],[{"b":2}', '{"a":1}},{"b":{}', '{"a":1},{"b":2}', '\t{ } ', '{"a":[1,{"b":"}"}]} ', '[{"a":1}]', "{}]", '"]"', "{"]
+    raw = spark.createDataFrame([("t", t) for t in texts], "topic string, value string")
+    got = {r.value for r in routed_rows(raw, F.lit("2025-01-02").cast("timestamp_ntz")).where("kind = 'lake'").collect()}
+    stamp = '"ingested_at": "2025-01-02T00:00:00.000000"}'
+    assert got == {'{"a":"]", ' + stamp, "{" + stamp, '{"a":[1,{"b":"}"}], ' + stamp}
+
+
 def test_records_without_a_route_time_get_the_processing_time(spark):
     raw = spark.createDataFrame([("t", "{}", None), ("t", '{"ingested_at": "old", "x": 1.50}', "2025-01-02 03:04:05")], "topic string, value string, at string")
     got = {r.year: r.value for r in routed_rows(raw, F.col("at").cast("timestamp_ntz")).where("kind = 'lake'").collect()}

@@ -158,3 +158,22 @@ def test_ttl_views_through_streams_and_await_any(spark, tmp_path):
     assert store.read("tiktok_trends_eg", now=dt.datetime(2025, 1, 2, 6)).count() == 0
     top = store.ranked("tiktok_trends_eg", n=3, ascending=True, now=dt.datetime(2025, 1, 2, 4)).collect()
     assert [r.score for r in top] == [1.0, 1.0, 1.0]
+
+
+def test_a_held_batch_keeps_the_text_of_rejects_only(spark):
+    from trendspark import schemas
+    from trendspark.streaming import hot as streams
+    texts = ['{"sound_name": "s", "rank": "#1"}', "garbage", '{"rank": "#2"}']
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {(r.raw_value, r._good, r.sound_name) for r in streams._tagged(raw, schemas.TIKTOK, "sound_name").collect()}
+    assert got == {(None, True, "s"), ("garbage", False, None), ('{"rank": "#2"}', False, None)}
+
+
+def test_topics_that_wait_in_folders_are_compressed(spark, tmp_path, monkeypatch):
+    from trendspark import catalog
+    monkeypatch.setattr(catalog, "_run_dir", lambda _spark, _kind: str(tmp_path / "run"))
+    catalog.QUERIES["stream_two_queries"](spark, SF_SMALL)
+    texts = spark.read.text(str(tmp_path / "run" / "sounds"))
+    assert texts.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    written = sum(f.stat().st_size for f in (tmp_path / "run" / "sounds").glob("part-*"))
+    assert written < 0.5 * sum(len(r.value) for r in texts.collect())

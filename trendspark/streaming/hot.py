@@ -61,7 +61,8 @@ def _tagged(raw: DataFrame, schema, key) -> DataFrame:
     # Generate barrier: the per-batch filters on _good do not re-run the parse
     parsed = raw.select(F.col("value").cast("string").alias("raw_value"),
                         F.inline(F.array(from_json_text("value", schema))))
-    return parsed.select("raw_value", F.col(key).isNotNull().alias("_good"),
+    # a batch is held while it is written: of good records the fields alone
+    return parsed.select(F.when(F.col(key).isNull(), F.col("raw_value")).alias("raw_value"), F.col(key).isNotNull().alias("_good"),
                          *[f.name for f in schema.fields])
 
 

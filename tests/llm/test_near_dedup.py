@@ -110,3 +110,62 @@ def test_short_signatures_keep_every_agreement(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([([-2**31, -1, 0, 1, 255, 256, 2**31 - 1],)], "signature array<int>")
     assert list(df.select(N.short_signature("signature").alias("s")).first().s) == [-128, 127, -128, -127, 127, -128, 127]
+
+
+def _edited_family(size, seed):
+    """A text and copies of it, each with other words in places of its own: all are near the text, few near each other."""
+    rng = random.Random(seed)
+    base = words(150, seed + 1, vocabulary=4000).split()
+    texts = {1: " ".join(base)}
+    for i in range(2, size + 2):
+        w = list(base)
+        for at in rng.sample(range(len(w)), 14):
+            w[at] = f"n{rng.randrange(12)}"
+        texts[i] = " ".join(w)
+    return texts, {i: set(N.shingle_set(t, 2).tolist()) for i, t in texts.items()}
+
+
+def test_gaps_refute_copies_edited_in_different_places_and_no_link(spark):
+    from pyspark.sql import functions as F
+    texts, sets = _edited_family(60, 3)
+    lonely = {i: len(s - set().union(*(o for j, o in sets.items() if j != i))) for i, s in sets.items()}
+    bodies = spark.createDataFrame(list(texts.items()), "node long, text string")
+    members = spark.createDataFrame([(i, i, len(s), lonely[i]) for i, s in sets.items()] + [(99, 99, 5, 0)], "node long, component long, n long, lonely long")
+    out = N.with_pivots(members, spark.createDataFrame([(i, 1) for i in texts if i > 1], "a long, b long"), bodies, 2)
+    one, two = (out.select(*(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pivot", "common", "other", "gaps"))) for x in "ab")
+    pairs = one.join(two, F.col("node_a") > F.col("node_b"))
+    without = {(r.node_a, r.node_b) for r in pairs.where(N.within_pivot(80)).collect()}
+    kept = {(r.node_a, r.node_b) for r in pairs.where(N.within_pivot(80, gaps=True)).collect()}
+    links = {(a, b) for a in texts for b in texts if a > b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert links <= kept <= without and all((99, b) in kept for b in texts)
+    assert 10 * len(kept - {(99, b) for b in texts} - links) < len(without)
+
+
+def test_gap_bits_are_folded_and_count_no_shingle_twice():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for n in (1, 100, 256, 257, 1500):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        a, b = (base[rng.random(len(base)) < share] for share in (0.9, 0.7))
+        gaps = [[x & (2**64 - 1) for x in N.gap_bits(base, s)] for s in (a, b)]
+        only = sum((y & ~x).bit_count() for x, y in zip(*gaps))
+        common = len(np.intersect1d(a, b))
+        assert len(a) - only >= common and (n > 256 or len(a) - only == common)
+
+
+def test_chance_agreement_posts_no_document(spark):
+    """Each document has all of its values in common with some others, but only two documents have most in common with each other."""
+    rng = random.Random(4)
+    rows = [(i, [rng.randrange(40) for _ in range(N.COORDINATES)]) for i in range(150)]
+    near = list(rows[0][1])
+    near[::4] = [99] * 12
+    nodes = spark.createDataFrame([*rows, (1000, near)], "node long, signature array<int>")
+    posted = {r.node: set(r.tokens) for r in N.postings(nodes).collect()}
+    assert {0, 1000} <= set(posted) and posted[0] & posted[1000] and len(posted) < 15
+
+
+def test_pairs_at_the_similarity_share_bands():
+    rng = random.Random(6)
+    for _ in range(20_000):
+        same = [rng.random() < 0.8 for _ in range(N.COORDINATES)]
+        assert sum(same) < N.MATCHES or sum(all(same[x] for x in band) for band in N.BANDS) >= N.SHARED

@@ -1,15 +1,19 @@
 """Near-duplicate documents by an inverted join on MinHash coordinates.
 
 Every document has a signature of ``COORDINATES`` minima. It is posted under
-its (coordinate, value) pairs; documents that agree in at least ``MATCHES``
-coordinates are compared on their full shingle sets. At the similarity 0.8 a
-pair agrees in fewer coordinates with a probability of 1e-6, and the more
-similar, the less.
-
-Prefix: pairs that occur once are dropped, and of its m others a document is
-posted only under the m - MATCHES + 1 rarest, one of which any document with
-MATCHES agreements must share; documents with fewer drop out. So frequent
-values, which a third of all documents may share, are seldom posted at all.
+its bands, each a hash of three coordinates; every coordinate is in one band of
+each of two arrangements. Documents that share at least ``SHARED`` bands and
+agree in at least ``MATCHES`` coordinates are compared on their full shingle
+sets. At the similarity 0.8 a pair fails one of the two with a probability of
+2e-6, and the more similar, the less.
+
+Prefix: bands that occur once are dropped, and of its m others a document is
+posted only under the m - SHARED + 1 rarest, one of which any document with
+SHARED bands in common must share; documents with fewer drop out. A single
+coordinate's value may be shared by a tenth of all documents, so that the more
+documents there are, the more of them have most of their values in common with
+some other by chance; three values together seldom are, so the share of
+documents that is posted hardly grows with their number.
 
 Bound: a shingle that no other posted document has is in no intersection. With
 u of its n shingles being such, a document shares n - u at most, which refutes
@@ -27,8 +31,11 @@ by their lists (the prefix filter again, on shingles).
 
 Pivots: every document left is compared with the centre of most pairs among
 those that the rounds compared it or its centres with, which most of a family
-have in common. What two documents share is in what both share with the pivot, or in what both have
-besides it and besides their lonely shingles, which bounds the last pairs.
+have in common, and merged with it if they are linked. What two documents share is in what both share with the pivot, or in what both have
+besides it and besides their lonely shingles, which bounds the last pairs. A
+document keeps which of the pivot's shingles it lacks, folded to ``64 * GAPS``
+bits: what only one of two lacks, both don't share. So two copies of a text
+that are edited in different places are refuted by their own rows.
 """
 
 from __future__ import annotations
@@ -43,12 +50,19 @@ from trendspark.llm.common import aliased, discard, likely_in, mapped, saved, sp
 from trendspark.llm.components import components
 from trendspark.llm.shingles import shingle_hashes, word_hashes
 
-COORDINATES, MATCHES = 48, 25
+COORDINATES, MATCHES = 48, 23
+#: Coordinates of a band, and the bands that a pair must share.
+BAND, SHARED = 3, 2
 #: Centres whose signatures a document is compared with in a round; what a round misses is left to the next and to the pairs after them.
 CENTRES = 4
+#: Longs that hold which of a pivot's shingles a document lacks.
+GAPS = 4
 _rng = np.random.default_rng(15485863)
 _A = (_rng.integers(0, 2**32, COORDINATES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _B = _rng.integers(0, 2**32, COORDINATES, dtype=np.uint64).astype(np.uint32)
+_ORDERS = (np.arange(COORDINATES), np.random.default_rng(5).permutation(COORDINATES))
+#: The places of each band's coordinates.
+BANDS = [tuple(int(x) for x in order[i:i + BAND]) for order in _ORDERS for i in range(0, COORDINATES, BAND)]
 _MARKS = "doc_id long, tag long, n_shingles long, set_a long, set_b long, signature array<int>"
 
 
@@ -90,12 +104,12 @@ def marks(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    """``(node, tokens)``: the rarest of its coordinate-value pairs, under which a node is posted."""
-    tokens = nodes.select("node", F.posexplode("signature").alias("place", "value")).select(
-        "node", (F.col("value").cast("long") * F.lit(COORDINATES) + F.col("place")).alias("token"))
+    """``(node, tokens)``: the rarest of its bands, under which a node is posted."""
+    bands = F.array(*(F.xxhash64(F.lit(i), *(F.col("signature")[place] for place in band)) for i, band in enumerate(BANDS)))
+    tokens = nodes.select("node", F.explode(bands).alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     ranked = tokens.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all"))
-    few = ranked.where(F.size("all") >= MATCHES).select("node", F.expr(f"slice(all, 1, size(all) - {MATCHES - 1})").alias("rarest"))
+    few = ranked.where(F.size("all") >= SHARED).select("node", F.expr(f"slice(all, 1, size(all) - {SHARED - 1})").alias("rarest"))
     return few.select("node", F.col("rarest.token").alias("tokens"))
 
 
@@ -131,18 +145,27 @@ def possible(n_a, lonely_a, n_b, lonely_b, percent: int) -> Column:
     return 100 * most >= percent * (n_a + n_b - most)
 
 
-def within_pivot(percent: int) -> Column:
+def within_pivot(percent: int, gaps: bool = False) -> Column:
     """Whether two nodes of the last pairs can reach the similarity, going by what each has in common with a pivot of both (true without one).
 
-    ``other`` is how many of a node's shingles are neither the pivot's nor lonely.
+    ``other`` is how many of a node's shingles are neither the pivot's nor
+    lonely. With ``gaps``, the bits that are set in only one node's gaps stand
+    for at least as many shingles that the other node shares with the pivot and
+    this one doesn't.
     """
-    most = F.least("common_a", "common_b") + F.least("other_a", "other_b")
+    def shared(x: str, y: str) -> Column:
+        if not gaps:
+            return F.col(f"common_{x}")
+        only = [F.bit_count(F.col(f"gaps_{y}")[i].bitwiseAND(F.bitwise_not(F.col(f"gaps_{x}")[i]))) for i in range(GAPS)]
+        return F.col(f"common_{x}") - sum(only[1:], only[0])
+
+    most = F.least(shared("a", "b"), shared("b", "a")) + F.least("other_a", "other_b")
     enough = 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
     return F.coalesce((F.col("pivot_a") != F.col("pivot_b")) | enough, F.lit(True))
 
 
 def with_pivots(members: DataFrame, tested: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
-    """``members`` with ``pivot, common, other`` (null where a member was never compared).
+    """``members`` with ``pivot, n_pivot, common, other, gaps`` (null where a member was never compared).
 
     A member's pivot is the centre of most pairs among those that it was compared with, or that centre's own pivot.
     """
@@ -154,10 +177,14 @@ def with_pivots(members: DataFrame, tested: DataFrame, bodies: DataFrame, width:
     further = chosen.select(F.col("node").alias("first"), F.col("first").alias("pivot"))
     placed = members.join(chosen, "node", "left").join(further, "first", "left").drop("first")
     placed = saved(placed, "placed-nodes")
-    shared = intersections(placed.where("pivot != node").select(F.col("node").alias("a"), F.col("pivot").alias("b")), bodies, width)
-    shared = shared.select(F.col("a").alias("node"), F.col("common").alias("_common"))
-    found = placed.join(shared, "node", "left").withColumn("common", F.when(F.col("pivot") == F.col("node"), F.col("n")).otherwise(F.col("_common")))
-    found = found.drop("_common").withColumn("other", F.when(F.col("common").isNotNull(), F.greatest(F.col("n") - F.col("common") - F.col("lonely"), F.lit(0))))
+    shared = intersections(placed.where("pivot != node").select(F.col("node").alias("a"), F.col("pivot").alias("b")), bodies, width, gaps=True)
+    shared = shared.select(F.col("a").alias("node"), F.col("n_b").alias("_n"), F.col("common").alias("_common"), F.col("gaps").alias("_gaps"))
+    itself = F.col("pivot") == F.col("node")
+    found = placed.join(shared, "node", "left").withColumns({
+        "n_pivot": F.when(itself, F.col("n")).otherwise(F.col("_n")),
+        "common": F.when(itself, F.col("n")).otherwise(F.col("_common")),
+        "gaps": F.when(itself, F.array_repeat(F.lit(0).cast("long"), GAPS)).otherwise(F.col("_gaps"))})
+    found = found.drop("_n", "_common", "_gaps").withColumn("other", F.when(F.col("common").isNotNull(), F.greatest(F.col("n") - F.col("common") - F.col("lonely"), F.lit(0))))
     out = saved(found, "pivoted-nodes")
     discard(chosen, placed)
     return out
@@ -196,16 +223,26 @@ def agreeing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", matches.alias("matches")).where(F.col("matches") >= MATCHES)
 
 
-def intersections(pairs: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
+def gap_bits(base: np.ndarray, found: np.ndarray) -> list[int]:
+    """The places of those of ``base``'s shingles that ``found`` lacks, modulo the bits of ``GAPS`` longs."""
+    bits = np.zeros(64 * GAPS, np.uint8)
+    bits[np.flatnonzero(~np.isin(base, found, assume_unique=True)) % len(bits)] = 1
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def intersections(pairs: DataFrame, bodies: DataFrame, width: int, gaps: bool = False) -> DataFrame:
     """``(a, b, n_a, n_b, common)`` of the pairs ``(a, b)``: the sizes of their full shingle sets and of what these have in common.
 
-    The texts of the ``a`` go where their ``b`` is; a task holds the set of
-    one ``b`` at a time and streams the others past it.
+    With ``gaps``, also which of the shingles of ``b`` the ``a`` lacks. The texts
+    of the ``a`` go where their ``b`` is; a task holds the set of one ``b`` at a
+    time and streams the others past it.
     """
+    names = ["a", "b", "n_a", "n_b", "common"]
+
     def check(batches):
         at, base = None, None
         for batch in batches:
-            found_pairs = []
+            found_pairs, lacks = [], []
             for centre, node, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = shingle_set(text, width)
                 if centre == node:
@@ -213,8 +250,11 @@ def intersections(pairs: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
                     continue
                 assert at == centre
                 found_pairs.append((node, centre, len(found), len(base), len(np.intersect1d(base, found, assume_unique=True))))
+                if gaps:
+                    lacks.append(gap_bits(base, found))
             if found_pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found_pairs)], ["a", "b", "n_a", "n_b", "common"])
+                columns = [pa.array(x, pa.int64()) for x in zip(*found_pairs)] + [pa.array(lacks, pa.list_(pa.int64()))] * gaps
+                yield pa.RecordBatch.from_arrays(columns, names + ["gaps"] * gaps)
 
     # the centres of many pairs are split over tasks; each part has its own copy of the centre
     parts = F.pmod(F.xxhash64("a"), F.lit(16)).cast("int")
@@ -223,7 +263,8 @@ def intersections(pairs: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
     wanted = wanted.union(own)
     rows = wanted.join(likely_in(bodies, wanted.select("node"), "node"), "node")
     rows = rows.repartition(spread(pairs), "centre", "part").sortWithinPartitions("centre", "part", (F.col("node") != F.col("centre")))
-    return mapped(rows.select("centre", "node", "text"), check, "a long, b long, n_a long, n_b long, common long")
+    schema = ", ".join(f"{name} long" for name in names) + ", gaps array<long>" * gaps
+    return mapped(rows.select("centre", "node", "text"), check, schema)
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, percent: int, width: int) -> DataFrame:
@@ -245,12 +286,13 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     first is compared with others, and all get its component.
     """
     rows = saved(marks(docs, width, id_col, text_col), "minhash-marks")
-    sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
-    sets = saved(sets, "shingle-sets")
-    first = rows.where("signature is not null").join(
-        sets, (rows["doc_id"] == sets["node"]) & (rows["set_a"] == sets["set_a"]) & (rows["set_b"] == sets["set_b"]))
-    nodes = first.groupBy("node").agg(F.min(F.struct(rows["set_a"], rows["set_b"], "tag", "n_shingles", "signature")).alias("it")).select(
-        "node", "it.tag", F.col("it.n_shingles").alias("n"), "it.signature")
+    # a set's smallest id is its node; of an id with several sets the first one's row stays, so each node is one row
+    known = rows.where("n_shingles > 0 and doc_id is not null")
+    sets = known.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "tag", "n_shingles", "signature")).alias("it"))
+    sets = saved(sets.select("set_a", "set_b", F.col("it.doc_id").alias("node"), F.col("it.tag").alias("tag"),
+                             F.col("it.n_shingles").alias("n"), F.col("it.signature").alias("signature")), "shingle-sets")
+    nodes = saved(sets.groupBy("node").agg(F.min(F.struct("set_a", "set_b", "tag", "n", "signature")).alias("it")).select(
+        "node", "it.tag", "it.n", "it.signature"), "nodes")
     posted = saved(postings(nodes), "postings")
     posted_nodes = nodes.join(posted.select("node"), "node", "left_semi")
     candidates = saved(posted_nodes, "posted-nodes")
@@ -266,29 +308,39 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
     # a link needs a document to share most of its own shingles
     every, candidates = candidates, saved(bounded.where(100 * (F.col("n") - F.col("lonely")) >= percent * F.col("n")), "candidate-nodes")
     listed = saved(posted.join(candidates.select("node", "n", "lonely"), "node"), "candidate-postings")
-    discard(every, posted)
+    discard(every, posted, nodes)
 
     labels = saved(candidates.select("node", F.col("node").alias("component")), "labels")
     tested, used = None, [bodies, candidates, listed]
 
-    def test(pairs: DataFrame):
-        """Verifies pairs and merges the components that they link."""
-        nonlocal labels, tested
-        done = saved(pairs.select("a", "b"), "tested")
-        used.append(done)
-        tested = done if tested is None else tested.union(done)
-        good = verified(done, bodies, percent, width)
+    def merge(links: DataFrame):
+        """Merges the components that these ``(a, b)`` link."""
+        nonlocal labels
         end = labels.select(F.col("node").alias("b"), F.col("component").alias("_b"))
-        ends = good.join(labels.withColumnRenamed("node", "a"), "a").join(end, "b").select(F.col("component").alias("a"), F.col("_b").alias("b"))
+        ends = links.join(labels.withColumnRenamed("node", "a"), "a").join(end, "b").select(F.col("component").alias("a"), F.col("_b").alias("b"))
         merged = components(ends).select(F.col("node").alias("component"), F.col("component").alias("whole"))
         before, labels = labels, saved(labels.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component")),
                                        "labels")
         discard(before)
 
+    def test(pairs: DataFrame):
+        """Verifies pairs and merges the components that they link."""
+        nonlocal tested
+        done = saved(pairs.select("a", "b"), "tested")
+        used.append(done)
+        tested = done if tested is None else tested.union(done)
+        merge(verified(done, bodies, percent, width))
+
     def live() -> DataFrame:
         """Postings with the labels of their nodes."""
         return listed.join(labels, "node").select("node", "component", "n", "lonely", F.explode("tokens").alias("token"))
 
+    def apart() -> DataFrame:
+        """The nodes that share a band with one of another component."""
+        rest = live()
+        mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+        return rest.join(mixed.select("token"), "token", "left_semi").select("node", "component", "n", "lonely").distinct()
+
     for turn in range(star_rounds):
         rest = live()
         # the centre: a document with few lonely shingles, as those have most links
@@ -308,20 +360,22 @@ def near_components(docs: DataFrame, percent: int = 80, width: int = 5, star_rou
         best = agreeing(pairs, candidates, percent).groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best"))
         test(best.select("a", F.col("best.b").alias("b")))
     # what is left: pairs of different components that share one of the rarest shingles; a pair that shares several is counted once
-    rest = live()
-    mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    members = saved(rest.join(mixed.select("token"), "token", "left_semi").select("node", "component", "n", "lonely").distinct(), "live-nodes")
+    members = saved(apart().select("node", "component", "n", "lonely"), "live-nodes")
     pivoted = with_pivots(members, tested, bodies, width)
-    rest = saved(rare_shingles(pivoted, bodies, percent, width), "rare-shingles")
+    # most of a family are linked to the pivot that they have just been compared with
+    merge(pivoted.where(100 * F.col("common") >= percent * (F.col("n") + F.col("n_pivot") - F.col("common"))).select(
+        F.col("node").alias("a"), F.col("pivot").alias("b")))
+    left = apart().select("node", "component")
+    rest = saved(rare_shingles(pivoted.drop("component").join(left, "node"), bodies, percent, width), "rare-shingles")
     mixed = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     lists = rest.join(mixed.select("token"), "token", "left_semi")
-    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "place", "pivot", "common", "other")))
+    one, two = (lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "lonely", "place", "pivot", "common", "other", "gaps")))
                 for x in "ab")
     # a link has at least this many shingles in common, so the first one is no later than these places
     common = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
     early = (F.col("place_a") <= F.col("n_a") - common + 1) & (F.col("place_b") <= F.col("n_b") - common + 1)
     pairs = one.join(two, (one["token"] == two["token"]) & (F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-                     & early & within_pivot(percent) & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent))
+                     & early & within_pivot(percent, gaps=True) & possible(F.col("n_a"), F.col("lonely_a"), F.col("n_b"), F.col("lonely_b"), percent))
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     test(agreeing(pairs.join(tested, ["a", "b"], "left_anti"), candidates, percent))
     discard(members, pivoted, rest, *used)

@@ -237,3 +237,64 @@ def test_a_text_archive_stream_resumes_from_its_checkpoint(spark, tmp_path):
         for _ in range(2):       # the second run finds nothing new
             archive.start_archive(text_stream(spark, src), lake, "reddit_data", ck, trigger={"availableNow": True}).awaitTermination()
     assert spark.read.text(f"{lake}/topic=reddit_data").count() == posts.count()
+
+
+def _counted(spark):
+    """A text as it is, and how often it has been made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def same(v):
+        made.add(1)
+        return v
+    return F.udf(same, "string").asNondeterministic(), made
+
+
+def test_drops_are_written_in_one_pass_and_land_one_after_another(spark, tmp_path):
+    from trendspark import catalog
+    same, made = _counted(spark)
+    values = spark.range(0, 60, 1, 3).select(same(F.format_string('{"n": %d}', "id")).alias("value"))
+    seen = []
+
+    class Drained:
+        def __init__(self, raw):
+            pass
+
+        def awaitTermination(self):
+            seen.append(sorted(r.value for r in spark.read.text(f"{tmp_path}/in").collect()))
+    catalog._drain_drops(spark, str(tmp_path), values, Drained, drops=2)
+    assert made.value == 60
+    assert 0 < len(seen[0]) < 60 and set(seen[0]) < set(seen[1]) and seen[1] == sorted('{"n": %d}' % i for i in range(60))
+
+
+def test_a_drop_without_records_lands_too(spark, tmp_path):
+    from trendspark import catalog
+    landed = []
+
+    class Drained:
+        def __init__(self, raw):
+            landed.append(sorted(p.name for p in (tmp_path / "in").iterdir() if p.is_dir()))
+
+        def awaitTermination(self):
+            pass
+    catalog._drain_drops(spark, str(tmp_path), spark.createDataFrame([("{}",)], "value string"), Drained, drops=3)
+    assert landed == [["drop=0"], ["drop=0", "drop=1"], ["drop=0", "drop=1", "drop=2"]]
+    assert [r.value for r in spark.read.text(f"{tmp_path}/in").collect()] == ["{}"]
+
+
+def test_a_field_that_does_not_parse_makes_no_record(spark):
+    """A parse that takes a field forgives what is broken in it, so a text that may name the stamp is read whole."""
+    texts = ['{"ingested_at":[1 2]}', '{"ingested\\u005fat":"x","b":1.25}', '{"a":[1 2]}', '{"a":"\\\\","b":{"c" 1}}', '{"a":"\\n", "b":2 }', '{"a":1}x']
+    raw = spark.createDataFrame([("t", t) for t in texts], "topic string, value string")
+    got = {r.value for r in routed_rows(raw, F.lit("2025-01-02").cast("timestamp_ntz")).where("kind = 'lake'").collect()}
+    assert got == {'{"b":1.25,"ingested_at":"2025-01-02T00:00:00.000000"}', '{"a":"\\n", "b":2, "ingested_at": "2025-01-02T00:00:00.000000"}'}
+
+
+def test_a_load_fills_a_batch_by_all_tasks_at_once(spark, tmp_path):
+    """A look for a first reject read the batch by one task, then by four, and so on."""
+    lake_files(tmp_path / "lake", range(12), bad=False)
+    real, looked = type(spark.range(0)).isEmpty, []
+    from pytest import MonkeyPatch
+    with MonkeyPatch.context() as m:
+        m.setattr(type(spark.range(0)), "isEmpty", lambda self: looked.append(1) or real(self))
+        wh.run_all(spark, str(tmp_path / "lake"), str(tmp_path / "wh"), str(tmp_path / "ck"), topics=("reddit_data",))
+    assert not looked and len(facts(wh.warehouse_sink(spark, str(tmp_path / "wh")))) == 60

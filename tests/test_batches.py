@@ -298,3 +298,21 @@ def test_a_load_fills_a_batch_by_all_tasks_at_once(spark, tmp_path):
         m.setattr(type(spark.range(0)), "isEmpty", lambda self: looked.append(1) or real(self))
         wh.run_all(spark, str(tmp_path / "lake"), str(tmp_path / "wh"), str(tmp_path / "ck"), topics=("reddit_data",))
     assert not looked and len(facts(wh.warehouse_sink(spark, str(tmp_path / "wh")))) == 60
+
+
+def test_a_changing_dimension_is_made_once_a_batch(spark, tmp_path):
+    """New rows and changed ones were told apart by two joins, each of which made the batch's rows anew."""
+    same, made = _counted(spark)
+    sink = WarehouseSink(spark, str(tmp_path / "w"), changing={"D": ["_seen", "name"]}, run="r")
+
+    def dim(*rows_):
+        df = spark.createDataFrame(list(rows_), "sk string, _seen int, name string")
+        return {"D": df.withColumn("name", same("name"))}
+    sink.write(dim(("a", 1, "a1"), ("b", 1, "b1"), ("c", 5, "c5"), (None, 1, "x")), {"D": "sk"}, 0)
+    made.value = 0
+    sink.write(dim(("a", 2, "a2"), ("b", 1, "b1"), ("c", 4, "c9"), ("d", 1, "d1"), (None, 2, "x")), {"D": "sk"}, 1)
+    assert made.value <= 5
+    sink.write(dim(("a", 2, "a1"), ("b", 1, "b2"), ("d", 0, "d9"), ("e", 1, None)), {"D": "sk"}, 2)
+    assert rows(sink._existing("D").select("sk", "name").where("sk <> 'e'")) == [("a", "a1"), ("b", "b1"), ("c", "c5"), ("d", "d1")]
+    assert sorted(tuple(r) for r in sink._existing("D_changes").select("sk", "name").collect()) == [("a", "a2"), ("b", "b2")]
+    assert {(r.sk, r.name) for r in sink.read("D", {"D": "sk"}).select("sk", "name").collect()} == {("a", "a2"), ("b", "b2"), ("c", "c5"), ("d", "d1"), ("e", None)}
